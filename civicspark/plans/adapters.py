@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from civicspark import constants as C
 from civicspark.functions import scalars as X
-from civicspark.operators.util import broadcast_if_small
+from civicspark.operators.util import spread
 
 ROWS_PER_PAGE = 1_000        # records per landed request page
 ROWS_PER_SURVEY_DOC = 100    # data rows per landed survey document
@@ -31,9 +31,11 @@ COUNTY_ROTATION = ["061", "005", "047", "081", "085", "999"]
 
 
 def with_region(events: DataFrame, region: DataFrame) -> DataFrame:
-    """events + ``r_name`` of region ``user_id mod 5`` (5-row dimension,
-    broadcast after a size check)."""
-    dim = broadcast_if_small(region.select("r_regionkey", "r_name"), 1_000)
+    """events + ``r_name`` of region ``user_id mod 5``.  The join strategy is
+    left to the planner: the dimension is broadcast only while its size
+    estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (re-checked by
+    AQE with runtime sizes), otherwise it is a shuffle join."""
+    dim = region.select("r_regionkey", "r_name")
     return events.join(dim, F.pmod("user_id", F.lit(5)) == F.col("r_regionkey"), "left")
 
 
@@ -41,7 +43,7 @@ def request_records(events: DataFrame, region: DataFrame) -> DataFrame:
     """One ``record`` map per event with the feed's 15 text keys (plus an extra
     key the projection must drop).  Per row some keys are absent and some
     hold a JSON null."""
-    e = with_region(events, region)
+    e = with_region(spread(events, ["event_id"]), region)
     eid = F.col("event_id")
     r3, r5 = F.pmod(eid, F.lit(3)), F.pmod(eid, F.lit(5))
     entries: list[tuple[str, Column, Column | None]] = [
@@ -64,11 +66,14 @@ def request_records(events: DataFrame, region: DataFrame) -> DataFrame:
         ("agency_name", F.lit(None).cast("string"), F.lit(True)),
         ("user_id", F.col("user_id").cast("string"), None),
     ]
-    kept = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value"),
-                              (absent if absent is not None else F.lit(False)).alias("_absent"))
-                     for k, v, absent in entries])
-    kept = F.filter(kept, lambda x: ~x["_absent"])
-    record = F.map_from_entries(F.transform(kept, lambda x: F.struct(x["key"], x["value"])))
+    # always-present keys in one map, conditional keys as one-entry maps
+    # (empty when absent); all codegen'd, no per-row lambdas
+    fixed = F.create_map(*[x for k, v, absent in entries if absent is None
+                           for x in (F.lit(k), v.cast("string"))])
+    empty = F.create_map().cast("map<string,string>")
+    optional = [F.when(~absent, F.create_map(F.lit(k), v.cast("string"))).otherwise(empty)
+                for k, v, absent in entries if absent is not None]
+    record = F.map_concat(fixed, *optional)
     return e.select("event_id", "ts", "user_id", "event_type", record.alias("record"))
 
 
@@ -85,7 +90,7 @@ def weather_docs(events: DataFrame, region: DataFrame, broken: bool = False) ->
     entity (``borough``) beside the document as a landing partition would give
     it.  Optional keys are absent on some rows (``to_json`` drops NULL fields).
     With ``broken=True`` some documents lose a required path."""
-    v = with_region(events.filter(F.col("event_type") == "view"), region)
+    v = with_region(spread(events.filter(F.col("event_type") == "view"), ["event_id"]), region)
     eid, val = F.col("event_id"), F.col("value")
     r10 = F.pmod(eid, F.lit(10))
     epoch = X.ntz_to_epoch("ts")

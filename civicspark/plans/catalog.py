@@ -14,7 +14,6 @@ from civicspark import constants as C
 from civicspark import schemas
 from civicspark.functions import scalars as X
 from civicspark.operators import analytics, census, history, paging, quality, requests, weather
-from civicspark.operators.util import broadcast_if_small
 from civicspark.plans import adapters as A
 from civicspark.session import shared_path
 from civicspark.sinks import tables as sinks
@@ -297,8 +296,8 @@ def yoy_change(spark, sf):
                 .groupBy("o_custkey", F.year("o_orderdate").cast("int").alias("year"))
                 .agg(F.count(F.lit(1)).alias("n")))
     cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nation = broadcast_if_small(_t(spark, sf, "nation").select("n_nationkey", "n_regionkey"), 100_000)
-    region = broadcast_if_small(_t(spark, sf, "region").select("r_regionkey", "r_name"), 100_000)
+    nation = _t(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    region = _t(spark, sf, "region").select("r_regionkey", "r_name")
     j = (per_cust.join(cust, per_cust.o_custkey == cust.c_custkey)
          .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
@@ -323,8 +322,8 @@ def daily_volume(spark, sf):
 
 
 def _region_demographics(spark, sf) -> DataFrame:
-    nation = broadcast_if_small(_t(spark, sf, "nation").select("n_nationkey", "n_regionkey"), 100_000)
-    region = broadcast_if_small(_t(spark, sf, "region").select("r_regionkey", "r_name"), 100_000)
+    nation = _t(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    region = _t(spark, sf, "region").select("r_regionkey", "r_name")
     c = (_t(spark, sf, "customer").select("c_nationkey", "c_acctbal")
          .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
