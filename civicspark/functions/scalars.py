@@ -15,7 +15,7 @@ __all__ = [
     "safe_float", "negative_as_null", "guarded_rate", "lookup_or_default",
     "get_or_default", "epoch_to_ntz", "ntz_to_epoch", "iso_to_ntz", "ntz_to_iso_ms",
     "lookback_bound", "validate_mode", "over_length", "normalise_borough",
-    "local_day", "text_or_null", "as_of_literal", "county_borough_map",
+    "local_day", "text_or_null", "as_of_literal", "county_borough_map", "zip_header",
 ]
 
 def epoch_ntz() -> Column:
@@ -125,3 +125,14 @@ def normalise_borough(x) -> Column:
 def local_day(x, zone: str = "America/New_York") -> Column:
     """Naive-UTC timestamp -> calendar day in the city's zone (DST-aware)."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(x)).cast("date")
+
+
+def zip_header(header, cells) -> Column:
+    """``dict(zip(header, cells))``: pairs up to the shorter side, and for a
+    repeated header name the last pair wins."""
+    header, cells = _c(header), _c(cells)
+    n = F.least(F.size(header), F.size(cells))
+    hs, cs = F.slice(header, 1, n), F.slice(cells, 1, n)
+    pairs = F.transform(hs, lambda k, i: F.struct(k.alias("k"), F.get(cs, i).alias("v")))
+    last = F.filter(pairs, lambda e, i: ~F.array_contains(F.slice(hs, i + 2, n), e["k"]))
+    return F.map_from_entries(last)

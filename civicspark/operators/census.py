@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark import constants as C
@@ -10,19 +10,10 @@ from civicspark import schemas
 from civicspark.functions import scalars as X
 
 
-def zip_header(header: Column, cells: Column) -> Column:
-    """``dict(zip(header, cells))``: pairs up to the shorter side, and for a
-    repeated header name the last pair wins."""
-    n = F.least(F.size(header), F.size(cells))
-    hs, cs = F.slice(header, 1, n), F.slice(cells, 1, n)
-    pairs = F.transform(hs, lambda k, i: F.struct(k.alias("k"), F.get(cs, i).alias("v")))
-    last = F.filter(pairs, lambda e, i: ~F.array_contains(F.slice(hs, i + 2, n), e["k"]))
-    return F.map_from_entries(last)
-
-
 def rows_as_maps(exploded: DataFrame) -> DataFrame:
+    """Rows with separate ``header`` / ``cells`` arrays -> ``data`` map."""
     keep = [c for c in exploded.columns if c not in ("header", "cells")]
-    return exploded.select(*keep, zip_header(F.col("header"), F.col("cells")).alias("data"))
+    return exploded.select(*keep, X.zip_header(F.col("header"), F.col("cells")).alias("data"))
 
 
 def clean(rows: DataFrame, ingested_at, survey_year: int = C.SURVEY_YEAR,

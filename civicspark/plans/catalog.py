@@ -7,6 +7,9 @@ oracle SQL in :mod:`civicspark.plans.oracle`.
 
 from __future__ import annotations
 
+import weakref
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,18 +30,41 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, sf, name)
 
 
+_VIEWS: "weakref.WeakKeyDictionary[SparkSession, set[str]]" = weakref.WeakKeyDictionary()
+
+
+def landing_view(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """The landed payloads of a feed as a session temporary view (a stored
+    logical plan, no cached data): registered on first use, then referenced
+    by name.  Every execution still reads the tables and parses everything."""
+    name = f"landing_{kind}_{zlib.crc32(sf.encode()):08x}"
+    known = _VIEWS.setdefault(spark, set())
+    if name not in known:
+        events, region = _t(spark, sf, "events"), _t(spark, sf, "region")
+        build = {
+            "request_records": lambda: A.request_records(events, region),
+            "request_pages": lambda: A.request_pages(landing_view(spark, sf, "request_records"))
+            .select("value"),
+            "weather_docs": lambda: A.weather_docs(events, region),
+            "weather_docs_broken": lambda: A.weather_docs(events, region, broken=True),
+            "survey_docs": lambda: A.survey_docs(_t(spark, sf, "customer")).select("value"),
+        }[kind]
+        build().createOrReplaceTempView(name)
+        known.add(name)
+    return spark.table(name)
+
+
 def _as_of(spark, sf) -> "F.Column":
     """Load time of the registered queries: the newest event (a scalar subquery)."""
     return _t(spark, sf, "events").select(F.max("ts")).scalar()
 
 
 def _records(spark, sf) -> DataFrame:
-    return A.request_records(_t(spark, sf, "events"), _t(spark, sf, "region"))
+    return landing_view(spark, sf, "request_records")
 
 
 def _landed_records(spark, sf) -> DataFrame:
-    pages = A.request_pages(_records(spark, sf)).select("value")
-    return explode_request_pages(pages)
+    return explode_request_pages(landing_view(spark, sf, "request_pages"))
 
 
 def _request_rows(spark, sf) -> DataFrame:
@@ -46,14 +72,13 @@ def _request_rows(spark, sf) -> DataFrame:
 
 
 def _weather_rows(spark, sf, ingested_at=A.FIXED_INGESTED_AT) -> DataFrame:
-    docs = A.weather_docs(_t(spark, sf, "events"), _t(spark, sf, "region"))
+    docs = landing_view(spark, sf, "weather_docs")
     return weather.flatten(parse_weather_docs(docs.select("borough", "value")), ingested_at)
 
 
 def _survey_rows(spark, sf) -> DataFrame:
-    docs = A.survey_docs(_t(spark, sf, "customer")).select("value")
-    rows = census.rows_as_maps(explode_census_docs(docs))
-    return rows.withColumn("name", F.col("data")["NAME"])
+    docs = landing_view(spark, sf, "survey_docs")
+    return explode_census_docs(docs).withColumn("name", F.col("data")["NAME"])
 
 
 # --- scans, projections, defaults ------------------------------------------------
@@ -241,7 +266,7 @@ def weather_flatten(spark, sf):
 
 
 def weather_required_fields(spark, sf):
-    docs = A.weather_docs(_t(spark, sf, "events"), _t(spark, sf, "region"), broken=True)
+    docs = landing_view(spark, sf, "weather_docs_broken")
     checked = parse_weather_docs(docs.select("value")).select(weather.issues("doc").alias("i"))
     reason = F.coalesce(F.try_element_at("i", F.lit(1)), F.lit("ok"))
     return checked.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))

@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no per-Column call-site capture while plans are built (errors still raise)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicspark.functions.scalars import zip_header
+
 REQUEST_PAGE_SCHEMA = "array<map<string,string>>"
 CENSUS_DOC_SCHEMA = "array<array<string>>"
 
@@ -46,15 +48,18 @@ def parse_weather_docs(docs: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def explode_census_docs(docs: DataFrame, text_col: str = "value") -> DataFrame:
-    """Header-plus-rows documents -> one row per data row with ``header`` and
-    ``cells`` arrays.  Element 0 is the header; a header-only document yields
-    no rows; JSON numbers arrive as text."""
+    """Header-plus-rows documents -> one row per data row with ``data``, the
+    row keyed by the header (``dict(zip(header, row))``).  Element 0 is the
+    header; a header-only document yields no rows; JSON numbers arrive as
+    text.
+
+    The zip happens inside the ``explode`` (a Generate node), so each row's
+    map is built once; as a projection, filters pushed below it would rebuild
+    the map once per predicate."""
     arr = F.from_json(F.col(text_col), CENSUS_DOC_SCHEMA)
     keep = [c for c in docs.columns if c != text_col]
     parsed = docs.select(*keep, arr.alias("_doc"))
-    return parsed.select(
-        *keep,
-        F.col("_doc")[0].alias("header"),
-        F.explode(F.slice(F.col("_doc"), 2, F.greatest(F.size("_doc") - 1, F.lit(0))))
-        .alias("cells"),
-    )
+    header = F.col("_doc")[0]
+    rows = F.slice(F.col("_doc"), 2, F.greatest(F.size("_doc") - 1, F.lit(0)))
+    return parsed.select(*keep, F.explode(F.transform(rows, lambda r: zip_header(header, r)))
+                         .alias("data"))

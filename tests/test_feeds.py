@@ -132,8 +132,7 @@ SURVEY = [["NAME", "B01003_001E", "B19013_001E", "B17001_002E", "B25001_001E", "
 
 
 def survey_rows(spark, docs):
-    rows = census.rows_as_maps(explode_census_docs(text_df(spark, docs)))
-    return rows.withColumn("name", F.col("data")["NAME"])
+    return explode_census_docs(text_df(spark, docs)).withColumn("name", F.col("data")["NAME"])
 
 
 def test_survey_example(spark):
