@@ -28,7 +28,10 @@ def spread(df: DataFrame, key_cols: list[str]) -> DataFrame:
     than the cluster has cores (e.g. one small file), so per-row CPU work is
     parallel.  On large inputs the scan already has enough splits and the
     frame is returned unchanged (no shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
         return df
     return df.repartition(cores, *key_cols)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import weakref
 import zlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,11 @@ def landing_view(spark: SparkSession, sf: str, kind: str) -> DataFrame:
         }[kind]
         build().createOrReplaceTempView(name)
         known.add(name)
-    return spark.table(name)
+    try:
+        return spark.table(name)
+    except AnalysisException:          # the view was dropped: register it again
+        known.discard(name)
+        return landing_view(spark, sf, kind)
 
 
 def _as_of(spark, sf) -> "F.Column":
