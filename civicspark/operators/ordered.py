@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.operators.util import bounded_broadcast, partitions_for
+from civicspark.operators.util import partitions_for
 from civicspark.session import ensure_checkpoint_dir
 
 
@@ -52,7 +52,8 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (ranged.join(bounded_broadcast(offsets, p), "_pid")
+    # ``offsets`` has one row per range partition (at most ``p``): a bounded broadcast
+    return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(index_col, F.col("_off") + F.col("_pos"))
             .drop("_pid", "_pos", "_off"))
 

@@ -10,12 +10,6 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded by construction
-    (``max_rows`` is that bound, e.g. one row per partition)."""
-    return F.broadcast(df)
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast only after checking the size (a ``limit(max_rows+1)`` count);
     otherwise leave the join to a shuffle (or to AQE's runtime conversion)."""

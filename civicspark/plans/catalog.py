@@ -137,13 +137,20 @@ def load_batches(spark, sf):
 
 
 def load_counts(spark, sf):
+    """Rows each load would append, per source and mode.  Both request windows
+    are counted in one pass over the landed rows (conditional counts), not by
+    running the two loads."""
     rows, as_of = _request_rows(spark, sf), _as_of(spark, sf)
-    loads = [requests.add_lineage(requests.window_for_mode(rows, m, as_of), A.FIXED_INGESTED_AT,
-                                  C.SOURCE_REQUESTS, m).select("_source", "_ingestion_mode")
-             for m in ("historical", "incremental")]
-    wx = _weather_rows(spark, sf).select("_source", F.lit(None).cast("string").alias("_ingestion_mode"))
-    allrows = loads[0].unionByName(loads[1]).unionByName(wx)
-    return allrows.groupBy("_source", "_ingestion_mode").agg(F.count(F.lit(1)).alias("loaded_rows"))
+    t = X.iso_to_ntz("created_date")
+    modes = ["historical", "incremental"]
+    req = rows.agg(*[F.count_if(t >= X.lookback_bound(m, as_of)).alias(m) for m in modes])
+    req = req.select(F.inline(F.array(*[
+        F.struct(F.lit(C.SOURCE_REQUESTS).alias("_source"), F.lit(m).alias("_ingestion_mode"),
+                 F.col(m).alias("loaded_rows")) for m in modes])))
+    wx = _weather_rows(spark, sf).agg(F.count(F.lit(1)).alias("loaded_rows")).select(
+        F.lit(C.SOURCE_WEATHER).alias("_source"), F.lit(None).cast("string").alias("_ingestion_mode"),
+        "loaded_rows")
+    return req.unionByName(wx)
 
 
 # --- survey feed -----------------------------------------------------------------

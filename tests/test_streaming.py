@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from civicspark.plans import jobs
 from civicspark.streaming import feeds
 from civicspark.session import shared_path
 
@@ -33,6 +34,8 @@ def test_available_now_increments_equal_one_batch_and_replay_adds_nothing(spark,
     got = spark.read.parquet(table)
     assert got.count() == 250 and got.select("unique_key").distinct().count() == 250
     assert got.columns[-3:] == ["_ingested_at", "_ingestion_mode", "_source"]
+    batch = jobs.request_rows(spark, land, "incremental", "2024-05-03 00:00:00", "2024-05-02 00:00:00")
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
 def test_redeliveries_dropped_within_watermark(spark, tmp_dir):
