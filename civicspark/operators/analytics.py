@@ -37,11 +37,14 @@ def ratio(num, den, digits: int = 4) -> Column:
 def weather_vs_requests(requests: DataFrame, observations: DataFrame, demographics: DataFrame,
                         req_borough: str = "borough", req_ts: str = "created_at",
                         obs_borough: str = "borough", obs_ts: str = "observation_timestamp",
-                        temp_col: str = "temp_celsius") -> DataFrame:
+                        temp_col: str = "temp_celsius", obs_zone: str | None = None) -> DataFrame:
     """Per borough: days with requests, request count, Pearson correlation of
     daily request volume with daily mean temperature (rounded to 6 places),
     and the borough's demographics.
 
+    ``obs_zone``: when request times are local wall-clock and observation
+    times UTC, observations are put on the local day of that zone first.
+
     Both feeds are reduced to (borough, day) first (partial aggregation), so
     the join is between two tables of at most boroughs x days rows and the
     planner (AQE) broadcasts or shuffles them by their real size."""
@@ -51,7 +54,9 @@ def weather_vs_requests(requests: DataFrame, observations: DataFrame, demographi
                  .groupBy("borough", "day").agg(F.count(F.lit(1)).alias("n_req")))
     obs_daily = (observations
                  .select(X.normalise_borough(F.col(obs_borough)).alias("borough"),
-                         F.to_date(F.col(obs_ts)).alias("day"), F.col(temp_col).alias("t"))
+                         (X.local_day(F.col(obs_ts), obs_zone) if obs_zone
+                          else F.to_date(F.col(obs_ts))).alias("day"),
+                         F.col(temp_col).alias("t"))
                  .groupBy("borough", "day").agg(F.avg("t").alias("mean_temp")))
     per_borough = (req_daily.join(obs_daily, ["borough", "day"], "left")
                    .groupBy("borough")
