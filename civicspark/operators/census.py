@@ -10,12 +10,6 @@ from civicspark import schemas
 from civicspark.functions import scalars as X
 
 
-def rows_as_maps(exploded: DataFrame) -> DataFrame:
-    """Rows with separate ``header`` / ``cells`` arrays -> ``data`` map."""
-    keep = [c for c in exploded.columns if c not in ("header", "cells")]
-    return exploded.select(*keep, X.zip_header(F.col("header"), F.col("cells")).alias("data"))
-
-
 def clean(rows: DataFrame, ingested_at, survey_year: int = C.SURVEY_YEAR,
           data_col: str = "data", keep: list[str] | None = None) -> DataFrame:
     """Header-zipped rows -> ``census_raw`` rows (typed, sentinels nulled,

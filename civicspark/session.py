@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,13 +52,3 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a staged table or version."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/civicspark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def warehouse_path(spark: SparkSession, name: str) -> str:
-    """A fresh table location under the session's warehouse directory."""
-    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    return f"{base}/civicspark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(p: str) -> bool:
-    return p.startswith("file:") or os.path.isabs(p)
