@@ -24,16 +24,31 @@ def assert_unique_keys(source: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"duplicate source keys on {keys}")
 
 
+# Sources up to this many rows take the broadcast path (checked with a bounded
+# count); larger ones the full outer join.
+BROADCAST_SOURCE_ROWS = 100_000
+
+
 def merge(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-          check_unique: bool = True) -> DataFrame:
+          check_unique: bool = True, broadcast_rows: int = BROADCAST_SOURCE_ROWS) -> DataFrame:
+    """Merged table.  A small source (at most ``broadcast_rows``, counted with a
+    ``limit``) is broadcast and the target is never shuffled; otherwise one
+    full outer join shuffles both sides on the key."""
     if check_unique:
         assert_unique_keys(source, keys)
+    if broadcast_rows and source.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return _merge_small_source(target, source, keys, update_cols)
+    return _merge_full_outer(target, source, keys, update_cols)
+
+
+def _sides(target: DataFrame, source: DataFrame):
     cols = target.columns
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"))
-    cond = [t[f"t_{k}"] == s[f"s_{k}"] for k in keys]
-    j = t.join(s, cond, "full_outer")
-    t_here, s_here = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+    return cols, t, s
+
+
+def _pick(cols, update_cols, t_here, s_here):
     out = []
     for c in cols:
         if c in update_cols:
@@ -41,4 +56,24 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], update_cols: li
         else:
             e = F.when(t_here, F.col(f"t_{c}")).otherwise(F.col(f"s_{c}"))
         out.append(e.alias(c))
-    return j.select(*out)
+    return out
+
+
+def _merge_full_outer(target, source, keys, update_cols) -> DataFrame:
+    cols, t, s = _sides(target, source)
+    j = t.join(s, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys], "full_outer")
+    return j.select(*_pick(cols, update_cols, F.col("_t").isNotNull(), F.col("_s").isNotNull()))
+
+
+def _merge_small_source(target, source, keys, update_cols) -> DataFrame:
+    """Target rows stream through a broadcast of the source (updates in place);
+    source rows whose key no target row has are appended.  Those keys come from
+    a key-columns-only read of the target, semi-joined to the (broadcast) source
+    keys, so that result is bounded by the source size too."""
+    cols, t, s = _sides(target, source)
+    updated = t.join(F.broadcast(s), [t[f"t_{k}"] == s[f"s_{k}"] for k in keys], "left") \
+        .select(*_pick(cols, update_cols, F.lit(True), F.col("_s").isNotNull()))
+    src_keys = source.select(*keys)
+    hit = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi").distinct()
+    inserts = source.join(F.broadcast(hit), keys, "left_anti").select(*cols)
+    return updated.unionByName(inserts)

@@ -65,6 +65,32 @@ def test_sink_upsert_idempotent_and_partition_only(spark):
 def test_row_count_is_union_of_keys(spark, tkeys, skeys):
     t = spark.createDataFrame([row(f"b{k}", 2022, 1.0) for k in tkeys], SCHEMA)
     s = spark.createDataFrame([row(f"b{k}", 2022, 2.0, at=T1) for k in skeys], SCHEMA)
-    out = merge(t, s, schemas.CENSUS_KEY, schemas.CENSUS_UPDATE).collect()
-    assert len(out) == len(tkeys | skeys)
-    assert all(r.total_population == (2.0 if int(r.borough[1:]) in skeys else 1.0) for r in out)
+    small = merge(t, s, schemas.CENSUS_KEY, schemas.CENSUS_UPDATE).collect()
+    full = merge(t, s, schemas.CENSUS_KEY, schemas.CENSUS_UPDATE, broadcast_rows=0).collect()
+    assert sorted(map(tuple, small), key=str) == sorted(map(tuple, full), key=str)
+    assert len(small) == len(tkeys | skeys)
+    assert all(r.total_population == (2.0 if int(r.borough[1:]) in skeys else 1.0) for r in small)
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_both_paths_keep_null_key_rows(spark, broadcast_rows):
+    t = spark.createDataFrame([row(None, 2022, 1.0), row("Bronx", 2022, 1.0)], SCHEMA)
+    s = spark.createDataFrame([row(None, 2022, 2.0), row("Bronx", 2022, 5.0, at=T1)], SCHEMA)
+    out = merge(t, s, schemas.CENSUS_KEY, schemas.CENSUS_UPDATE, broadcast_rows=broadcast_rows)
+    got = sorted(((r.borough, r.total_population) for r in out.collect()), key=str)
+    assert got == sorted([(None, 1.0), (None, 2.0), ("Bronx", 5.0)], key=str)
+
+
+def test_small_source_does_not_shuffle_target(spark):
+    t = spark.range(10000).selectExpr("concat('b', id) as borough", "'061' as county_fips",
+                                      "'36' as state_fips", "2022 as survey_year",
+                                      "1.0 as total_population", "1.0 as median_household_income",
+                                      "1.0 as population_below_poverty", "1.0 as total_housing_units",
+                                      "1.0 as total_workers_commuting", "1.0 as poverty_rate_pct",
+                                      "timestamp_ntz'2024-01-01 00:00:00' as _ingested_at",
+                                      "'old' as _source")
+    s = spark.createDataFrame([row("b5", 2022, 9.0, at=T1), row("new", 2022, 3.0, at=T1)], SCHEMA)
+    out = merge(t.select(*SCHEMA.names), s, schemas.CENSUS_KEY, schemas.CENSUS_UPDATE)
+    assert out.count() == 10001
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
