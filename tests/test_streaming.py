@@ -61,6 +61,8 @@ def test_streaming_upsert_keeps_newest_status(spark, tmp_dir):
     got = {r.unique_key: r.status for r in spark.read.parquet(table).collect()}
     assert len(got) == 75
     assert got["10"] == "Open" and got["30"] == "Closed" and got["70"] == "Closed"
+    day_dirs = [d for d in os.listdir(table.removeprefix("file:")) if d.startswith("_created_day=")]
+    assert day_dirs == ["_created_day=2024-05-01"]
 
 
 def test_daily_windows_wait_for_watermark(spark, tmp_dir):
