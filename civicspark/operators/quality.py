@@ -9,9 +9,10 @@ from civicspark.functions import scalars as X
 from civicspark.schemas import Col
 
 
-def conform(df: DataFrame, contract: list[Col]) -> DataFrame:
+def conform(df: DataFrame, contract: list[Col], keep: list[str] | None = None) -> DataFrame:
     """Select the contract's columns in declared order and types; a column the
-    frame lacks takes its declared default (or NULL)."""
+    frame lacks takes its declared default (or NULL).  ``keep`` columns (e.g.
+    partition columns) follow unchanged."""
     have = set(df.columns)
     cols = []
     for c in contract:
@@ -22,7 +23,7 @@ def conform(df: DataFrame, contract: list[Col]) -> DataFrame:
         else:
             e = F.lit(None)
         cols.append(e.cast(c.dtype).alias(c.name))
-    return df.select(*cols)
+    return df.select(*cols, *(keep or []))
 
 
 def length_violations(df: DataFrame, max_lengths: dict[str, int]) -> DataFrame:

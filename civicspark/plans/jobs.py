@@ -34,16 +34,29 @@ def request_rows(spark: SparkSession, landing_dir: str, mode: str, as_of, ingest
     return rows.select(*[c.name for c in schemas.REQUESTS_RAW])
 
 
+DAY_PARTITION = "_created_day"
+
+
 def load_requests(spark: SparkSession, landing_dir: str, table_path: str, mode: str = C.DEFAULT_MODE,
-                  as_of=None, ingested_at=None, check_lengths: bool = True) -> int:
+                  as_of=None, ingested_at=None, check_lengths: bool = True,
+                  partition_by_day: bool = False) -> int:
     """Append the window of ``mode`` to the requests table; returns rows loaded
-    (0 and no write when nothing qualifies)."""
+    (0 and no write when nothing qualifies).
+
+    ``partition_by_day`` adds ``_created_day`` (date of ``created_date``) and
+    partitions the table by it, so later look-back reads prune to the days of
+    their window."""
     as_of = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
     ingested_at = ingested_at if ingested_at is not None else as_of
     rows = request_rows(spark, landing_dir, mode, as_of, ingested_at)
     if check_lengths:
         rows = reject_over_length(rows, schemas.max_lengths(schemas.REQUESTS_RAW))
-    return sinks.load_feed(rows, table_path, "requests_raw",
+    part = None
+    if partition_by_day:
+        rows = rows.withColumn(DAY_PARTITION, F.to_date(X.iso_to_ntz("created_date")))
+        part = [DAY_PARTITION]
+    # files of at most ten insert batches (50,000 rows)
+    return sinks.load_feed(rows, table_path, "requests_raw", partition_by=part,
                            max_records_per_file=C.INSERT_BATCH_SIZE * 10)
 
 

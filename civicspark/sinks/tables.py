@@ -42,13 +42,15 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def load_feed(df: DataFrame, path: str, contract_name: str,
-              max_records_per_file: int | None = None) -> int:
-    """Conform to the table contract and append.  Empty input touches nothing
-    and returns 0."""
+              max_records_per_file: int | None = None,
+              partition_by: list[str] | None = None) -> int:
+    """Conform to the table contract (keeping any partition columns) and
+    append.  Empty input touches nothing and returns 0."""
     if df.isEmpty():
         return 0
     contract, _ = schemas.CONTRACTS[contract_name]
-    return append(conform(df, contract), path, max_records_per_file=max_records_per_file)
+    return append(conform(df, contract, keep=partition_by), path, partition_by=partition_by,
+                  max_records_per_file=max_records_per_file)
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:

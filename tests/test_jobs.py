@@ -66,3 +66,18 @@ def test_survey_load_is_idempotent_upsert(spark, tmp_dir):
     assert len(rows) == 2 and {r._ingested_at.month for r in rows} == {6}
     jobs.load_survey(spark, f"{tmp_dir}/census", table, "2024-06-01 00:00:00", survey_year=2023)
     assert spark.read.parquet(table).count() == 4
+
+
+def test_day_partitioned_requests_prune_to_the_window(spark, tmp_dir):
+    land(f"{tmp_dir}/in", "page.json", json.dumps(
+        [{"unique_key": str(i), "created_date": f"2024-04-{1 + i % 30:02d}T10:00:00.000"}
+         for i in range(300)]))
+    table = f"{tmp_dir}/requests_raw"
+    assert jobs.load_requests(spark, f"{tmp_dir}/in", table, "historical", as_of="2024-05-01 00:00:00",
+                              partition_by_day=True) == 300
+    assert len([d for d in os.listdir(table) if d.startswith("_created_day=")]) == 30
+    from pyspark.sql import functions as F
+    recent = spark.read.parquet(table).filter(F.col("_created_day") >= "2024-04-28")
+    assert recent.count() == 30
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_created_day" in plan
