@@ -26,17 +26,20 @@ def assert_unique_keys(source: DataFrame, keys: list[str]) -> None:
 
 # Sources up to this many rows take the broadcast path (checked with a bounded
 # count); larger ones the full outer join.
-BROADCAST_SOURCE_ROWS = 100_000
+BROADCAST_SOURCE_ROWS = 20_000
 
 
 def merge(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-          check_unique: bool = True, broadcast_rows: int = BROADCAST_SOURCE_ROWS) -> DataFrame:
-    """Merged table.  A small source (at most ``broadcast_rows``, counted with a
-    ``limit``) is broadcast and the target is never shuffled; otherwise one
-    full outer join shuffles both sides on the key."""
+          check_unique: bool = True, broadcast_rows: int = BROADCAST_SOURCE_ROWS,
+          source_rows: int | None = None) -> DataFrame:
+    """Merged table.  A small source (at most ``broadcast_rows``; ``source_rows``
+    when known, else counted with a ``limit``) is broadcast and the target is
+    never shuffled; otherwise one full outer join shuffles both sides on the key."""
     if check_unique:
         assert_unique_keys(source, keys)
-    if broadcast_rows and source.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if source_rows is None and broadcast_rows:
+        source_rows = source.limit(broadcast_rows + 1).count()
+    if broadcast_rows and source_rows <= broadcast_rows:
         return _merge_small_source(target, source, keys, update_cols)
     return _merge_full_outer(target, source, keys, update_cols)
 
@@ -74,6 +77,6 @@ def _merge_small_source(target, source, keys, update_cols) -> DataFrame:
     updated = t.join(F.broadcast(s), [t[f"t_{k}"] == s[f"s_{k}"] for k in keys], "left") \
         .select(*_pick(cols, update_cols, F.lit(True), F.col("_s").isNotNull()))
     src_keys = source.select(*keys)
-    hit = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi").distinct()
+    hit = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi")
     inserts = source.join(F.broadcast(hit), keys, "left_anti").select(*cols)
     return updated.unionByName(inserts)

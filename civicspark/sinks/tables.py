@@ -66,27 +66,30 @@ def upsert(source: DataFrame, path: str, keys: list[str], update_cols: list[str]
            partition_col: str | None = None) -> int:
     """MERGE ``source`` into the Parquet table at ``path`` on ``keys``.
 
+    The source is staged first (written once to the shared folder, its rows
+    counted during that write), so the key check, the broadcast decision and
+    the merge read the staged copy instead of recomputing the source plan.
     Only target partitions that the source touches are read (a semi-join on
     the partition column, which becomes partition pruning) and rewritten.
     Returns the number of staged source rows."""
     spark = source.sparkSession
+    staged_path = shared_path(spark, "upsert-source")
+    n = append(source, staged_path)
+    staged = spark.read.parquet(staged_path).select(*source.columns)
+    assert_unique_keys(staged, keys)
     target = read_table_or_empty(spark, path, source.schema).select(*source.columns)
     if partition_col:
-        touched = source.select(partition_col).distinct()
+        touched = staged.select(partition_col).distinct()
         target = target.join(touched, partition_col, "left_semi")
-    assert_unique_keys(source, keys)
-    stage = shared_path(spark, "upsert-stage")
-    obs = Observation("staged")
-    src_n = source.observe(obs, F.count(F.lit(1)).alias("n"))
-    # staged rows are counted while the merged result is written
-    merged = merge(target, src_n, keys, update_cols, check_unique=False)
+    merged = merge(target, staged, keys, update_cols, check_unique=False, source_rows=n)
+    out_path = shared_path(spark, "upsert-stage")
     w = merged.write.mode("overwrite").format("parquet")
     if partition_col:
         w = w.partitionBy(partition_col)
-    w.save(stage)
-    out = spark.read.parquet(stage).select(*source.columns)
+    w.save(out_path)
+    out = spark.read.parquet(out_path).select(*source.columns)
     w2 = out.write.mode("overwrite").format("parquet")
     if partition_col:
         w2 = w2.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
     w2.save(path)
-    return int(obs.get["n"])
+    return n
