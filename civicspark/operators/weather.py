@@ -63,18 +63,27 @@ def issues(doc_col: str = "doc") -> Column:
         lambda x: x.isNotNull())
 
 
-def _epoch(doc: Column, path: str) -> Column:
-    secs = _get(doc, path, "double")
+def _number(doc: Column, num: Column, path: str) -> Column:
+    """JSON number at ``path`` as double: the typed parse (exact float
+    semantics, keeps -0.0), else the VARIANT cast (text-encoded numbers)."""
+    typed = num
+    for part in path.removeprefix("$.").replace("['", ".").replace("']", "").split("."):
+        typed = typed[part]
+    return F.coalesce(typed, _get(doc, path, "double"))
+
+
+def _epoch(secs: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.round(secs * 1_000_000).cast("long"), X.epoch_ntz())
 
 
-def flat_columns(doc_col: str = "doc", borough_col: str = "borough") -> list[Column]:
-    d = F.col(doc_col)
+def flat_columns(doc_col: str = "doc", borough_col: str = "borough",
+                 num_col: str = "num") -> list[Column]:
+    d, n = F.col(doc_col), F.col(num_col)
 
     def opt_text(path, default):
         return F.when(_present(d, path), _get(d, path, "string")).otherwise(F.lit(default))
 
-    dbl = lambda p: _get(d, p, "double")
+    dbl = lambda p: _number(d, n, p)
     return [
         F.col(borough_col).cast("string").alias("borough"),
         opt_text("$.name", "").alias("city_name"),
@@ -96,9 +105,9 @@ def flat_columns(doc_col: str = "doc", borough_col: str = "borough") -> list[Col
         dbl("$.clouds.all").alias("cloudiness_pct"),
         dbl("$.rain['1h']").alias("rain_1h_mm"),
         dbl("$.snow['1h']").alias("snow_1h_mm"),
-        _epoch(d, "$.dt").alias("observation_timestamp"),
-        _epoch(d, "$.sys.sunrise").alias("sunrise_timestamp"),
-        _epoch(d, "$.sys.sunset").alias("sunset_timestamp"),
+        _epoch(dbl("$.dt")).alias("observation_timestamp"),
+        _epoch(dbl("$.sys.sunrise")).alias("sunrise_timestamp"),
+        _epoch(dbl("$.sys.sunset")).alias("sunset_timestamp"),
     ]
 
 

@@ -35,16 +35,35 @@ def explode_request_pages(pages: DataFrame, text_col: str = "value") -> DataFram
     return pages.select(*keep, rec.alias("record"))
 
 
+# numeric leaves of an observation document, read as JSON doubles
+WEATHER_NUMBERS = (
+    "coord struct<lat double, lon double>, "
+    "main struct<temp double, feels_like double, temp_min double, temp_max double, "
+    "pressure double, humidity double>, visibility double, "
+    "wind struct<speed double, deg double>, clouds struct<`all` double>, "
+    "rain struct<`1h` double>, snow struct<`1h` double>, dt double, "
+    "sys struct<sunrise double, sunset double>")
+
+
 def parse_weather_docs(docs: DataFrame, text_col: str = "value") -> DataFrame:
-    """Nested observation documents -> ``doc`` VARIANT column.  A VARIANT keeps
-    the difference between an absent path (SQL NULL) and a JSON null.
+    """Nested observation documents -> ``doc`` VARIANT column plus ``num``, the
+    numeric leaves parsed as JSON doubles.
+
+    The VARIANT keeps the difference between an absent path (SQL NULL) and a
+    JSON null.  It stores exact decimals, which have no negative zero, so
+    numbers are read from the typed parse (``-0.0`` stays ``-0.0``, integers
+    widen to double), falling back to the VARIANT for text-encoded numbers.
 
-    The document is parsed inside a one-element ``explode`` (a Generate node):
+    The VARIANT is parsed inside a one-element ``explode`` (a Generate node):
     the ~40 path lookups downstream then read one parsed value per row.  As a
     plain projection the optimizer would substitute the parse into every
-    pushed-down predicate, parsing each document once per lookup."""
+    pushed-down predicate, parsing each document once per lookup.  The typed
+    parse stays a projection, so Catalyst prunes its schema to the numbers a
+    query reads (and drops it when none are read)."""
     keep = [c for c in docs.columns if c != text_col]
-    return docs.select(*keep, F.explode(F.array(F.parse_json(F.col(text_col)))).alias("doc"))
+    text = F.col(text_col)
+    with_doc = docs.select(*keep, text, F.explode(F.array(F.parse_json(text))).alias("doc"))
+    return with_doc.select(*keep, "doc", F.from_json(text, WEATHER_NUMBERS).alias("num"))
 
 
 def explode_census_docs(docs: DataFrame, text_col: str = "value") -> DataFrame:

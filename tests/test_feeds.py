@@ -99,6 +99,12 @@ def test_weather_flatten_example(spark):
     assert len(flatten(spark, [DOC]).columns) == 25
 
 
+def test_weather_numbers_keep_float_semantics(spark):
+    r = flatten(spark, [variant(coord__lon=-0.0, main__temp="12.5")]).first()
+    assert r.lon == 0.0 and str(r.lon) == "-0.0"      # sign of zero kept
+    assert r.temp_celsius == 12.5                     # text-encoded number cast
+
+
 def test_weather_optional_defaults(spark):
     r = flatten(spark, [variant(name=..., sys__country=..., wind__deg=..., main__temp=None)]).first()
     assert r.city_name == "" and r.country == "" and r.wind_direction_deg is None
