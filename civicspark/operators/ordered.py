@@ -25,7 +25,7 @@ re-reads them instead of re-sampling.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.operators.util import partitions_for

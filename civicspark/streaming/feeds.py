@@ -22,7 +22,7 @@ from civicspark import schemas
 from civicspark.functions import scalars as X
 from civicspark.operators import history, requests
 from civicspark.sinks import tables as sinks
-from civicspark.sources.landing import explode_request_pages, read_payloads
+from civicspark.sources.landing import explode_request_pages
 
 LOOKBACK = f"{C.INCREMENTAL_DAYS} days"
 

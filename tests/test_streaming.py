@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from civicspark.plans import jobs
 from civicspark.streaming import feeds
