@@ -34,13 +34,17 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).  Only when it is
-    unset (local tests) a folder of our own is chosen."""
+    unset in local mode (tests) a folder of our own is chosen; on a cluster an
+    unset folder is an error, since a machine-local path is not shared."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="civicspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
