@@ -19,6 +19,7 @@ from civicspark import schemas
 from civicspark.functions import scalars as X
 from civicspark.operators import analytics, census, history, paging, quality, requests, weather
 from civicspark.plans import adapters as A
+from civicspark.plans import models
 from civicspark.session import shared_path
 from civicspark.sinks import tables as sinks
 from civicspark.sources.landing import explode_census_docs, explode_request_pages, parse_weather_docs
@@ -328,6 +329,37 @@ def scd2_dimension(spark, sf):
     return history.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"], "ts")
 
 
+def _region_year_demographics(spark, sf) -> DataFrame:
+    """``census_raw``-shaped rows per (region as borough, order year): customers
+    who ordered, their largest order, status counts; the rate is guarded."""
+    o = _t(spark, sf, "orders")
+    st = F.col("o_orderstatus")
+    per_cust = (o.groupBy("o_custkey", F.year("o_orderdate").cast("int").alias("survey_year"))
+                .agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"),
+                     F.count_if(st == "F").alias("f"), F.count_if(st == "P").alias("p")))
+    cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nation = _t(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    region = _t(spark, sf, "region").select("r_regionkey", "r_name")
+    j = (per_cust.join(cust, per_cust.o_custkey == cust.c_custkey)
+         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+    agg = j.groupBy(F.col("r_name").alias("borough"), "survey_year").agg(
+        F.count(F.lit(1)).cast("double").alias("total_population"),
+        F.max("top").alias("median_household_income"),
+        F.sum("f").cast("double").alias("population_below_poverty"),
+        F.sum("n").cast("double").alias("total_housing_units"),
+        F.nullif(F.sum("p"), F.lit(0)).cast("double").alias("total_workers_commuting"))
+    return agg.withColumn("poverty_rate_pct",
+                          X.guarded_rate("population_below_poverty", "total_population"))
+
+
+def census_dimension(spark, sf):
+    """The SCD2 demographic model over census-shaped rows: borough key,
+    versions by survey year."""
+    return models.census_dimension(_region_year_demographics(spark, sf)).select(
+        "borough", *models.MEASURES, "valid_from_year", "valid_to_year", "is_current")
+
+
 def yoy_change(spark, sf):
     per_cust = (_t(spark, sf, "orders")
                 .groupBy("o_custkey", F.year("o_orderdate").cast("int").alias("year"))
@@ -410,6 +442,7 @@ QUERIES = {
     "borough_normalise": borough_normalise,
     "local_day": local_day,
     "scd2_dimension": scd2_dimension,
+    "census_dimension": census_dimension,
     "yoy_change": yoy_change,
     "density_proxy": density_proxy,
     "daily_volume": daily_volume,

@@ -281,6 +281,41 @@ s AS (SELECT user_id, event_type, ts, event_id FROM x WHERE rn = 1 OR prev IS DI
 SELECT user_id, event_type, ts AS valid_from,
   lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to,
   lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
+FROM s""",
+    "census_dimension": """
+WITH pc AS (
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS survey_year, count(*) AS n,
+    max(o_totalprice) AS top, count(*) FILTER (WHERE o_orderstatus = 'F') AS f,
+    count(*) FILTER (WHERE o_orderstatus = 'P') AS p
+  FROM orders GROUP BY 1, 2),
+d AS (
+  SELECT r.r_name AS borough, pc.survey_year,
+    CAST(count(*) AS DOUBLE) AS total_population, max(pc.top) AS median_household_income,
+    CAST(sum(pc.f) AS DOUBLE) AS population_below_poverty,
+    CAST(sum(pc.n) AS DOUBLE) AS total_housing_units,
+    CAST(NULLIF(sum(pc.p), 0) AS DOUBLE) AS total_workers_commuting
+  FROM pc JOIN customer c ON c.c_custkey = pc.o_custkey
+  JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+  GROUP BY 1, 2),
+m AS (
+  SELECT *, CASE WHEN total_population > 0 AND population_below_poverty IS NOT NULL
+    THEN round(population_below_poverty / total_population * 100, 2) END AS poverty_rate_pct FROM d),
+x AS (
+  SELECT *, row_number() OVER w AS rn,
+    lag(total_population) OVER w AS p1, lag(median_household_income) OVER w AS p2,
+    lag(population_below_poverty) OVER w AS p3, lag(total_housing_units) OVER w AS p4,
+    lag(total_workers_commuting) OVER w AS p5, lag(poverty_rate_pct) OVER w AS p6
+  FROM m WINDOW w AS (PARTITION BY borough ORDER BY survey_year)),
+s AS (
+  SELECT * FROM x WHERE rn = 1 OR p1 IS DISTINCT FROM total_population
+    OR p2 IS DISTINCT FROM median_household_income OR p3 IS DISTINCT FROM population_below_poverty
+    OR p4 IS DISTINCT FROM total_housing_units OR p5 IS DISTINCT FROM total_workers_commuting
+    OR p6 IS DISTINCT FROM poverty_rate_pct)
+SELECT borough, total_population, median_household_income, population_below_poverty,
+  total_housing_units, total_workers_commuting, poverty_rate_pct,
+  survey_year AS valid_from_year,
+  lead(survey_year) OVER (PARTITION BY borough ORDER BY survey_year) AS valid_to_year,
+  lead(survey_year) OVER (PARTITION BY borough ORDER BY survey_year) IS NULL AS is_current
 FROM s""",
     "yoy_change": """
 WITH a AS (
