@@ -300,6 +300,16 @@ def iso_to_timestamp(spark, sf):
 
 # --- staging and history models ----------------------------------------------------
 
+def requests_latest(spark, sf):
+    """Latest row per request over two loads: a historical back-fill, then an
+    incremental load whose 3-day look-back re-reads the newest rows."""
+    rows, as_of = _request_rows(spark, sf), _as_of(spark, sf)
+    loads = [requests.add_lineage(requests.window_for_mode(rows, m, as_of), at, C.SOURCE_REQUESTS, m)
+             for m, at in (("historical", A.EARLIER_INGESTED_AT), ("incremental", A.FIXED_INGESTED_AT))]
+    raw = loads[0].unionByName(loads[1])
+    return models.requests_latest(raw).select("unique_key", "status", "_ingested_at", "_ingestion_mode")
+
+
 def requests_typed(spark, sf):
     return requests.typed_requests(_request_rows(spark, sf)).select(
         "unique_key", "created_at", "closed_at", "latitude_d", "longitude_d")
@@ -438,6 +448,7 @@ QUERIES = {
     "length_violations": length_violations,
     "table_contract": table_contract,
     "latest_request": latest_request,
+    "requests_latest": requests_latest,
     "requests_typed": requests_typed,
     "borough_normalise": borough_normalise,
     "local_day": local_day,

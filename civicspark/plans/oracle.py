@@ -259,6 +259,13 @@ FROM events""",
     "latest_request": """
 SELECT user_id, event_id, ts, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "requests_latest": f"""
+WITH b AS (SELECT max(ts) AS m FROM events)
+SELECT CAST(event_id AS VARCHAR) AS unique_key,
+  CASE WHEN event_type = 'error' THEN 'Open' ELSE 'Closed' END AS status,
+  CASE WHEN ts >= {_bound('b.m', 3)} THEN {FIXED} ELSE {EARLIER} END AS _ingested_at,
+  CASE WHEN ts >= {_bound('b.m', 3)} THEN 'incremental' ELSE 'historical' END AS _ingestion_mode
+FROM events, b WHERE ts >= {_bound('b.m', 90)}""",
     "requests_typed": """
 SELECT CAST(event_id AS VARCHAR) AS unique_key, date_trunc('millisecond', ts) AS created_at,
   CASE WHEN event_id % 3 = 0 THEN date_trunc('millisecond', ts + INTERVAL 1 HOUR) END AS closed_at,
