@@ -310,6 +310,27 @@ def requests_latest(spark, sf):
     return models.requests_latest(raw).select("unique_key", "status", "_ingested_at", "_ingestion_mode")
 
 
+def requests_daily(spark, sf):
+    """Request volume per borough and local day (the request feed's times are
+    local wall clock), on the latest row of each request."""
+    rows = requests.add_lineage(_request_rows(spark, sf), A.FIXED_INGESTED_AT, C.SOURCE_REQUESTS,
+                                "historical")
+    return models.requests_daily(rows)
+
+
+def weather_request_correlation(spark, sf):
+    """The correlation model: non-view events as requests (local times), view
+    events as UTC observations aligned to the local day, demographics from the
+    current version of the census dimension."""
+    recs = _records(spark, sf).filter(F.col("event_type") != "view").select("record")
+    raw = requests.add_lineage(requests.project_records(recs), A.FIXED_INGESTED_AT,
+                               C.SOURCE_REQUESTS, "historical")
+    out = models.weather_request_correlation(raw, _weather_rows(spark, sf),
+                                             _region_year_demographics(spark, sf))
+    return out.select("borough", "n_days", "requests", "corr_temp", "total_population",
+                      "poverty_rate_pct")
+
+
 def requests_typed(spark, sf):
     return requests.typed_requests(_request_rows(spark, sf)).select(
         "unique_key", "created_at", "closed_at", "latitude_d", "longitude_d")
@@ -449,6 +470,8 @@ QUERIES = {
     "table_contract": table_contract,
     "latest_request": latest_request,
     "requests_latest": requests_latest,
+    "requests_daily": requests_daily,
+    "weather_request_correlation": weather_request_correlation,
     "requests_typed": requests_typed,
     "borough_normalise": borough_normalise,
     "local_day": local_day,

@@ -266,6 +266,35 @@ SELECT CAST(event_id AS VARCHAR) AS unique_key,
   CASE WHEN ts >= {_bound('b.m', 3)} THEN {FIXED} ELSE {EARLIER} END AS _ingested_at,
   CASE WHEN ts >= {_bound('b.m', 3)} THEN 'incremental' ELSE 'historical' END AS _ingestion_mode
 FROM events, b WHERE ts >= {_bound('b.m', 90)}""",
+    "requests_daily": """
+SELECT r.r_name AS borough, CAST(e.ts AS DATE) AS local_day, count(*) AS n_requests
+FROM events e JOIN region r ON r.r_regionkey = e.user_id % 5 GROUP BY 1, 2""",
+    "weather_request_correlation": """
+WITH e AS (SELECT e.*, r.r_name FROM events e JOIN region r ON r.r_regionkey = e.user_id % 5),
+req AS (SELECT upper(r_name) AS borough, CAST(ts AS DATE) AS day, count(*) AS n_req
+        FROM e WHERE event_type <> 'view' GROUP BY 1, 2),
+obs AS (SELECT upper(r_name) AS borough,
+          CAST(timezone('America/New_York', date_trunc('second', ts) AT TIME ZONE 'UTC') AS DATE) AS day,
+          avg(value) AS mean_temp
+        FROM e WHERE event_type = 'view' GROUP BY 1, 2),
+pb AS (SELECT req.borough, count(*) AS n_days, CAST(sum(req.n_req) AS BIGINT) AS requests,
+         round(corr(CAST(req.n_req AS DOUBLE), obs.mean_temp), 6) AS corr_temp
+       FROM req LEFT JOIN obs ON obs.borough = req.borough AND obs.day = req.day GROUP BY 1),
+pc AS (
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS survey_year,
+    count(*) FILTER (WHERE o_orderstatus = 'F') AS f
+  FROM orders GROUP BY 1, 2),
+d AS (
+  SELECT upper(r.r_name) AS borough, pc.survey_year, CAST(count(*) AS DOUBLE) AS total_population,
+    CAST(sum(pc.f) AS DOUBLE) AS below
+  FROM pc JOIN customer c ON c.c_custkey = pc.o_custkey
+  JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+  GROUP BY 1, 2),
+cur AS (SELECT borough, total_population,
+          CASE WHEN total_population > 0 THEN round(below / total_population * 100, 2) END AS poverty_rate_pct
+        FROM d QUALIFY row_number() OVER (PARTITION BY borough ORDER BY survey_year DESC) = 1)
+SELECT pb.borough, pb.n_days, pb.requests, pb.corr_temp, cur.total_population, cur.poverty_rate_pct
+FROM pb LEFT JOIN cur ON cur.borough = pb.borough""",
     "requests_typed": """
 SELECT CAST(event_id AS VARCHAR) AS unique_key, date_trunc('millisecond', ts) AS created_at,
   CASE WHEN event_id % 3 = 0 THEN date_trunc('millisecond', ts + INTERVAL 1 HOUR) END AS closed_at,
