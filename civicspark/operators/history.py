@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.operators.ordered import shift_within
@@ -20,18 +20,32 @@ def latest_by_key(df: DataFrame, key: list[str], order_cols: list[str]) -> DataF
     return agg.select(*key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
+def _window_shift(df: DataFrame, key: list[str], order_cols: list[str], value_cols: list[str],
+                  direction: str) -> DataFrame:
+    """``shift_within`` as a plain window: for keys whose group size is bounded
+    by construction (e.g. one row per borough and survey year)."""
+    w = Window.partitionBy(*key).orderBy(*order_cols)
+    fn = F.lag if direction == "prev" else F.lead
+    out = df.withColumns({f"{direction}_{v}": fn(v).over(w) for v in value_cols})
+    return out.withColumn(f"{direction}__exists", fn(F.lit(True)).over(w).isNotNull())
+
+
 def scd2(df: DataFrame, key: list[str], order_cols: list[str], tracked: list[str],
-         valid_from: str) -> DataFrame:
+         valid_from: str, skew_safe: bool = True) -> DataFrame:
     """Type 2 versions: a new version starts when any tracked column differs
     (NULL-safe) from the previous row of the key; unchanged rows collapse.
     Output: key, tracked, ``valid_from``, ``valid_to`` (next version's start,
-    NULL when open) and ``is_current``."""
-    prev = shift_within(df.select(*key, *order_cols, *tracked), key, order_cols, tracked, "prev")
+    NULL when open) and ``is_current``.
+
+    ``skew_safe`` (default) cuts a hot key across tasks (``shift_within``);
+    pass ``False`` only when a key's rows are bounded by construction."""
+    shift = shift_within if skew_safe else _window_shift
+    prev = shift(df.select(*key, *order_cols, *tracked), key, order_cols, tracked, "prev")
     changed = reduce(lambda a, b: a | b,
                      [~F.col(c).eqNullSafe(F.col(f"prev_{c}")) for c in tracked],
                      ~F.col("prev__exists"))
     starts = prev.filter(changed).select(*key, *order_cols, *tracked)
-    nxt = shift_within(starts, key, order_cols, [valid_from], "next")
+    nxt = shift(starts, key, order_cols, [valid_from], "next")
     return nxt.select(
         *key, *tracked,
         F.col(valid_from).alias("valid_from"),

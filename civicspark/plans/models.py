@@ -41,8 +41,10 @@ def requests_typed(requests_raw: DataFrame) -> DataFrame:
 def census_dimension(census_raw: DataFrame) -> DataFrame:
     """SCD2 on borough: a version starts in the first survey year whose
     measures differ (NULL-safe) from the previous year's; ``valid_to`` is the
-    next version's first year."""
-    return history.scd2(census_raw, ["borough"], ["survey_year"], MEASURES, "survey_year") \
+    next version's first year.  The table has one row per borough and survey
+    year, so a borough's window holds only its years: a plain window."""
+    return history.scd2(census_raw, ["borough"], ["survey_year"], MEASURES, "survey_year",
+                        skew_safe=False) \
         .withColumnsRenamed({"valid_from": "valid_from_year", "valid_to": "valid_to_year"})
 
 

@@ -91,3 +91,10 @@ def test_scd2_intervals_cover_and_do_not_overlap(spark):
         for a, b in zip(rows, rows[1:]):
             assert a.valid_to == b.valid_from          # contiguous, no overlap
             assert a.event_type != b.event_type        # unchanged rows collapsed
+
+
+def test_scd2_window_path_equals_skew_safe_path(spark):
+    e = spark.read.parquet(EVENTS).select("user_id", "ts", "event_id", "event_type")
+    a = history.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"], "ts")
+    b = history.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"], "ts", skew_safe=False)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
