@@ -75,3 +75,38 @@ def test_daily_windows_wait_for_watermark(spark, tmp_dir):
     # watermark = max time (May 10) - 3 days: windows ending by May 7 are final
     assert set(days) == set(range(1, 7)) and all(n == 10 for n in days.values())
     assert {r.borough for r in spark.table("daily_test").collect()} == {"BRONX"}
+
+
+def test_late_rows_do_not_reopen_final_days(spark, tmp_dir):
+    land, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/ckpt"
+    write_page(land, "a.json", [rec(i, 1 + i % 10) for i in range(100)])     # May 1-10
+
+    def run(name):
+        rows = feeds.event_time(feeds.request_stream(spark, land, ingested_at="2024-05-11 00:00:00"))
+        q = (feeds.daily_volume_stream(rows).writeStream.format("parquet")
+             .option("path", f"{tmp_dir}/out").option("checkpointLocation", ckpt)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run("first")
+    write_page(land, "b.json", [rec(1000 + i, 2) for i in range(5)] +         # May 2: behind watermark
+               [rec(2000 + i, 9) for i in range(5)])                          # May 9: still open
+    run("second")
+    days = {}
+    for r in spark.read.parquet(f"{tmp_dir}/out").collect():
+        days[r.day_start.day] = days.get(r.day_start.day, 0) + r.n
+    assert days[2] == 10                   # late rows for a final day are dropped
+    assert set(days) == set(range(1, 7))   # watermark (May 10 - 3 days) still holds May 7-10 open
+
+
+def test_redelivery_within_lookback_dropped_across_runs(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    write_page(land, "a.json", [rec(i, 5) for i in range(30)])
+    write_page(land, "b.json", [rec(i, 6) for i in range(20, 40)])   # 10 re-deliveries, a day later
+    rows = feeds.event_time(feeds.request_stream(spark, land, ingested_at="2024-05-07 00:00:00",
+                                                 max_files_per_trigger=1))
+    q = (feeds.dedupe_redeliveries(rows).writeStream.format("memory").queryName("redeliver_test")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("redeliver_test").select("unique_key").distinct().count() == 40
+    assert spark.table("redeliver_test").count() == 40
