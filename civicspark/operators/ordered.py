@@ -28,10 +28,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.operators.util import partitions_for
 from civicspark.session import ensure_checkpoint_dir
 
 
+def _by_range(df: DataFrame, cols: list[str], n_partitions: int | None) -> DataFrame:
+    """Range partitioning; without an explicit count AQE sizes the partitions
+    (contiguous ranges merged up to the advisory size, so ranges stay ordered).
+    Partition ids are read after the exchange and frozen by the checkpoint."""
+    return df.repartitionByRange(n_partitions, *cols) if n_partitions else df.repartitionByRange(*cols)
+
+
 def _freeze(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -42,9 +48,7 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
                  n_partitions: int | None = None) -> DataFrame:
     """Adds ``index_col`` = 0-based position of the row in ``order_cols`` order.
     ``order_cols`` must be a total order (end with a unique key)."""
-    spark = df.sparkSession
-    p = n_partitions or partitions_for(spark)
-    ranged = (df.repartitionByRange(p, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = (_by_range(df, order_cols, n_partitions).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
@@ -52,7 +56,7 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # ``offsets`` has one row per range partition (at most ``p``): a bounded broadcast
+    # ``offsets`` has one row per range partition: a bounded broadcast
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(index_col, F.col("_off") + F.col("_pos"))
             .drop("_pid", "_pos", "_off"))
@@ -67,11 +71,9 @@ def shift_within(df: DataFrame, key: list[str], order_cols: list[str], value_col
     if direction not in ("prev", "next"):
         raise ValueError("direction must be 'prev' or 'next'")
     prefix = prefix if prefix is not None else f"{direction}_"
-    spark = df.sparkSession
-    p = n_partitions or partitions_for(spark)
     vals = F.struct(*[F.col(v) for v in value_cols], F.lit(True).alias("_exists"))
     order = F.struct(*[F.col(c) for c in order_cols])
-    ranged = _freeze(df.repartitionByRange(p, *key, *order_cols)
+    ranged = _freeze(_by_range(df, [*key, *order_cols], n_partitions)
                      .withColumn("_pid", F.spark_partition_id()))
 
     w = Window.partitionBy(*key, "_pid").orderBy(*order_cols)
