@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from civicspark.plans import catalog, oracle
 from civicspark.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.check_oracle import rows_of
@@ -18,14 +19,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle.SQL) == set(catalog.QUERIES)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(oracle.SQL[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

@@ -20,9 +20,9 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", [k for k in E.queries() if k not in SIDE_EFFECT])
+@pytest.mark.parametrize("name", [k for k in catalog.QUERIES if k not in SIDE_EFFECT])
 def test_no_python_evaluation(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
         assert node not in p, f"{name} evaluates Python: {node}"
 
@@ -52,5 +52,5 @@ def test_latest_row_combines_map_side(spark):
 @pytest.mark.parametrize("name", ["scd2_dimension", "weather_correlation", "latest_request",
                                   "daily_volume", "yoy_change"])
 def test_no_single_partition_exchange(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.QUERIES[name](spark, SF_SMALL))
     assert "SinglePartition" not in p
