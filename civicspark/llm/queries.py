@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import langid, ring, topk, toxicity
+from civicspark.llm import html_extract, langid, ring, topk, toxicity, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_warc_transactions(spark, sf_dir):
+    """All pages to WARC records and back, one row per assembled capture."""
+    return warc.round_trip(_t(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark, sf_dir):
     """Language of every document; the fold with remainder 2 of 4 is held out."""
     return langid.identify(_t(spark, sf_dir, "documents"))
@@ -27,19 +32,37 @@ def op8_exact_top_k(spark, sf_dir):
     return topk.exact_top_k(_t(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return html_extract.extract(_t(spark, sf_dir, "pages"))
+
+
 def op10_ring_sharding(spark, sf_dir):
     """All documents to shards 0 to 23 on a ring with bounded loads."""
     return ring.shard_documents(_t(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_warc_transactions": op3_warc_transactions,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
     "op8_exact_top_k": op8_exact_top_k,
+    "op9_html_extraction": op9_html_extraction,
     "op10_ring_sharding": op10_ring_sharding,
 }
 
 SQL = {
+    "op3_warc_transactions": """
+        WITH p AS (
+          SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                 sha1(encode(coalesce(html, ''))) AS payload_digest FROM pages),
+        n AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top,
+                     row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST, url) AS nth
+              FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN top END AS refers_to
+        FROM n""",
     "op8_exact_top_k": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS vec
