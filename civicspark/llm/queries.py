@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import html_extract, langid, ring, topk, toxicity, warc
+from civicspark.llm import decontaminate, html_extract, langid, mixing, ring, topk, toxicity, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# shares of tokens in the mixture, by label class
+MIXTURE = {"high": 0.85, "low": 0.10, "toxic": 0.05}
+
+
+def label_class():
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
+
+
+def op1_mixing_rates(spark, sf_dir):
+    """Rates of all documents that bring the label classes to their target shares."""
+    return mixing.mix(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"), label_class(), MIXTURE)
+
+
+def op2_benchmark_templates(spark, sf_dir):
+    """Documents that contain a benchmark item, word for word or with other slot values."""
+    return decontaminate.contaminated(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"))
+
+
 def op3_warc_transactions(spark, sf_dir):
     """All pages to WARC records and back, one row per assembled capture."""
     return warc.round_trip(_t(spark, sf_dir, "pages"))
@@ -43,6 +61,8 @@ def op10_ring_sharding(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_mixing_rates": op1_mixing_rates,
+    "op2_benchmark_templates": op2_benchmark_templates,
     "op3_warc_transactions": op3_warc_transactions,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,

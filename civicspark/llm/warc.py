@@ -188,27 +188,33 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = True, per_batc
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
 
 
-def assemble(found: DataFrame) -> DataFrame:
-    """One nested row per capture: ``capture_id``, ``response`` (or revisit), ``requests``, ``metadata``."""
-    anchor = F.col("type").isin(*ANCHORS)
-    link = found.select("record_id", anchor.alias("anchor"), F.explode("concurrent_to").alias("other"))
+def _key(record_id: Column) -> Column:
+    """16 bytes that stand for a record id while records are joined."""
+    return F.unhex(F.md5(record_id.cast("binary")))
+
+
+def assemble(found: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """One nested row per capture: ``capture_id``, ``response`` (or revisit), ``requests``, ``metadata``.
+    ``fields`` names the record columns to nest (default: all)."""
+    keep = fields or [c for c in found.columns if c != "concurrent_to"]
+    keyed = found.select(_key(F.col("record_id")).alias("key"), F.col("type").isin(*ANCHORS).alias("anchor"),
+                         F.transform("concurrent_to", _key).alias("others"), F.struct(*dict.fromkeys(["type", *keep])).alias("record"))
+    link = keyed.select("key", F.explode("others").alias("other"))
     # both directions, so it does not matter which record names which
-    link = (link.select("record_id", "other")
-            .unionByName(link.select(F.col("other").alias("record_id"), F.col("record_id").alias("other"))).distinct())
-    anchors = found.filter(anchor).select(F.col("record_id").alias("other"))
-    beside = link.join(found.filter(anchor).select("record_id"), "record_id", "left_anti")
-    direct = beside.join(anchors, "other").select("record_id", F.col("other").alias("capture_id"))
-    through = (beside.join(direct.select("record_id"), "record_id", "left_anti")
-               .join(direct.select(F.col("record_id").alias("other"), "capture_id"), "other")
-               .select("record_id", "capture_id"))
+    link = link.unionByName(link.select(F.col("other").alias("key"), F.col("key").alias("other"))).distinct()
+    anchors = keyed.filter("anchor").select(F.col("key").alias("other"))
+    beside = link.join(anchors.select(F.col("other").alias("key")), "key", "left_anti")
+    direct = beside.join(anchors, "other").select("key", F.col("other").alias("capture"))
+    through = (beside.join(direct.select("key"), "key", "left_anti")
+               .join(direct.select(F.col("key").alias("other"), "capture"), "other").select("key", "capture"))
     member = direct.unionByName(through).distinct()
-    whole = F.struct(*[c for c in found.columns if c != "concurrent_to"]).alias("record")
-    parts = (found.filter(~anchor).select("record_id", whole).join(member, "record_id")
-             .groupBy("capture_id").agg(
-                 F.collect_list(F.when(F.col("record.type") == "request", F.col("record"))).alias("requests"),
-                 F.collect_list(F.when(F.col("record.type") == "metadata", F.col("record"))).alias("metadata")))
-    return (found.filter(anchor).select(F.col("record_id").alias("capture_id"), whole)
-            .withColumnRenamed("record", "response").join(parts, "capture_id", "left"))
+    kind = F.col("record.type")
+    nested = F.struct(*[F.col(f"record.{c}").alias(c) for c in keep])
+    parts = (keyed.filter(~F.col("anchor")).select("key", "record").join(member, "key")
+             .groupBy("capture").agg(F.collect_list(F.when(kind == "request", nested)).alias("requests"),
+                                     F.collect_list(F.when(kind == "metadata", nested)).alias("metadata")))
+    return (keyed.filter("anchor").select(F.col("key").alias("capture"), nested.alias("response"))
+            .join(parts, "capture", "left").withColumnRenamed("capture", "capture_id"))
 
 
 def round_trip(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -216,12 +222,13 @@ def round_trip(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     spark = pages.sparkSession
     path = shared_path(spark, "llm-warc")
     write_archive(pages, path, least_bytes)
-    captures = assemble(written(read_archive(spark, path, payloads=False), "records"))
+    found = written(read_archive(spark, path, payloads=False), "records")
+    captures = assemble(found, ["payload_bytes", "digest", "refers_to", "fields", "type"])
     page_id = F.get("metadata", F.lit(0))["fields"]["page-id"].cast("long")
     flat = written(captures.select(
         "capture_id", page_id.alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
-        F.col("response.refers_to").alias("target"), F.size("requests").alias("n_requests")), "captures")
+        _key(F.col("response.refers_to")).alias("target")), "captures")
     first = flat.filter(F.col("record_type") == "response").select(
         F.col("capture_id").alias("target"), F.col("page_id").alias("refers_to"))
     return flat.join(first, "target", "left").select(
