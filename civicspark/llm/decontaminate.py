@@ -40,14 +40,14 @@ c f k hz khz mhz w kw mw v a j kj n pa kpa b kb mb gb tb""".split()
 
 def words(text: Column) -> Column:
     """Words in order; a sentence end is an entry of its own."""
-    joined = F.regexp_replace(text, r"(?<=\d)[.,](?=\d)", "")
+    joined = F.regexp_replace(text, r"(\d)[.,](?=\d)", "$1")
     ended = F.regexp_replace(joined, r"[.!?\n\r|]+", f" {SENTENCE} ")
-    return F.split(F.trim(F.regexp_replace(ended, r"[^\p{L}\p{N}.]+", " ")), " ")
+    return F.split(ended, r"[^\p{L}\p{N}.]+")
 
 
 def canonical(cut: Column) -> Column:
     """Structs ``t`` (canonical word) and ``v`` (the word as it was) without sentence ends."""
-    number = lambda w: w.rlike(r"^\p{N}")
+    number = lambda w: (w >= "0") & (w < ":")  # noqa: E731 - by its first character
     unit = F.array(*[F.lit(u) for u in UNITS])
 
     def one(w: Column, i: Column) -> Column:
@@ -56,8 +56,8 @@ def canonical(cut: Column) -> Column:
         low = F.lower(w)
         return F.struct(
             F.when(number(w), "<num>")
-            .when(inside & w.rlike(r"^\p{Lu}\p{Ll}"), "<name>")
-            .when(inside & number(before) & F.array_contains(unit, low), "<unit>")
+            .when((low != w) & inside & w.rlike(r"^\p{Lu}\p{Ll}"), "<name>")
+            .when(number(before) & F.array_contains(unit, low), "<unit>")
             .otherwise(low).alias("t"), low.alias("v"))
     return F.filter(F.transform(cut, one), lambda s: (s["v"] != SENTENCE) & (s["v"] != ""))
 
