@@ -72,17 +72,17 @@ def _record(kind: Column | str, record_id: Column, block: Column, content_type:
 def with_roles(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Pages plus ``payload``, ``digest``, ``record_id``, ``refers_to`` (null: a response)."""
     payload = F.coalesce(F.col("html"), F.lit(""))
-    page = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload.cast("binary")).alias("digest"))
-    long = page.filter(F.octet_length("payload") >= least_bytes).select("page_id", "digest")
+    # a key without nulls, so that the join and the numbering below share one shuffle of the pages
+    page = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload.cast("binary")).alias("digest"),
+                        F.coalesce(F.col("page_id").cast("string"), F.lit("-")).alias("page_key"))
+    long = page.filter(F.octet_length("payload") >= least_bytes).select("page_id", "page_key", "digest")
     top = (long.groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("n"))
            .filter(F.col("n") > 1).drop("n"))
     # one row per page of a shared payload, small: the pages themselves travel by page and digest
-    shared = (long.distinct().join(top, "digest")
-              .select(F.col("page_id").alias("k_page"), F.col("digest").alias("k_digest"), "top",
-                      F.lit(True).alias("shared")))
-    on = (page["digest"] == shared["k_digest"]) & page["page_id"].eqNullSafe(shared["k_page"])
-    nth = F.row_number().over(Window.partitionBy("digest", "page_id").orderBy("url"))
-    out = page.join(shared, on, "left").drop("k_page", "k_digest").withColumn("nth", nth)
+    shared = (long.select("digest", "page_key").distinct().join(top, "digest")
+              .select("digest", "page_key", "top", F.lit(True).alias("shared")))
+    nth = F.row_number().over(Window.partitionBy("digest", "page_key").orderBy("url"))
+    out = page.join(shared, ["digest", "page_key"], "left").withColumn("nth", nth)
     kept = F.col("shared").isNull() | (F.col("page_id").eqNullSafe(F.col("top")) & (F.col("nth") == 1))
     return out.select(
         "page_id", "url", "payload", "digest",
