@@ -4,9 +4,11 @@ A document's set holds its distinct shingles of ``SHINGLE`` words.  Two sets
 link when their Jaccard similarity reaches PART / WHOLE.  The links' connected
 components are found without listing all links:
 
-1. Equal sets are one node (a 128-bit hash of the set); copies need no pairs.
-2. All sets are sorted by one global order, rare shingles first: by how many
-   documents hold a shingle of the same hash bucket, counted over all documents.
+1. Equal sets are one node (a 64-bit hash of the set); copies need no pairs.
+2. All sets are sorted by one global order, rare shingles first.  Every task
+   counts its shingles, those that repeat are added up over all documents, and
+   the HEAVY most frequent come last, by count; the others go by hash.  (Any one
+   order gives the same links; this one keeps frequent shingles out of prefixes.)
    Two similar sets share a shingle in their prefixes (about a quarter of each).
 3. Prefix shingles meet by shingle, in order of set size.  Every member of a
    group is paired with the group's first set only: enough to connect a large
@@ -22,7 +24,7 @@ in PARTS parts of the hash space), and are verified once on the whole sets.  Onl
 the sets of documents in such pairs are shuffled: a bitmap of fixed size tells
 the last pass over the texts which these may be.
 
-Shingles are 64-bit hashes.  Defined cases: null, empty and blank texts have an
+Shingles are 48-bit hashes, compared set by set.  Defined cases: null, empty and blank texts have an
 empty set and link with nothing; texts of fewer words have one shingle of all of
 them; repeated rows are copies; a row without doc_id takes part, connects others
 and has the smallest id its component knows, null if none.
@@ -45,17 +47,22 @@ from civicspark.llm.text_bytes import Hasher, Piece, mixed, pieces, row_of, runs
 
 SHINGLE = 5
 PART, WHOLE = 75, 100
-BUCKET_BITS = 14             # frequency table: 16,384 counts, whatever the data
+VALUE_BITS = 48              # of a shingle's hash
+VALUE_MASK = np.uint64((1 << VALUE_BITS) - 1)
+HEAVY = 200_000              # most frequent shingles whose counts order the prefixes (a bound, 3 MB)
+HEAVY_LEAST = 3              # times within CHUNK shingles of a task that make a shingle worth counting
+CHUNK = 4_000_000            # shingles that a task counts at a time
 BITMAP_BITS = 20             # of nodes whose sets are fetched
-PARTS = 16
+PARTS = 256                  # of the suffix filter
+PART_MOST = 127              # counts beyond are not told apart
 ROWS_PER_GROUP = 20_000      # expected members beyond which a shingle's group is salted
-SETS = "doc_id long, n int, h1 long, h2 long, parts array<short>, counts array<long>"
-PREFIX = "token long, salt int, h1 long, h2 long, n int, pos int"
+SETS = "doc_id long, n int, node long, parts array<tinyint>, tokens array<long>, counts array<long>"
+PREFIX = "token long, salt int, node long, n int, pos int"
 
 
 class Shingles(NamedTuple):
     row: np.ndarray          # of the piece, ascending
-    value: np.ndarray        # hashes, distinct within a row
+    value: np.ndarray        # hashes of VALUE_BITS bits, ascending and distinct within a row
     size: np.ndarray         # of each row's set
 
 
@@ -79,100 +86,127 @@ def shingle_sets(piece: Piece, size: int = SHINGLE) -> Shingles:
         tail[has] += words[first[short][has] + k] * factor[k]
     value = np.concatenate([value, mixed(tail + n_words[short].astype(np.uint64))])
     row = np.concatenate([row, short])
-    order = np.lexsort((value, row))
-    value, row = value[order], row[order]
-    new = np.ones(len(value), bool)
-    new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-    return Shingles(row[new], value[new], np.bincount(row[new], minlength=len(piece.starts)))
+    key = np.sort(_keyed(row, value >> np.uint64(64 - VALUE_BITS)))
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+    row = (key >> np.uint64(VALUE_BITS)).astype(np.int64)
+    return Shingles(row, key & VALUE_MASK, np.bincount(row, minlength=len(piece.starts)))
 
 
-def node_keys(s: Shingles) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit hash of each row's set, whatever its order."""
-    out = []
-    for salt in (0x51ED270B, 0x2545F491):
-        sums = np.zeros(len(s.size), np.uint64)
-        np.add.at(sums, s.row, mixed(s.value ^ np.uint64(salt * 0x9E3779B1)))
-        out.append(mixed(sums + s.size.astype(np.uint64)).view(np.int64))
-    return out[0], out[1]
+def _keyed(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Row (16 bits) above value, so that one sort orders both."""
+    return row.astype(np.uint64) << np.uint64(VALUE_BITS) | value
 
 
-def _bucket(value: np.ndarray) -> np.ndarray:
-    return (value >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def node_keys(s: Shingles) -> np.ndarray:
+    """64-bit hash of each row's set, whatever its order."""
+    sums = np.zeros(len(s.size), np.uint64)
+    np.add.at(sums, s.row, mixed(s.value ^ np.uint64(0x51ED270B9E3779B1)))
+    return mixed(sums + s.size.astype(np.uint64)).view(np.int64)
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-n * PART // WHOLE) + 1
 
 
+def _repeated(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    token, n = np.unique(np.concatenate(values), return_counts=True) if values else (np.zeros(0, np.uint64),) * 2
+    return token[n >= HEAVY_LEAST].view(np.int64), n[n >= HEAVY_LEAST].astype(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document; at the end of the task one with its bucket counts."""
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    """A row per document, and one for each CHUNK of shingles with those that repeat in it."""
+    held: list[np.ndarray] = []
+
+    def counted() -> pa.RecordBatch:
+        token, n = _repeated(held)
+        held.clear()
+        none = pa.nulls(1, pa.int64())
+        return pa.record_batch({
+            "doc_id": none, "n": pa.array([-1], pa.int32()), "node": none, "parts": pa.nulls(1, pa.list_(pa.int8())),
+            "tokens": pa.array([token], pa.list_(pa.int64())), "counts": pa.array([n], pa.list_(pa.int64()))})
+
     for batch in batches:
         for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
             s = shingle_sets(p)
             rows = len(s.size)
-            counts += np.bincount(_bucket(s.value), minlength=len(counts))
             part = (s.value & np.uint64(PARTS - 1)).astype(np.int64)
-            parts = np.minimum(np.bincount(s.row * PARTS + part, minlength=rows * PARTS), 32_767).astype(np.int16)
-            h1, h2 = node_keys(s)
+            parts = np.minimum(np.bincount(s.row * PARTS + part, minlength=rows * PARTS), PART_MOST).astype(np.int8)
+            nothing = pa.nulls(rows, pa.list_(pa.int64()))
             yield pa.record_batch({
-                "doc_id": batch["doc_id"].slice(p.first, rows), "n": pa.array(s.size, pa.int32()), "h1": h1, "h2": h2,
+                "doc_id": batch["doc_id"].slice(p.first, rows), "n": pa.array(s.size, pa.int32()), "node": node_keys(s),
                 "parts": pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * PARTS, pa.int32()), pa.array(parts)),
-                "counts": pa.nulls(rows, pa.list_(pa.int64()))})
-    yield pa.record_batch({
-        "doc_id": pa.nulls(1, pa.int64()), "n": pa.array([-1], pa.int32()), "h1": np.zeros(1, np.int64),
-        "h2": np.zeros(1, np.int64), "parts": pa.nulls(1, pa.list_(pa.int16())),
-        "counts": pa.array([counts.tolist()], pa.list_(pa.int64()))})
-
-
-def _prefixes(frequency: np.ndarray, salts: np.ndarray):
+                "tokens": nothing, "counts": nothing})
+            held.append(s.value)
+            if sum(map(len, held)) >= CHUNK:
+                yield counted()
+    yield counted()
+
+
+class Order(NamedTuple):
+    """The global order: ``heavy`` shingles (ascending hashes) with their ``place`` and group ``salts``."""
+    heavy: np.ndarray
+    place: np.ndarray
+    salts: np.ndarray        # by place
+
+    def keys(self, value: np.ndarray) -> np.ndarray:
+        """Keys of VALUE_BITS bits that sort as the order does; equal keys, equal shingles (but for one bit)."""
+        key = value >> np.uint64(1)
+        if len(self.heavy):
+            at = np.minimum(np.searchsorted(self.heavy, value), len(self.heavy) - 1)
+            hit = self.heavy[at] == value
+            key[hit] = np.uint64(1 << (VALUE_BITS - 1)) | self.place[at[hit]]
+        return key
+
+
+def global_order(token: np.ndarray, count: np.ndarray) -> Order:
+    by_count = np.lexsort((token, count))
+    place = np.empty(len(token), np.uint64)
+    place[by_count] = np.arange(len(token), dtype=np.uint64)
+    by_token = np.argsort(token)
+    return Order(token[by_token].astype(np.uint64), place[by_token], 1 + count[by_count] // ROWS_PER_GROUP)
+
+
+def _prefixes(order: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[tuple[int, int]] = set()               # a task sends each set once
+        by = Order(*order)
+        sent: set[int] = set()                           # a task sends each set once
         for batch in batches:
             for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
                 s = shingle_sets(p)
-                h1, h2 = node_keys(s)
+                node = node_keys(s)
                 new = np.zeros(len(s.size), bool)
                 for i in np.nonzero(s.size)[0]:
-                    key = (int(h1[i]), int(h2[i]))
-                    new[i] = key not in sent
-                    sent.add(key)
-                bucket = _bucket(s.value)
-                order = np.lexsort((s.value, frequency[bucket], s.row))
-                first = np.cumsum(s.size) - s.size
-                pos = np.arange(len(s.value)) - first[s.row]         # rows keep their places in the order
+                    new[i] = node[i] not in sent
+                    sent.add(int(node[i]))
+                token = np.sort(_keyed(s.row, by.keys(s.value))) & VALUE_MASK
+                pos = np.arange(len(token)) - (np.cumsum(s.size) - s.size)[s.row]
                 keep = (pos < prefix_length(s.size)[s.row]) & new[s.row]
-                row, value, pos = s.row[keep], s.value[order][keep], pos[keep]
-                salt = salts[_bucket(value)]
+                row, token, pos = s.row[keep], token[keep], pos[keep]
+                heavy = token >> np.uint64(VALUE_BITS - 1) > 0
+                salt = np.ones(len(token), np.int64)
+                salt[heavy] = by.salts[(token[heavy] & np.uint64((1 << (VALUE_BITS - 1)) - 1)).astype(np.int64)]
                 yield pa.record_batch({
-                    "token": value.view(np.int64),
-                    "salt": np.where(salt > 1, h1[row] % np.maximum(salt, 1), -1).astype(np.int32),
-                    "h1": h1[row], "h2": h2[row], "n": s.size[row].astype(np.int32), "pos": (pos + 1).astype(np.int32)})
+                    "token": token.view(np.int64), "salt": np.where(salt > 1, node[row] % salt, -1).astype(np.int32),
+                    "node": node[row], "n": s.size[row].astype(np.int32), "pos": (pos + 1).astype(np.int32)})
     return run
 
 
 def _wanted_sets(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[tuple[int, int]] = set()
+        sent: set[int] = set()
         for batch in batches:
             for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
                 s = shingle_sets(p)
-                h1, h2 = node_keys(s)
-                upto = np.cumsum(s.size)
-                for i in np.nonzero((s.size > 0) & bitmap[h1 & ((1 << BITMAP_BITS) - 1)])[0]:
-                    key = (int(h1[i]), int(h2[i]))
-                    if key not in sent:
-                        sent.add(key)
-                        v = s.value[upto[i] - s.size[i]:upto[i]].view(np.int64)
-                        yield pa.record_batch({"h1": h1[i:i + 1], "h2": h2[i:i + 1],
-                                               "members": pa.array([v], pa.list_(pa.int64()))})
+                node, upto = node_keys(s), np.cumsum(s.size)
+                wanted = [i for i in np.nonzero((s.size > 0) & bitmap[node & ((1 << BITMAP_BITS) - 1)])[0]
+                          if node[i] not in sent]
+                sent.update(node[wanted].tolist())
+                if wanted:
+                    yield pa.record_batch({"node": node[wanted], "members": pa.array(
+                        [s.value[upto[i] - s.size[i]:upto[i]].view(np.int64) for i in wanted], pa.list_(pa.int64()))})
     return run
 
 
-def _node(prefix: str = "") -> Column:
-    return F.struct(F.col(f"{prefix}h1").alias("h1"), F.col(f"{prefix}h2").alias("h2"))
-
-
 def _enough(overlap: Column, n1: Column, n2: Column) -> Column:
     """Jaccard similarity of at least PART / WHOLE, in integers."""
     return overlap * (WHOLE + PART) >= (n1 + n2) * PART
@@ -193,19 +227,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     sig = nodes.select("node", "parts")
     common = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y).cast("int")),
                          F.lit(0), lambda s, x: s + x)
-    full = F.exists("parts_a", lambda x: x == 32_767) | F.exists("parts_b", lambda x: x == 32_767)
+    full = F.exists("parts_a", lambda x: x == PART_MOST) | F.exists("parts_b", lambda x: x == PART_MOST)
     left = written(
         pairs.join(sig.select(F.col("node").alias("a"), F.col("parts").alias("parts_a")), "a")
         .join(sig.select(F.col("node").alias("b"), F.col("parts").alias("parts_b")), "b")
         .filter(full | _enough(common, F.col("na"), F.col("nb"))).select("a", "b", "na", "nb"), "pairs")
     either = left.select(F.explode(F.array("a", "b")).alias("node"))
     mask = (1 << BITMAP_BITS) - 1
-    slots = either.select(F.col("node.h1").bitwiseAND(mask).cast("int").alias("slot")).distinct().toArrow()["slot"]
+    slots = either.select(F.col("node").bitwiseAND(mask).cast("int").alias("slot")).distinct().toArrow()["slot"]
     bitmap = np.zeros(1 << BITMAP_BITS, bool)
     bitmap[slots.to_numpy()] = True
     # the bitmap lets other nodes through by chance: only the pairs' own nodes are kept
-    sets = written(docs.select("text").mapInArrow(_wanted_sets(bitmap), "h1 long, h2 long, members array<long>")
-                   .select(_node().alias("node"), "members").join(either.distinct(), "node", "left_semi")
+    sets = written(docs.select("text").mapInArrow(_wanted_sets(bitmap), "node long, members array<long>")
+                   .join(either.distinct(), "node", "left_semi")
                    .groupBy("node").agg(F.first("members").alias("members")), "sets")
     met = (left.join(sets.select(F.col("node").alias("a"), F.col("members").alias("sa")), "a")
            .join(sets.select(F.col("node").alias("b"), F.col("members").alias("sb")), "b"))
@@ -218,26 +252,22 @@ def link_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
     docs = docs.select("doc_id", "text")
     both = written(docs.mapInArrow(_sets, SETS), "shingle-sets")
-    sets = both.filter("n >= 0").drop("counts")
-    tally = both.filter("n < 0").select(F.posexplode("counts").alias("bucket", "c")).groupBy("bucket").agg(
-        F.sum("c").alias("c")).toArrow()                                  # 2**BUCKET_BITS rows
-    frequency = np.zeros(1 << BUCKET_BITS, np.int64)
-    frequency[tally["bucket"].to_numpy()] = tally["c"].to_numpy()
-    salts = 1 + np.maximum(0, frequency - 4 * int(np.median(frequency))) // ROWS_PER_GROUP
-    nodes = written(sets.filter("n > 0").groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("parts").alias("parts"))
-        .select(_node().alias("node"), "rep", "n", "parts"), "nodes")
-
-    rows = docs.mapInArrow(_prefixes(frequency, salts), PREFIX)
-    in_group = Window.partitionBy("token", "salt").orderBy("n", "h1", "h2")
-    member = F.struct("h1", "h2", "n", "pos")
-    placed = rows.withColumns({"first": F.first(member).over(in_group),
-                               "again": F.lag(member).over(in_group)})
-    fresh = placed.filter(F.col("again").isNull() | (F.col("again.h1") != F.col("h1")) | (F.col("again.h2") != F.col("h2")))
-    starts = (F.col("first.h1") == F.col("h1")) & (F.col("first.h2") == F.col("h2"))
+    sets = both.filter("n >= 0").select("doc_id", "n", "node", "parts")
+    pairs = F.explode(F.arrays_zip("tokens", "counts")).alias("t")
+    frequent = (both.filter("n < 0").select(pairs).groupBy(F.col("t.tokens").alias("token"))
+                .agg(F.sum("t.counts").alias("c")).orderBy(F.desc("c"), "token").limit(HEAVY).toArrow())
+    order = global_order(frequent["token"].to_numpy(), frequent["c"].to_numpy())
+    nodes = written(sets.filter("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.first("parts").alias("parts")), "nodes")
+
+    rows = docs.mapInArrow(_prefixes(tuple(order)), PREFIX)
+    in_group = Window.partitionBy("token", "salt").orderBy("n", "node")
+    placed = rows.withColumns({"first": F.first(F.struct("node", "n", "pos")).over(in_group),
+                               "again": F.lag("node").over(in_group)})
+    fresh = placed.filter(F.col("again").isNull() | (F.col("again") != F.col("node")))
     # members of groups of two and more, and the first sets of salted groups
-    grouped = written(fresh.filter(~starts | (F.col("salt") >= 0)).select(
-        "token", "salt", _node().alias("node"), "n", "pos", _node("first.").alias("first"),
+    grouped = written(fresh.filter((F.col("first.node") != F.col("node")) | (F.col("salt") >= 0)).select(
+        "token", "salt", "node", "n", "pos", F.col("first.node").alias("first"),
         F.col("first.n").alias("first_n"), F.col("first.pos").alias("first_pos")), "groups")
     apart = grouped.filter("node = first").select("token", "node", "n", "pos")
     over = Window.partitionBy("token").orderBy("n", "node")
@@ -270,8 +300,8 @@ def link_components(docs: DataFrame) -> DataFrame:
 
     rooted = nodes.join(root, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    final = rooted.join(least, "root").select(F.col("node.h1").alias("h1"), F.col("node.h2").alias("h2"), "component_id")
-    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2")
-    linked = rows.filter("n_shingles > 0").join(final, ["h1", "h2"]).select("doc_id", "n_shingles", "component_id")
+    final = rooted.join(least, "root").select("node", "component_id")
+    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "node")
+    linked = rows.filter("n_shingles > 0").join(final, "node").select("doc_id", "n_shingles", "component_id")
     return linked.unionByName(rows.filter("n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

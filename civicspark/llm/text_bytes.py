@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1_000_000
+PIECE_BYTES, PIECE_ROWS = 1_000_000, 1 << 16
 # odd multipliers of the rolling hash (any odd numbers would do)
 BASE, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _SPACED = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
@@ -37,6 +37,7 @@ def pieces(texts: pa.Array, max_bytes: int = PIECE_BYTES) -> Iterator[Piece]:
     while first < len(texts):
         before = upto[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(upto, before + max_bytes, side="right")))
+        last = min(last, first + PIECE_ROWS)
         part = pc.binary_join_element_wise(texts.slice(first, last - first), *_SPACED)
         n = size[first:last]
         offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset:part.offset + len(part) + 1]
