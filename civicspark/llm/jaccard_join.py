@@ -53,6 +53,7 @@ HEAVY = 200_000              # most frequent shingles whose counts order the pre
 HEAVY_LEAST = 3              # times within CHUNK shingles of a task that make a shingle worth counting
 CHUNK = 4_000_000            # shingles that a task counts at a time
 BITMAP_BITS = 20             # of nodes whose sets are fetched
+LARGE, KNOWN = 64, 64        # groups of so many members tell pairs met before, by so many shingles
 PARTS = 256                  # of the suffix filter
 PART_MOST = 127              # counts beyond are not told apart
 ROWS_PER_GROUP = 20_000      # expected members beyond which a shingle's group is salted
@@ -248,6 +249,30 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                    .select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
 
 
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs of one group and two components, after all filters.  In large groups a pair is made at
+    its first common prefix shingle only, as far as the first KNOWN shingles of both tell."""
+    groups = members.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                          F.count("*").alias("size")).filter("lo != hi")
+    active = members.join(groups.select("token", "size"), "token")
+    large = active.filter(F.col("size") >= LARGE)
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("token"))
+    known = (large.withColumn("nth", nth).filter(F.col("nth") <= KNOWN)
+             .groupBy("node").agg(F.collect_list("token").alias("known")))
+    small = active.filter(F.col("size") < LARGE).withColumn("known", F.lit(None).cast("array<bigint>"))
+    rows = written(large.join(known, "node").unionByName(small, allowMissingColumns=True).select(
+        "token", "node", "n", "pos", "root", "known"), "active")
+    x, y = (rows.select("token", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"),
+                        F.col("root").alias(f"r{s}"), F.col("known").alias(f"k{s}")) for s in ("a", "b"))
+    near = (F.col("na") * WHOLE >= F.col("nb") * PART) & (F.col("nb") * WHOLE >= F.col("na") * PART)
+    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
+    small_most = F.least("pa", "pb") + most - 1          # where the shingle need not be the first
+    bound = F.when(F.col("ka").isNull(), small_most).otherwise(most)
+    earlier = F.coalesce(F.array_min(F.array_intersect("ka", "kb")) < F.col("token"), F.lit(False))
+    return x.join(y, "token").filter((F.col("a") < F.col("b")) & near & (F.col("ra") != F.col("rb"))
+                                     & _enough(bound, F.col("na"), F.col("nb")) & ~earlier)
+
+
 def link_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
     docs = docs.select("doc_id", "text")
@@ -261,7 +286,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("parts").alias("parts")), "nodes")
 
     rows = docs.mapInArrow(_prefixes(tuple(order)), PREFIX)
-    in_group = Window.partitionBy("token", "salt").orderBy("n", "node")
+    in_group = Window.partitionBy("token", "salt").orderBy("node")
     placed = rows.withColumns({"first": F.first(F.struct("node", "n", "pos")).over(in_group),
                                "again": F.lag("node").over(in_group)})
     fresh = placed.filter(F.col("again").isNull() | (F.col("again") != F.col("node")))
@@ -270,7 +295,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         "token", "salt", "node", "n", "pos", F.col("first.node").alias("first"),
         F.col("first.n").alias("first_n"), F.col("first.pos").alias("first_pos")), "groups")
     apart = grouped.filter("node = first").select("token", "node", "n", "pos")
-    over = Window.partitionBy("token").orderBy("n", "node")
+    over = Window.partitionBy("token").orderBy("node")
     again = apart.select("token", "node", "n", "pos", *[F.first(c).over(over).alias(f"first{s}")
                                                        for c, s in (("node", ""), ("n", "_n"), ("pos", "_pos"))])
     star = (grouped.drop("salt").unionByName(again).filter("node != first")
@@ -285,16 +310,7 @@ def link_components(docs: DataFrame) -> DataFrame:
                                            F.col("first_pos").alias("pos"))).distinct()
                .join(known, "node", "left").withColumn("root", F.coalesce("root", "node")))
     members = written(members, "members")
-    mixed_groups = members.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    active = members.join(mixed_groups.select("token"), "token", "left_semi")
-    x = active.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"))
-    y = active.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"))
-    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    near = F.col("na") * WHOLE >= F.col("nb") * PART
-    shift = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    across = x.join(y, "token").filter(ordered & near & (F.col("ra") != F.col("rb"))
-                                       & _enough(shift, F.col("na"), F.col("nb")))
-    rest = _candidates(across).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    rest = _candidates(_across(members)).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(docs, rest, nodes)
     root = components(links.unionByName(more))
 
