@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import decontaminate, html_extract, jaccard_join, langid, mixing, ring, topk, toxicity, warc
+from civicspark.llm import decontaminate, html_extract, jaccard_join, langid, mixing, repeats, ring, topk, toxicity, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.classify(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
 
 
+def op6_repeated_passages(spark, sf_dir):
+    """All documents without bytes that 400-byte repeats cover."""
+    return repeats.remove_repeats(_t(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_components(spark, sf_dir):
     """Shingle sets of all documents and the components of their similarity links."""
     return jaccard_join.link_components(_t(spark, sf_dir, "documents"))
@@ -71,6 +76,7 @@ QUERIES = {
     "op3_warc_transactions": op3_warc_transactions,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
+    "op6_repeated_passages": op6_repeated_passages,
     "op7_jaccard_components": op7_jaccard_components,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_html_extraction": op9_html_extraction,

@@ -180,10 +180,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
     return Model(place, w, prior)
 
 
-def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus ``score`` (0 to 1) of every row's whole text."""
+def score(docs: DataFrame, model: Model | None, keep: list[str], name: str = "score") -> DataFrame:
+    """``keep`` columns plus ``name``, the score (0 to 1) of every row's whole text."""
     if model is None:
-        return docs.select(*keep, F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit(0.0).alias(name))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))           # plain values only
 
@@ -198,8 +198,8 @@ def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 z = np.bincount(r, m.weights[m.place[f]] * values(n), len(p.starts))
                 z += m.weights[-2] * length_value(words) + m.weights[-1]
                 out[p.first:p.first + len(z)] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.record_batch([*(batch[c] for c in keep), pa.array(out)], names=[*keep, "score"])
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{kinds}, score double")
+            yield pa.record_batch([*(batch[c] for c in keep), pa.array(out)], names=[*keep, name])
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{kinds}, `{name}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> DataFrame:

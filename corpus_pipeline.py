@@ -1,17 +1,86 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next.
+
+Every stage but the last returns the columns of its input.  A row is known by
+its doc_id and the hash of its text, so rows that share a doc_id are judged by
+their own texts.  SQL cannot express the trained classifier and the iterative
+fit, so there is no oracle SQL; the tests hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from civicspark.llm import decontaminate, jaccard_join, mixing, ring, toxicity
+from civicspark.llm.langid import fold
 from civicspark.llm.store import written
 
-STAGES: list = []
+QUALITY_SHARES = {"high": 0.88, "low": 0.12}         # shares of tokens in the mixture
+KEY = "_row_key"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, F.xxhash64("doc_id", "text", F.lit("row")))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject (score below 0.5)."""
+    learn = fold(F.col("doc_id"), 5) != 0
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), learn)
+    return toxicity.score(docs, model, docs.columns, "_toxicity").filter(F.col("_toxicity") < 0.5).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of similar documents the one with the smallest doc_id; rows equal in
+    doc_id and text are one."""
+    keyed = _keyed(docs)
+    found = jaccard_join.link_components(keyed.select(F.col(KEY).alias("doc_id"), "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY))[KEY].alias(KEY)
+    names = keyed.select(KEY, "doc_id")
+    kept = (found.select(F.col("doc_id").alias(KEY), "component_id").distinct().join(names.distinct(), KEY)
+            .groupBy("component_id").agg(first).select(KEY))
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates([KEY]).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    keyed = _keyed(docs)
+    hit = decontaminate.contaminated(keyed.select(KEY, "text"), _table(spark, sf_dir, "benchmark"), [KEY])
+    return keyed.join(hit.select(KEY).distinct(), KEY, "left_anti").select(*docs.columns)
+
+
+def mix_to_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of documents by their fitted rates; the budget is such that none has to go."""
+    keyed = _keyed(docs)
+    domain = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
+    rates = mixing.mix(keyed.select("doc_id", KEY, "text"), _table(spark, sf_dir, "labels"), domain, QUALITY_SHARES,
+                       ["doc_id", KEY], keep_all=True)
+    times = rates.select(KEY, F.greatest("copies", F.lit(1)).alias("_copies")).dropDuplicates([KEY])
+    return (keyed.join(times, KEY).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+            .select(*docs.columns))
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of every row."""
+    return ring.shard_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_to_shares),
+    ("sharding", shard),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
