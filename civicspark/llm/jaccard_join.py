@@ -226,13 +226,10 @@ def _candidates(pairs: DataFrame) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs that pass the suffix filter and the test on the whole sets."""
     sig = nodes.select("node", "parts")
-    common = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y).cast("int")),
-                         F.lit(0), lambda s, x: s + x)
-    full = F.exists("parts_a", lambda x: x == PART_MOST) | F.exists("parts_b", lambda x: x == PART_MOST)
     left = written(
         pairs.join(sig.select(F.col("node").alias("a"), F.col("parts").alias("parts_a")), "a")
         .join(sig.select(F.col("node").alias("b"), F.col("parts").alias("parts_b")), "b")
-        .filter(full | _enough(common, F.col("na"), F.col("nb"))).select("a", "b", "na", "nb"), "pairs")
+        .filter(_may_overlap("parts_a", "parts_b", F.col("na"), F.col("nb"))).select("a", "b", "na", "nb"), "pairs")
     either = left.select(F.explode(F.array("a", "b")).alias("node"))
     mask = (1 << BITMAP_BITS) - 1
     slots = either.select(F.col("node").bitwiseAND(mask).cast("int").alias("slot")).distinct().toArrow()["slot"]
@@ -249,9 +246,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                    .select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
 
 
-def _across(members: DataFrame) -> DataFrame:
+def _may_overlap(x: str, y: str, n1: Column, n2: Column) -> Column:
+    """The suffix filter on two sets' sizes by part."""
+    common = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b).cast("int")), F.lit(0), lambda s, c: s + c)
+    full = F.exists(x, lambda c: c == PART_MOST) | F.exists(y, lambda c: c == PART_MOST)
+    return full | _enough(common, n1, n2)
+
+
+def _across(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of one group and two components, after all filters.  In large groups a pair is made at
-    its first common prefix shingle only, as far as the first KNOWN shingles of both tell."""
+    its first common prefix shingle only, as far as the first KNOWN shingles of both tell, and only
+    if it passes the suffix filter there and then."""
     groups = members.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                           F.count("*").alias("size")).filter("lo != hi")
     active = members.join(groups.select("token", "size"), "token")
@@ -259,18 +264,20 @@ def _across(members: DataFrame) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("node").orderBy("token"))
     known = (large.withColumn("nth", nth).filter(F.col("nth") <= KNOWN)
              .groupBy("node").agg(F.collect_list("token").alias("known")))
-    small = active.filter(F.col("size") < LARGE).withColumn("known", F.lit(None).cast("array<bigint>"))
-    rows = written(large.join(known, "node").unionByName(small, allowMissingColumns=True).select(
-        "token", "node", "n", "pos", "root", "known"), "active")
+    large = large.join(known, "node").join(nodes.select("node", "parts"), "node")
+    rows = written(large.unionByName(active.filter(F.col("size") < LARGE), allowMissingColumns=True).select(
+        "token", "node", "n", "pos", "root", "known", "parts"), "active")
     x, y = (rows.select("token", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"),
-                        F.col("root").alias(f"r{s}"), F.col("known").alias(f"k{s}")) for s in ("a", "b"))
+                        F.col("root").alias(f"r{s}"), F.col("known").alias(f"k{s}"),
+                        F.col("parts").alias(f"s{s}")) for s in ("a", "b"))
     near = (F.col("na") * WHOLE >= F.col("nb") * PART) & (F.col("nb") * WHOLE >= F.col("na") * PART)
     most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     small_most = F.least("pa", "pb") + most - 1          # where the shingle need not be the first
     bound = F.when(F.col("ka").isNull(), small_most).otherwise(most)
     earlier = F.coalesce(F.array_min(F.array_intersect("ka", "kb")) < F.col("token"), F.lit(False))
     return x.join(y, "token").filter((F.col("a") < F.col("b")) & near & (F.col("ra") != F.col("rb"))
-                                     & _enough(bound, F.col("na"), F.col("nb")) & ~earlier)
+                                     & _enough(bound, F.col("na"), F.col("nb")) & ~earlier
+                                     & (F.col("sa").isNull() | _may_overlap("sa", "sb", F.col("na"), F.col("nb"))))
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -310,7 +317,7 @@ def link_components(docs: DataFrame) -> DataFrame:
                                            F.col("first_pos").alias("pos"))).distinct()
                .join(known, "node", "left").withColumn("root", F.coalesce("root", "node")))
     members = written(members, "members")
-    rest = _candidates(_across(members)).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    rest = _candidates(_across(members, nodes)).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(docs, rest, nodes)
     root = components(links.unionByName(more))
 
