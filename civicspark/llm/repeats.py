@@ -40,7 +40,7 @@ from civicspark.llm.store import written
 from civicspark.llm.text_bytes import Hasher, Piece, pieces
 
 LENGTH = 400
-GRAM, SPAN, CORE = 16, 300, 100       # SPAN + CORE <= LENGTH, GRAM <= CORE
+GRAM, SPAN, CORE = 16, 200, 200       # SPAN + CORE <= LENGTH, GRAM <= CORE
 PHRASES = "doc_id long, th long, core long, phrase long, s int, e int, a int"
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 FIRST = (DIGEST + ", th long, text string, starts array<int>, ends array<int>, cores array<long>, "
@@ -169,10 +169,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     on = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("th") == F.col("f_th"))
     first = written(text.join(found, on, "left").select("doc_id", "th", "text", "found").mapInArrow(_first_pass, FIRST),
                     "first-pass")
-    windows = written(first.filter("windows is not null").select("doc_id", "th", F.explode(
+    # a row that repeats a document tells its windows again, but then its phrases are repeated as a whole
+    windows = first.filter("windows is not null").select("doc_id", "th", F.explode(
         F.arrays_zip("cores", "windows", "at")).alias("w")).select(
-        "doc_id", "th", F.col("w.cores").alias("core"), F.col("w.windows").alias("h"), F.col("w.at").alias("i")).distinct(),
-        "windows")
+        "doc_id", "th", F.col("w.cores").alias("core"), F.col("w.windows").alias("h"), F.col("w.at").alias("i"))
     again = windows.groupBy("core", "h").count().filter("count > 1").select("core", "h")
     single = (windows.join(again, ["core", "h"]).groupBy("doc_id", "th").agg(F.collect_set("i").alias("single"))
               .select(F.col("doc_id").alias("f_doc"), F.col("th").alias("f_th"), "single"))
