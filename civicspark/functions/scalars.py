@@ -15,7 +15,7 @@ __all__ = [
     "safe_float", "negative_as_null", "guarded_rate", "lookup_or_default",
     "get_or_default", "epoch_to_ntz", "ntz_to_epoch", "iso_to_ntz", "ntz_to_iso_ms",
     "lookback_bound", "validate_mode", "over_length", "normalise_borough",
-    "local_day", "text_or_null", "as_of_literal", "county_borough_map", "zip_header",
+    "local_day", "text_or_null", "round_exact", "utc_now", "as_of_literal", "county_borough_map", "zip_header",
 ]
 
 def epoch_ntz() -> Column:
@@ -47,7 +47,29 @@ def guarded_rate(part, total, scale: float = 100.0, digits: int = 2) -> Column:
     part is known; else NULL.  NaN totals give NULL (NaN > 0 is true in Spark)."""
     part, total = _c(part), _c(total)
     ok = total.isNotNull() & ~F.isnan(total) & (total > 0) & part.isNotNull()
-    return F.when(ok, F.round(part / total * F.lit(scale), digits))
+    return F.when(ok, round_exact(part / total * F.lit(scale), digits))
+
+
+def round_exact(x, digits: int) -> Column:
+    """Rounded as the exact binary value demands, true ties to even.  ``F.round`` works on the
+    shortest decimal text, so 2.675 (just below the tie) would go up.  Where ten times the
+    scaled value is next to a five, the product's rounding error (exact, by splitting the factor)
+    tells on which side of the tie the value lies."""
+    x = _c(x)
+    scale = 10.0 ** (digits + 1)
+    p, c = x * F.lit(scale), x * F.lit(134217729.0)
+    hi = c - (c - x)
+    q = F.rint(p)
+    err = (p - q) + ((hi * F.lit(scale) - p) + (x - hi) * F.lit(scale))
+    low = F.floor(q / F.lit(10.0)).cast("double")
+    up = (err > 0) | ((err == 0) & (F.pmod(low, F.lit(2.0)) == 1))
+    tie = (F.abs(x) < 1e12) & (F.pmod(q, F.lit(10.0)) == 5)
+    return F.when(tie, F.when(up, low + 1).otherwise(low) / F.lit(10.0 ** digits)).otherwise(F.round(x, digits))
+
+
+def utc_now() -> Column:
+    """Now as naive UTC, whatever the session's zone."""
+    return F.expr("convert_timezone(current_timezone(), 'UTC', cast(current_timestamp() as timestamp_ntz))")
 
 
 def lookup_or_default(mapping: dict[str, str], key, default: str) -> Column:
@@ -93,7 +115,7 @@ def text_or_null(x) -> Column:
 
 def validate_mode(mode: str) -> int:
     if mode not in C.LOOKBACK_DAYS:
-        raise ValueError(f"Unknown mode: {mode}. Use 'historical' or 'incremental'.")
+        raise ValueError(f"mode must be one of {sorted(C.LOOKBACK_DAYS)}, not {mode!r}")
     return C.LOOKBACK_DAYS[mode]
 
 

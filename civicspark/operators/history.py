@@ -20,6 +20,18 @@ def latest_by_key(df: DataFrame, key: list[str], order_cols: list[str]) -> DataF
     return agg.select(*key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
+def latest_request_rows(rows: DataFrame) -> DataFrame:
+    """Latest row per request by load time, then closed before open, then closing time; the
+    remaining columns only make equal candidates deterministic.  A missing or empty
+    ``unique_key`` names no request: such rows are kept as they are."""
+    key = F.col("unique_key")
+    named = key.isNotNull() & (key != "")
+    closed = (F.coalesce("closed_date", F.lit("")) != "") | (F.lower(F.coalesce("status", F.lit(""))) == "closed")
+    latest = latest_by_key(rows.filter(named).withColumn("_closed", closed), ["unique_key"],
+                           ["_ingested_at", "_closed", "closed_date", "status"])
+    return latest.select(*rows.columns).unionByName(rows.filter(~F.coalesce(named, F.lit(False))))
+
+
 def _window_shift(df: DataFrame, key: list[str], order_cols: list[str], value_cols: list[str],
                   direction: str) -> DataFrame:
     """``shift_within`` as a plain window: for keys whose group size is bounded

@@ -82,17 +82,20 @@ def shift_within(df: DataFrame, key: list[str], order_cols: list[str], value_col
         edge = F.row_number().over(w) == 1
     else:
         local = F.lead(vals).over(w)
-        edge = F.row_number().over(Window.partitionBy(*key, "_pid")
-                                   .orderBy(*[F.col(c).desc() for c in order_cols])) == 1
+        edge = F.lead(F.lit(True)).over(w).isNull()
     sliced = ranged.withColumns({"_local": local, "_edge": edge})
 
     ends = ranged.groupBy(*key, "_pid").agg(
         F.min_by(vals, order).alias("_first"), F.max_by(vals, order).alias("_last"))
     wb = Window.partitionBy(*key).orderBy("_pid")
     neighbour = (F.lag("_last").over(wb) if direction == "prev" else F.lead("_first").over(wb))
-    ends = ends.select(*key, "_pid", neighbour.alias("_nb"))
-
-    j = sliced.join(ends, on=[*key, "_pid"], how="left")
+    # null-safe: a null key is a key like any other, cut into slices too
+    ends = ends.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], F.col("_pid").alias("_kp"),
+                       neighbour.alias("_nb"))
+    same = F.col("_pid") == F.col("_kp")
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    j = sliced.join(ends, same, "left").drop("_kp", *[f"_k{i}" for i in range(len(key))])
     picked = F.when(F.col("_edge"), F.col("_nb")).otherwise(F.col("_local"))
     out = j.withColumn("_picked", picked)
     out = out.withColumns({f"{prefix}{v}": F.col("_picked")[v] for v in value_cols})

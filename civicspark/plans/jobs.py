@@ -46,7 +46,7 @@ def load_requests(spark: SparkSession, landing_dir: str, table_path: str, mode:
     ``partition_by_day`` adds ``_created_day`` (date of ``created_date``) and
     partitions the table by it, so later look-back reads prune to the days of
     their window."""
-    as_of = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
+    as_of = as_of if as_of is not None else X.utc_now()
     ingested_at = ingested_at if ingested_at is not None else as_of
     rows = request_rows(spark, landing_dir, mode, as_of, ingested_at)
     if check_lengths:
@@ -71,7 +71,7 @@ def weather_rows(spark: SparkSession, landing_dir: str, ingested_at, on_error: s
 def load_weather(spark: SparkSession, landing_dir: str, table_path: str, ingested_at=None) -> int:
     """Append one row per landed document; any document missing a required
     path fails the whole load (nothing is written)."""
-    ingested_at = ingested_at if ingested_at is not None else F.current_timestamp()
+    ingested_at = ingested_at if ingested_at is not None else X.utc_now()
     return sinks.append(weather_rows(spark, landing_dir, ingested_at), table_path)
 
 
@@ -85,7 +85,7 @@ def load_survey(spark: SparkSession, landing_dir: str, table_path: str, ingested
                 survey_year: int = C.SURVEY_YEAR) -> int:
     """Upsert the survey rows on (borough, survey_year); returns staged rows.
     Only the touched ``survey_year`` partitions are rewritten."""
-    ingested_at = ingested_at if ingested_at is not None else F.current_timestamp()
+    ingested_at = ingested_at if ingested_at is not None else X.utc_now()
     rows = survey_rows(spark, landing_dir, ingested_at, survey_year)
     if rows.isEmpty():
         return 0

@@ -28,10 +28,9 @@ CITY_ZONE = "America/New_York"
 
 
 def requests_latest(requests_raw: DataFrame) -> DataFrame:
-    """Latest row per ``unique_key`` by load time; ties inside one load (a row
-    repeated at a page edge) resolve on status and closed date."""
-    return history.latest_by_key(requests_raw, ["unique_key"],
-                                 ["_ingested_at", "status", "closed_date"])
+    """Latest row per ``unique_key`` by load time.  Inside one load a closed row
+    wins, then the later closing time.  Rows without a key stay separate."""
+    return history.latest_request_rows(requests_raw)
 
 
 def requests_typed(requests_raw: DataFrame) -> DataFrame:

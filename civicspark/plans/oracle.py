@@ -69,7 +69,7 @@ SELECT v.name, COALESCE(m.borough, 'Unknown') AS borough, v.county_text AS count
   total_population, median_household_income, population_below_poverty,
   total_housing_units, total_workers_commuting,
   CASE WHEN total_population > 0 AND population_below_poverty IS NOT NULL
-       THEN round(population_below_poverty / total_population * 100, 2) END AS poverty_rate_pct,
+       THEN CAST(printf('%.2f', population_below_poverty / total_population * 100) AS DOUBLE) END AS poverty_rate_pct,
   {FIXED} AS _ingested_at, 'us_census_bureau_acs5' AS _source
 FROM v LEFT JOIN {BOROUGHS} ON m.code = v.county_text
 """
@@ -123,7 +123,7 @@ SELECT 'C' || CAST(o_custkey AS VARCHAR) AS borough,
   total_population, median_household_income, population_below_poverty,
   total_housing_units, total_workers_commuting,
   CASE WHEN total_population > 0 AND population_below_poverty IS NOT NULL
-       THEN round(population_below_poverty / total_population * 100, 2) END AS poverty_rate_pct,
+       THEN CAST(printf('%.2f', population_below_poverty / total_population * 100) AS DOUBLE) END AS poverty_rate_pct,
   CASE side WHEN 0 THEN {EARLIER} ELSE {FIXED} END AS _ingested_at,
   CASE side WHEN 0 THEN 'target_load' ELSE 'source_load' END AS _source,
   side
@@ -215,7 +215,7 @@ SELECT name, pop_text, income_text, below_text, housing_text, workers_text, stat
 WITH o AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS f
            FROM orders GROUP BY 1)
 SELECT c.c_custkey, COALESCE(o.n, 0) AS total_orders, COALESCE(o.f, 0) AS f_orders,
-  CASE WHEN o.n > 0 THEN round(CAST(o.f AS DOUBLE) / o.n * 100, 2) END AS poverty_rate_pct
+  CASE WHEN o.n > 0 THEN CAST(printf('%.2f', CAST(o.f AS DOUBLE) / o.n * 100) AS DOUBLE) END AS poverty_rate_pct
 FROM customer c LEFT JOIN o ON o.o_custkey = c.c_custkey""",
     "census_merge": CENSUS_MERGE,
     "requests_append": f"""
@@ -291,7 +291,7 @@ d AS (
   JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
   GROUP BY 1, 2),
 cur AS (SELECT borough, total_population,
-          CASE WHEN total_population > 0 THEN round(below / total_population * 100, 2) END AS poverty_rate_pct
+          CASE WHEN total_population > 0 THEN CAST(printf('%.2f', below / total_population * 100) AS DOUBLE) END AS poverty_rate_pct
         FROM d QUALIFY row_number() OVER (PARTITION BY borough ORDER BY survey_year DESC) = 1)
 SELECT pb.borough, pb.n_days, pb.requests, pb.corr_temp, cur.total_population, cur.poverty_rate_pct
 FROM pb LEFT JOIN cur ON cur.borough = pb.borough""",
@@ -335,7 +335,7 @@ d AS (
   GROUP BY 1, 2),
 m AS (
   SELECT *, CASE WHEN total_population > 0 AND population_below_poverty IS NOT NULL
-    THEN round(population_below_poverty / total_population * 100, 2) END AS poverty_rate_pct FROM d),
+    THEN CAST(printf('%.2f', population_below_poverty / total_population * 100) AS DOUBLE) END AS poverty_rate_pct FROM d),
 x AS (
   SELECT *, row_number() OVER w AS rn,
     lag(total_population) OVER w AS p1, lag(median_household_income) OVER w AS p2,
@@ -381,7 +381,7 @@ pb AS (SELECT req.borough, count(*) AS n_days, CAST(sum(req.n_req) AS BIGINT) AS
          round(corr(CAST(req.n_req AS DOUBLE), obs.mean_temp), 6) AS corr_temp
        FROM req LEFT JOIN obs ON obs.borough = req.borough AND obs.day = req.day GROUP BY 1),
 demo AS (SELECT upper(r.r_name) AS borough, count(*) AS population,
-           round(CAST(count(*) FILTER (WHERE c.c_acctbal < 0) AS DOUBLE) / count(*) * 100, 2) AS low_rate
+           CAST(printf('%.2f', CAST(count(*) FILTER (WHERE c.c_acctbal < 0) AS DOUBLE) / count(*) * 100) AS DOUBLE) AS low_rate
          FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
          JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY 1)
 SELECT pb.borough, pb.n_days, pb.requests, pb.corr_temp, demo.population, demo.low_rate

@@ -75,19 +75,21 @@ def upsert(source: DataFrame, path: str, keys: list[str], update_cols: list[str]
     spark = source.sparkSession
     staged_path = shared_path(spark, "upsert-source")
     n = append(source, staged_path)
-    staged = spark.read.parquet(staged_path).select(*source.columns)
+    # with the declared schema: partition values and empty columns are not inferred anew
+    staged = spark.read.schema(source.schema).parquet(staged_path)
     assert_unique_keys(staged, keys)
     target = read_table_or_empty(spark, path, source.schema).select(*source.columns)
     if partition_col:
-        touched = staged.select(partition_col).distinct()
-        target = target.join(touched, partition_col, "left_semi")
+        # null-safe: the overwrite below replaces the null partition too, so it has to be read
+        touched = staged.select(F.col(partition_col).alias("_touched")).distinct()
+        target = target.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
     merged = merge(target, staged, keys, update_cols, check_unique=False, source_rows=n)
     out_path = shared_path(spark, "upsert-stage")
     w = merged.write.mode("overwrite").format("parquet")
     if partition_col:
         w = w.partitionBy(partition_col)
     w.save(out_path)
-    out = spark.read.parquet(out_path).select(*source.columns)
+    out = spark.read.schema(source.schema).parquet(out_path).select(*source.columns)
     w2 = out.write.mode("overwrite").format("parquet")
     if partition_col:
         w2 = w2.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")

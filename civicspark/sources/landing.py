@@ -18,6 +18,7 @@ from civicspark.functions.scalars import zip_header
 
 REQUEST_PAGE_SCHEMA = "array<map<string,string>>"
 CENSUS_DOC_SCHEMA = "array<array<string>>"
+FAIL_ON_MALFORMED = {"mode": "FAILFAST"}      # a broken page fails the load instead of vanishing
 
 
 def read_payloads(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
@@ -30,7 +31,7 @@ def read_payloads(spark: SparkSession, path: str, stream: bool = False) -> DataF
 def explode_request_pages(pages: DataFrame, text_col: str = "value") -> DataFrame:
     """Pages (JSON arrays of flat objects) -> one ``record`` map per element.
     Values stay text; a JSON null stays NULL; absent keys are absent."""
-    rec = F.explode(F.from_json(F.col(text_col), REQUEST_PAGE_SCHEMA))
+    rec = F.explode(F.from_json(F.col(text_col), REQUEST_PAGE_SCHEMA, FAIL_ON_MALFORMED))
     keep = [c for c in pages.columns if c != text_col]
     return pages.select(*keep, rec.alias("record"))
 
@@ -75,10 +76,13 @@ def explode_census_docs(docs: DataFrame, text_col: str = "value") -> DataFrame:
     The zip happens inside the ``explode`` (a Generate node), so each row's
     map is built once; as a projection, filters pushed below it would rebuild
     the map once per predicate."""
-    arr = F.from_json(F.col(text_col), CENSUS_DOC_SCHEMA)
+    arr = F.from_json(F.col(text_col), CENSUS_DOC_SCHEMA, FAIL_ON_MALFORMED)
     keep = [c for c in docs.columns if c != text_col]
     parsed = docs.select(*keep, arr.alias("_doc"))
-    header = F.col("_doc")[0]
+    header = F.get("_doc", F.lit(0))
     rows = F.slice(F.col("_doc"), 2, F.greatest(F.size("_doc") - 1, F.lit(0)))
+    # a document without a header row is no survey document
+    rows = F.when(F.size("_doc") == 0, F.raise_error(F.lit("survey document without a header")))\
+        .otherwise(rows)
     return parsed.select(*keep, F.explode(F.transform(rows, lambda r: zip_header(header, r)))
                          .alias("data"))

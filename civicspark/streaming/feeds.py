@@ -38,7 +38,7 @@ def request_stream(spark: SparkSession, landing_dir: str, mode: str = C.DEFAULT_
     pages = reader.load(landing_dir)
     rows = requests.project_records(explode_request_pages(pages))
     at = X.as_of_literal(ingested_at) if ingested_at is not None else \
-        F.current_timestamp().cast("timestamp_ntz")
+        X.utc_now()
     rows = rows.withColumns({"_ingested_at": at, "_ingestion_mode": F.lit(mode),
                              "_source": F.lit(C.SOURCE_REQUESTS)})
     return rows.select(*[c.name for c in schemas.REQUESTS_RAW])
@@ -72,8 +72,8 @@ DAY_PARTITION = "_created_day"
 
 def upsert_latest_requests(rows: DataFrame, table_path: str, checkpoint: str,
                            available_now: bool = True, partition_by_day: bool = True) -> StreamingQuery:
-    """Per micro-batch: newest row per request (by load time, then status as
-    tie-break), merged into the table on ``unique_key``.  Replaying a batch
+    """Per micro-batch: newest row per request (by load time, then closed before
+    open; rows without a key are not requests and are merged as they are), merged into the table on ``unique_key``.  Replaying a batch
     after a failure rewrites the same result (idempotent).
 
     With ``partition_by_day`` the table is partitioned by the request's
@@ -86,7 +86,8 @@ def upsert_latest_requests(rows: DataFrame, table_path: str, checkpoint: str,
     updates = [c for c in cols if c not in ("unique_key", DAY_PARTITION)]
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        latest = history.latest_by_key(batch, ["unique_key"], ["_ingested_at", "status"])
+        latest = history.latest_request_rows(batch) if "closed_date" in cols else history.latest_by_key(
+            batch, ["unique_key"], ["_ingested_at", "status"])
         sinks.upsert(latest.select(*cols), table_path, ["unique_key"], updates,
                      partition_col=DAY_PARTITION if partition_by_day else None)
 
