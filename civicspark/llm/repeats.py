@@ -13,9 +13,13 @@ in this document or another, is removed.  Nothing is listed per byte:
    trigger, which every window of the phrase contains.  A core that occurs once
    is not repeated, nor is any window with it.  Equal phrases that occur twice
    or more are repeated as a whole.
-3. Where one core has different phrases (the rims of repeated passages), the
-   windows of each distinct phrase are compared by their hashes, again one
-   dictionary entry for all its copies.
+3. Where one core has different phrases (the rims of repeated passages), each
+   distinct phrase tells its windows in blocks of BLOCK places around the
+   trigger, again one dictionary entry for all its copies.  A block holds the
+   hash of what its windows have in common and the bytes before and behind it.
+   A common stretch that occurs once has no repeated window; blocks that agree
+   in all bytes are repeated as a whole; only others are compared window by
+   window, by the bytes at hand.
 
 Groups are joined and counted, never collected; a core that a third of all
 documents share is one row of the dictionary and a skewed join.  Texts travel
@@ -41,10 +45,11 @@ from civicspark.llm.text_bytes import Hasher, Piece, pieces
 
 LENGTH = 400
 GRAM, SPAN, CORE = 16, 200, 200       # SPAN + CORE <= LENGTH, GRAM <= CORE
+BLOCK = 20                            # windows; well below LENGTH
 PHRASES = "doc_id long, th long, core long, phrase long, s int, e int, a int"
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 FIRST = (DIGEST + ", th long, text string, starts array<int>, ends array<int>, cores array<long>, "
-         "windows array<long>, at array<int>")
+         "numbers array<int>, commons array<long>, befores array<binary>, behinds array<binary>, at array<int>")
 
 
 def triggers(piece: Piece, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +107,31 @@ def digest(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int,
     return n, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()
 
 
+def blocks(text: bytes, s: np.ndarray, e: np.ndarray, a: np.ndarray) -> dict[str, object]:
+    """The blocks of phrases with windows ``s`` to ``e`` and trigger ``a``.
+
+    Block ``number`` has the windows that start ``number * BLOCK`` to ``number * BLOCK + BLOCK - 1``
+    bytes before the trigger.  ``at`` is where its common stretch starts; a window that starts k bytes
+    earlier has the last k bytes of ``before`` and the first BLOCK - 1 - k of ``behind``."""
+    low, n = (a - e) // BLOCK, (a - s) // BLOCK - (a - e) // BLOCK + 1
+    phrase = np.repeat(np.arange(len(s)), n)
+    number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[phrase]
+    at = a[phrase] - number * BLOCK
+    to = at - BLOCK + 1 + LENGTH
+    common = Hasher(np.frombuffer(text, np.uint8), 3).of(at, to).view(np.int64)
+    first, last = np.maximum(s[phrase], at - BLOCK + 1), np.minimum(e[phrase], at) + LENGTH
+    return {"phrase": phrase, "numbers": number, "commons": common, "at": at,
+            "befores": [text[i:j] for i, j in zip(first.tolist(), at.tolist())],
+            "behinds": [text[i:j] for i, j in zip(to.tolist(), last.tolist())]}
+
+
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Final digests where whole phrases decide; else the text and its rims' windows."""
+    """Final digests where whole phrases decide; else the text and its rims' blocks."""
+    longs, ints, binaries = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary())
     kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-             ("kept_sha256", pa.string()), ("th", pa.int64()), ("text", pa.string()), ("starts", pa.list_(pa.int32())),
-             ("ends", pa.list_(pa.int32())), ("cores", pa.list_(pa.int64())), ("windows", pa.list_(pa.int64())),
-             ("at", pa.list_(pa.int32()))]
+             ("kept_sha256", pa.string()), ("th", pa.int64()), ("text", pa.string()), ("starts", ints), ("ends", ints),
+             ("cores", longs), ("numbers", ints), ("commons", longs), ("befores", binaries), ("behinds", binaries),
+             ("at", ints)]
     for batch in batches:
         for k in range(0, batch.num_rows, 200):
             rows = []
@@ -118,19 +142,15 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 s = np.array([f["s"] for f in whole], np.int64)
                 e = np.array([f["e"] for f in whole], np.int64)
                 ask = [f for f in found if f["entry"]]
-                cores, hashes, at = [], [], []
+                told = (None,) * 6
                 if ask:
-                    h = Hasher(np.frombuffer(text, np.uint8), 3)
-                    for f in ask:
-                        i = np.arange(f["s"], f["e"] + 1)
-                        cores.append(np.full(len(i), f["core"]))
-                        hashes.append(h.of(i, i + LENGTH).view(np.int64))
-                        at.append(i)
+                    b = blocks(text, *(np.array([f[c] for f in ask], np.int64) for c in "sea"))
+                    core = np.array([f["core"] for f in ask], np.int64)[b["phrase"]]
+                    told = core, b["numbers"], b["commons"], b["befores"], b["behinds"], b["at"]
                 open_ = any(not f["whole"] for f in found)
                 d = (None,) * 4 if open_ else digest(text, s, e)
-                join = lambda x: np.concatenate(x) if x else None
                 rows.append((r["doc_id"], *d, r["th"], r["text"] if open_ else None, s if open_ else None,
-                             e if open_ else None, join(cores), join(hashes), join(at)))
+                             e if open_ else None, *told))
             cols = list(zip(*rows))
             yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(cols, kinds)], names=[n for n, _ in kinds])
 
@@ -139,15 +159,41 @@ def _last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            one = np.array(r["single"] or [], np.int64)
-            s = np.concatenate([np.array(r["starts"], np.int64), one])
-            e = np.concatenate([np.array(r["ends"], np.int64), one])
+            more = r["more"] or []
+            s = np.array(r["starts"] + [m["s"] for m in more], np.int64)
+            e = np.array(r["ends"] + [m["e"] for m in more], np.int64)
             rows.append((r["doc_id"], *digest((r["text"] or "").encode(), s, e)))
         cols = list(zip(*rows)) or [()] * 5
         yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.string()])],
                               names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _repeated(first: DataFrame) -> DataFrame:
+    """``doc_id, th, s, e``: stretches of repeated windows in the blocks that the first pass tells.
+
+    A row that repeats a document tells its blocks again, but then its phrases are repeated as a whole."""
+    b = F.explode(F.arrays_zip("cores", "numbers", "commons", "befores", "behinds", "at")).alias("b")
+    told = first.filter("at is not null").select("doc_id", "th", b).select(
+        "doc_id", "th", *[F.col(f"b.{c}s").alias(c) for c in ("core", "number", "common", "before", "behind")], "b.at")
+    rim = F.xxhash64(F.length("before"), "before", "behind")
+    key = ["core", "number", "common"]
+    agree = (told.groupBy(key).agg(F.count("*").alias("n"), F.min(rim).alias("lo"), F.max(rim).alias("hi"))
+             .filter("n > 1").select(*key, (F.col("lo") == F.col("hi")).alias("agree")))
+    met = written(told.join(agree, key), "blocks")
+    # windows start from length(before) down to BLOCK - 1 - length(behind) bytes before the common stretch
+    least = BLOCK - 1 - F.length("behind")
+    whole = met.filter("agree").select("doc_id", "th", (F.col("at") - F.length("before")).alias("s"),
+                                       (F.col("at") - least).alias("e"))
+    k = F.col("k")
+    window = F.xxhash64("common", k, F.substring("before", F.length("before") - k + 1, k),
+                        F.substring("behind", F.lit(1), F.lit(BLOCK - 1) - k))
+    windows = (met.filter("not agree").withColumn("k", F.explode(F.sequence(least, F.length("before"))))
+               .select("doc_id", "th", "core", "number", window.alias("h"), (F.col("at") - k).alias("i")))
+    again = windows.groupBy("core", "number", "h").count().filter("count > 1").drop("count")
+    return whole.unionByName(windows.join(again, ["core", "number", "h"]).select(
+        "doc_id", "th", F.col("i").alias("s"), F.col("i").alias("e")))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs`` (``doc_id``, ``text``)."""
     text = docs.select("doc_id", F.xxhash64("text", F.lit("row")).alias("th"), "text")
@@ -160,22 +206,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "s")).alias("entry"))   # one entry for all copies
     here = F.struct("doc_id", "th", "s")
     told = mixed.join(entry, ["core", "phrase"]).select(
-        "doc_id", "th", "s", "e", "core", (F.col("n") > 1).alias("whole"), here.eqNullSafe(F.col("entry")).alias("entry"))
+        "doc_id", "th", "s", "e", "a", "core", (F.col("n") > 1).alias("whole"), here.eqNullSafe(F.col("entry")).alias("entry"))
     every = told.unionByName(shared.filter("not mixed").select(
-        "doc_id", "th", "s", "e", "core", F.lit(True).alias("whole"), F.lit(False).alias("entry")))
+        "doc_id", "th", "s", "e", "a", "core", F.lit(True).alias("whole"), F.lit(False).alias("entry")))
     # at most one phrase per trigger of the text; rows that repeat a document give the same ones
-    found = every.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e", "core", "whole", "entry")).alias("found"))
+    found = every.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e", "a", "core", "whole", "entry")).alias("found"))
     found = found.select(F.col("doc_id").alias("f_doc"), F.col("th").alias("f_th"), "found")
     on = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("th") == F.col("f_th"))
     first = written(text.join(found, on, "left").select("doc_id", "th", "text", "found").mapInArrow(_first_pass, FIRST),
                     "first-pass")
-    # a row that repeats a document tells its windows again, but then its phrases are repeated as a whole
-    windows = first.filter("windows is not null").select("doc_id", "th", F.explode(
-        F.arrays_zip("cores", "windows", "at")).alias("w")).select(
-        "doc_id", "th", F.col("w.cores").alias("core"), F.col("w.windows").alias("h"), F.col("w.at").alias("i"))
-    again = windows.groupBy("core", "h").count().filter("count > 1").select("core", "h")
-    single = (windows.join(again, ["core", "h"]).groupBy("doc_id", "th").agg(F.collect_set("i").alias("single"))
-              .select(F.col("doc_id").alias("f_doc"), F.col("th").alias("f_th"), "single"))
-    rest = (first.filter("kept_sha256 is null").select("doc_id", "th", "text", "starts", "ends").join(single, on, "left")
-            .select("doc_id", "text", "starts", "ends", "single").mapInArrow(_last_pass, DIGEST))
+    more = (_repeated(first).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("more"))
+            .select(F.col("doc_id").alias("f_doc"), F.col("th").alias("f_th"), "more"))
+    rest = (first.filter("kept_sha256 is null").select("doc_id", "th", "text", "starts", "ends").join(more, on, "left")
+            .select("doc_id", "text", "starts", "ends", "more").mapInArrow(_last_pass, DIGEST))
     return first.filter("kept_sha256 is not null").select(*rest.columns).unionByName(rest)
