@@ -199,7 +199,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text = docs.select("doc_id", F.xxhash64("text", F.lit("row")).alias("th"), "text")
     phrases = written(text.mapInArrow(_phrases, PHRASES), "phrases")
     cores = phrases.groupBy("core").agg(F.count("*").alias("n"), F.min("phrase").alias("lo"), F.max("phrase").alias("hi"))
-    cores = cores.filter("n > 1").select("core", (F.col("lo") != F.col("hi")).alias("mixed"))
+    # written, so that the join below reads both sides from plain shuffles, which AQE splits at a hot core
+    cores = written(cores.filter("n > 1").select("core", (F.col("lo") != F.col("hi")).alias("mixed")), "cores")
     shared = written(phrases.join(cores, "core"), "shared")
     mixed = shared.filter("mixed")
     entry = mixed.groupBy("core", "phrase").agg(
