@@ -15,8 +15,11 @@ components are found without listing all links:
    group of near copies without its square of pairs.  Groups of very frequent
    shingles are dealt over several salted groups whose first sets meet again.
 4. Components of the links found so far leave few groups with members of more
-   than one component.  Only there, pairs across components are made, so each
-   link that could still join two components is tested.  That is exact.
+   than one component.  In the large ones of these, members are paired with
+   CENTRES more sets if those are of another component, and components are
+   found again: near copies around a threshold mostly link to one of them.
+5. In what is left, all pairs across components are made, so each link that
+   could still join two components is tested.  That is exact.
 
 Pairs go through a length filter, a positional filter (the first common prefix
 shingle bounds the overlap), a suffix filter (overlap bounded by the sets' sizes
@@ -54,6 +57,7 @@ HEAVY_LEAST = 3              # times within CHUNK shingles of a task that make a
 CHUNK = 4_000_000            # shingles that a task counts at a time
 BITMAP_BITS = 20             # of nodes whose sets are fetched
 LARGE, KNOWN = 64, 64        # groups of so many members tell pairs met before, by so many shingles
+CENTRES = 16                 # sets of a large group that its other components' members are paired with first
 PARTS = 256                  # of the suffix filter
 PART_MOST = 127              # counts beyond are not told apart
 ROWS_PER_GROUP = 20_000      # expected members beyond which a shingle's group is salted
@@ -253,31 +257,48 @@ def _may_overlap(x: str, y: str, n1: Column, n2: Column) -> Column:
     return full | _enough(common, n1, n2)
 
 
-def _across(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of one group and two components, after all filters.  In large groups a pair is made at
-    its first common prefix shingle only, as far as the first KNOWN shingles of both tell, and only
-    if it passes the suffix filter there and then."""
+def _rooted(members: DataFrame, known: DataFrame) -> DataFrame:
+    return written(members.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
+
+
+def _active(members: DataFrame) -> DataFrame:
+    """Members, with their group's ``size``, of groups that hold more than one component."""
     groups = members.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                           F.count("*").alias("size")).filter("lo != hi")
-    active = members.join(groups.select("token", "size"), "token")
+    return members.join(groups.select("token", "size"), "token")
+
+
+def _across(active: DataFrame, nodes: DataFrame, centres: int | None = None) -> DataFrame:
+    """Pairs (``a`` < ``b``) of one group and two components, after all filters.  In large groups a pair
+    is made at its first common prefix shingle only, as far as the first KNOWN shingles of both tell, and
+    only if it passes the suffix filter there and then.  ``centres``: only pairs with so many sets of each group."""
     large = active.filter(F.col("size") >= LARGE)
     nth = F.row_number().over(Window.partitionBy("node").orderBy("token"))
     known = (large.withColumn("nth", nth).filter(F.col("nth") <= KNOWN)
              .groupBy("node").agg(F.collect_list("token").alias("known")))
     large = large.join(known, "node").join(nodes.select("node", "parts"), "node")
     rows = written(large.unionByName(active.filter(F.col("size") < LARGE), allowMissingColumns=True).select(
-        "token", "node", "n", "pos", "root", "known", "parts"), "active")
-    x, y = (rows.select("token", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"),
+        "token", "node", "n", "pos", "root", "known", "parts"), "across")
+    others = rows
+    if centres:
+        turn = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("node"), "node"))
+        chosen = rows.select("token", "node").withColumn("turn", turn).filter(F.col("turn") <= centres)
+        others = rows.join(chosen.select("token", "node"), ["token", "node"], "left_semi")
+    x, y = (part.select("token", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"),
                         F.col("root").alias(f"r{s}"), F.col("known").alias(f"k{s}"),
-                        F.col("parts").alias(f"s{s}")) for s in ("a", "b"))
+                        F.col("parts").alias(f"s{s}")) for s, part in (("a", rows), ("b", others)))
     near = (F.col("na") * WHOLE >= F.col("nb") * PART) & (F.col("nb") * WHOLE >= F.col("na") * PART)
     most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     small_most = F.least("pa", "pb") + most - 1          # where the shingle need not be the first
     bound = F.when(F.col("ka").isNull(), small_most).otherwise(most)
     earlier = F.coalesce(F.array_min(F.array_intersect("ka", "kb")) < F.col("token"), F.lit(False))
-    return x.join(y, "token").filter((F.col("a") < F.col("b")) & near & (F.col("ra") != F.col("rb"))
-                                     & _enough(bound, F.col("na"), F.col("nb")) & ~earlier
-                                     & (F.col("sa").isNull() | _may_overlap("sa", "sb", F.col("na"), F.col("nb"))))
+    once = F.lit(True) if centres else F.col("a") < F.col("b")
+    pairs = x.join(y, "token").filter(once & near & (F.col("ra") != F.col("rb"))
+                                      & _enough(bound, F.col("na"), F.col("nb")) & ~earlier
+                                      & (F.col("sa").isNull() | _may_overlap("sa", "sb", F.col("na"), F.col("nb"))))
+    turned = F.col("a") > F.col("b")
+    return pairs.select(*[F.when(turned, F.col(c + q)).otherwise(F.col(c + p)).alias(c + p)
+                          for c in ("", "n", "p") for p, q in ("ab", "ba")])
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -314,12 +335,16 @@ def link_components(docs: DataFrame) -> DataFrame:
 
     members = (grouped.select("token", "node", "n", "pos")
                .unionByName(grouped.select("token", F.col("first").alias("node"), F.col("first_n").alias("n"),
-                                           F.col("first_pos").alias("pos"))).distinct()
-               .join(known, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    members = written(members, "members")
-    rest = _candidates(_across(members, nodes)).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verified(docs, rest, nodes)
-    root = components(links.unionByName(more))
+                                           F.col("first_pos").alias("pos"))).distinct())
+    active = written(_active(_rooted(members, components(links))), "active")
+    central = _candidates(_across(active.filter(F.col("size") >= LARGE), nodes, CENTRES))
+    central = written(central.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "central")
+    links = links.unionByName(_verified(docs, central, nodes))
+
+    active = _active(_rooted(active.select("token", "node", "n", "pos"), components(links)))
+    met = tried.unionByName(central).select("a", "b")
+    rest = _candidates(_across(active, nodes)).join(met, ["a", "b"], "left_anti")
+    root = components(links.unionByName(_verified(docs, rest, nodes)))
 
     rooted = nodes.join(root, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
