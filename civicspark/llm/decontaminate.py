@@ -10,7 +10,10 @@ Matches are grouped by alignment (document, item, distance of the two
 positions).  An alignment counts if it has enough matched templates and its
 slots are consistent: each number, name or unit of the item must always stand
 for the same value in the document.  Templates that are mostly placeholders say
-nothing and are not indexed.
+nothing; such windows are indexed by their literal lower-cased words instead, so
+that an exact copy of any item is found.  An alignment has enough matches if it
+has LEAST_MATCHES templates, or all that the item has if fewer, or as many
+windows of both kinds.
 
 Only the benchmark's template index is broadcast, after counting its rows; a
 larger benchmark is joined by shuffling both sides on the hash.  Items of equal
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 8
 LEAST_MATCHES = 3            # templates an alignment needs (all, if the item has fewer)
-LEAST_LITERAL = 5            # words of an indexed template that are no placeholder
+LEAST_LITERAL = 5            # words of a template that are no placeholder; windows with fewer are compared literally
 INDEX_ROWS = 500_000         # a template index up to this size (about 50 MB) is broadcast
 SENTENCE = "."               # stands for a sentence end until names are told apart
 # fixed values: units that may follow a number
@@ -62,35 +65,58 @@ def canonical(cut: Column) -> Column:
     return F.filter(F.transform(cut, one), lambda s: (s["v"] != SENTENCE) & (s["v"] != ""))
 
 
-def templates(text: DataFrame, keep: list[str], window: int) -> DataFrame:
-    """``keep``, the canonical words ``w`` and the hashes ``h`` of all windows."""
+def is_slot(word: Column) -> Column:
+    return word["t"].startswith("<")
+
+
+def literal_hash(w: Column, start: Column, window: int) -> Column:
+    return F.xxhash64(F.lit("literal"), *[F.get(w, start + k)["v"] for k in range(window)])
+
+
+def templates(text: DataFrame, keep: list[str], window: int, literal: bool) -> DataFrame:
+    """``keep``, the canonical words ``w`` and the hashes ``h`` of all windows; if ``literal``, windows of
+    mostly placeholders have the hash of their literal words."""
     # no filter on what is computed here: pushed down, it would compute the words anew for each word
     cut = text.select(*keep, words(F.col("text")).alias("cut"))
     w = cut.select(*keep, canonical(F.col("cut")).alias("w"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
-    # single elements, as slice() would copy the whole array for each window
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get("t", i + k) for k in range(window)]))
     # transform, as "w.t" would be pulled into the lambda and be built for each window
-    return (w.select(*keep, "w", F.transform("w", lambda s: s["t"]).alias("t"))
-            .select(*keep, "w", F.when(F.size("w") > 0, hashes).alias("h")))
-
+    w = w.select(*keep, "w", F.transform("w", lambda s: s["t"]).alias("t"),
+                 F.transform("w", lambda s: F.when(is_slot(s), 1).otherwise(0)).alias("slot"))
+    size = F.least(F.size("w"), F.lit(window))
 
-def slots(w: Column, start: Column, window: int) -> Column:
-    """Values of the placeholders of a window, in order."""
-    inside = F.filter(F.slice(w, start, window), lambda s: s["t"].startswith("<"))
-    return F.transform(inside, lambda s: s["v"])
+    def hashed(i: Column) -> Column:
+        # single elements, as slice() would copy the whole array for each window
+        template = F.xxhash64(*[F.get("t", i + k) for k in range(window)])
+        if not literal:
+            return template
+        slot_words = sum((F.coalesce(F.get("slot", i + k), F.lit(0)) for k in range(1, window)), F.get("slot", i))
+        return (F.when(size - slot_words < F.least(size, F.lit(LEAST_LITERAL)), literal_hash(F.col("w"), i, window))
+                .otherwise(template))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
+    return w.select(*keep, "w", F.when(F.size("w") > 0, F.transform(starts, hashed)).alias("h"))
 
 
 def template_index(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """A row per window of an item: its hash, whether it is a ``template``, its ``slots`` (offset and value),
+    and how many windows (``least``) or templates (``least_templates``, null if it has none) a match needs."""
     items = (benchmark.filter(F.col("text").isNotNull()).groupBy("text")
              .agg(F.min("item_id").alias("item_id")))
-    t = templates(items, ["item_id"], window)
-    at = t.select("item_id", "w", F.size("h").alias("n"), F.posexplode_outer("h").alias("item_at", "hash"))
-    literal = F.size(F.filter(F.slice("w", F.col("item_at") + 1, window), lambda s: ~s["t"].startswith("<")))
     size = F.least(F.size("w"), F.lit(window))
-    return at.filter(literal >= F.least(size, F.lit(LEAST_LITERAL))).select(
-        "hash", "item_id", "item_at", slots(F.col("w"), F.col("item_at") + 1, window).alias("item_slots"),
-        F.least("n", F.lit(LEAST_MATCHES)).alias("least"))
+
+    def is_template(start: Column) -> Column:
+        literal = F.size(F.filter(F.slice("w", start + 1, window), lambda s: ~is_slot(s)))
+        return literal >= F.least(size, F.lit(LEAST_LITERAL))
+    t = templates(items, ["item_id"], window, True)
+    n = F.size(F.filter(F.sequence(F.lit(0), F.size("h") - 1), is_template))
+    at = (t.filter(F.size("w") > 0)
+          .select("item_id", "w", F.least(F.size("h"), F.lit(LEAST_MATCHES)).alias("least"),
+                  F.when(n > 0, F.least(n, F.lit(LEAST_MATCHES))).alias("least_templates"),
+                  F.posexplode("h").alias("item_at", "hash"))
+          .withColumn("template", is_template(F.col("item_at"))))
+    inside = F.transform(F.slice("w", F.col("item_at") + 1, window),
+                         lambda s, k: F.struct(k.alias("k"), s["t"].alias("t"), s["v"].alias("v")))
+    slots = F.filter(inside, lambda s: F.col("template") & is_slot(s))       # literal words need no comparison
+    return at.select("hash", "item_id", "item_at", "template", "least", "least_templates", slots.alias("slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None = None,
@@ -99,19 +125,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None =
     alignment and whether its slot values are ``exact``ly the item's."""
     keys = keys or ["doc_id"]
     index = template_index(benchmark, window)
-    if index.count() <= INDEX_ROWS:
+    rows, literal = index.agg(F.count(F.lit(1)), F.max(~F.col("template"))).first()
+    if rows <= INDEX_ROWS:
         index = F.broadcast(index)
-    t = templates(docs.select(*keys, "text"), keys, window)
+    t = templates(docs.select(*keys, "text"), keys, window, bool(literal))
     at = t.select(*keys, "w", F.posexplode_outer("h").alias("doc_at", "hash"))
     hit = at.join(index, "hash").select(
-        *keys, "item_id", "item_at", "least", (F.col("doc_at") - F.col("item_at")).alias("shift"),
-        F.zip_with("item_slots", slots(F.col("w"), F.col("doc_at") + 1, window),
-                   lambda i, d: F.struct(i.alias("item"), d.alias("doc"))).alias("pairs"))
+        *keys, "item_id", "item_at", "template", "least", "least_templates",
+        (F.col("doc_at") - F.col("item_at")).alias("shift"),
+        F.transform("slots", lambda s: F.struct(
+            s["v"].alias("item"), F.get("w", F.col("doc_at") + s["k"])["v"].alias("doc"))).alias("pairs"))
     side = [*keys, "item_id", "shift"]
     counted = hit.groupBy(*side).agg(
         F.count_distinct("item_at").alias("matches"), F.first("least").alias("least"),
+        F.size(F.collect_set(F.when(F.col("template"), F.col("item_at")))).alias("of_templates"),
+        F.first("least_templates").alias("least_templates"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))     # at most one item's slots
     values = F.array_distinct(F.transform("pairs", lambda p: p["item"]))
-    counted = counted.filter((F.col("matches") >= F.col("least")) & (F.size("pairs") == F.size(values)))
+    enough = (F.col("matches") >= F.col("least")) | (F.col("of_templates") >= F.col("least_templates"))
+    counted = counted.filter(enough & (F.size("pairs") == F.size(values)))
     same = F.forall("pairs", lambda p: p["item"].eqNullSafe(p["doc"]))
     return counted.groupBy(*keys, "item_id").agg(F.max("matches").alias("matches"), F.max(same).alias("exact"))

@@ -211,6 +211,22 @@ def test_templates_find_new_parameters(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def leaks(spark, docs, items):
+    frame = lambda texts, key: spark.createDataFrame(list(enumerate(texts)), f"{key} long, text string")
+    found = decontaminate.contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()
+    return {(r.doc_id, r.item_id, r.exact) for r in found}
+
+
+def test_templates_of_mostly_placeholders_match_literally(spark):
+    items = ["3 apples, 4 pears, 5 plums, 6 figs, 7 nuts, 8 eggs", "Compute 12 + 45 * 7",
+             "the Quick Brown Fox Jumps Over The Lazy Dog And Runs Far Away Home",
+             "Add 3 km 4 kg 5 cm 6 mg 7 ml and then say how many whole litres"]
+    docs = ["We bought: " + items[0] + ". Done.", "We bought: 3 apples, 4 pears, 5 plums, 6 figs, 9 nuts, 8 eggs",
+            items[1], "Compute 12 + 45 * 8", "so " + items[2] + " they say", "nothing of it",
+            "Add 1 km 2 kg 8 cm 9 mg 0 ml and then say how many whole litres"]
+    assert leaks(spark, docs, items) == {(0, 0, True), (2, 1, True), (4, 2, True), (6, 3, False)}
+
+
 def test_mixing_meets_targets(spark, no_docs):
     d, labels = table(spark, "documents"), table(spark, "labels")
     domain = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
