@@ -19,8 +19,12 @@ Only the benchmark's template index is broadcast, after counting its rows; a
 larger benchmark is joined by shuffling both sides on the hash.  Items of equal
 text are one item, reported under the smallest id.
 
-Defined cases: texts that are null or without words match nothing; a text
-shorter than a window is one template of all its words; rows that repeat a
+An item shorter than a window is one template of all its words, looked up among
+document windows of that length.  What precedes an item's first word in a document
+may change its canonical form, so the first window is indexed in every form.
+
+Defined cases: texts that are null or without words match nothing; a very short
+item (one word, one number) is in every document that has it; rows that repeat a
 document or a passage count once per alignment; an empty benchmark flags nothing.
 """
 
@@ -73,50 +77,73 @@ def literal_hash(w: Column, start: Column, window: int) -> Column:
     return F.xxhash64(F.lit("literal"), *[F.get(w, start + k)["v"] for k in range(window)])
 
 
-def templates(text: DataFrame, keep: list[str], window: int, literal: bool) -> DataFrame:
-    """``keep``, the canonical words ``w`` and the hashes ``h`` of all windows; if ``literal``, windows of
-    mostly placeholders have the hash of their literal words."""
+def canonical_words(text: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, the canonical words ``w``, their forms ``t`` and 1 for each placeholder (``slot``)."""
     # no filter on what is computed here: pushed down, it would compute the words anew for each word
     cut = text.select(*keep, words(F.col("text")).alias("cut"))
     w = cut.select(*keep, canonical(F.col("cut")).alias("w"))
     # transform, as "w.t" would be pulled into the lambda and be built for each window
-    w = w.select(*keep, "w", F.transform("w", lambda s: s["t"]).alias("t"),
-                 F.transform("w", lambda s: F.when(is_slot(s), 1).otherwise(0)).alias("slot"))
-    size = F.least(F.size("w"), F.lit(window))
+    return w.select(*keep, "w", F.transform("w", lambda s: s["t"]).alias("t"),
+                    F.transform("w", lambda s: F.when(is_slot(s), 1).otherwise(0)).alias("slot"))
+
 
-    def hashed(i: Column) -> Column:
-        # single elements, as slice() would copy the whole array for each window
-        template = F.xxhash64(*[F.get("t", i + k) for k in range(window)])
-        if not literal:
-            return template
-        slot_words = sum((F.coalesce(F.get("slot", i + k), F.lit(0)) for k in range(1, window)), F.get("slot", i))
-        return (F.when(size - slot_words < F.least(size, F.lit(LEAST_LITERAL)), literal_hash(F.col("w"), i, window))
-                .otherwise(template))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
-    return w.select(*keep, "w", F.when(F.size("w") > 0, F.transform(starts, hashed)).alias("h"))
+def templates(text: DataFrame, keep: list[str], sizes: list[int], literal: bool) -> DataFrame:
+    """``keep``, the canonical words ``w`` and for each window of each of the ``sizes`` its place and hash
+    (``h``); if ``literal``, windows of mostly placeholders have the hash of their literal words."""
+    w = canonical_words(text, keep)
+
+    def hashes(size: int) -> Column:
+        def hashed(i: Column) -> Column:
+            # single elements, as slice() would copy the whole array for each window
+            out = F.xxhash64(*[F.get("t", i + k) for k in range(size)])
+            if literal:
+                slot_words = sum((F.get("slot", i + k) for k in range(1, size)), F.get("slot", i))
+                out = (F.when(slot_words > size - min(size, LEAST_LITERAL), literal_hash(F.col("w"), i, size))
+                       .otherwise(out))
+            return F.struct(i.alias("doc_at"), out.alias("hash"))
+        starts = F.when(F.size("w") >= size, F.sequence(F.lit(0), F.size("w") - size))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), hashed)
+    return w.select(*keep, "w", F.concat(*[hashes(size) for size in sizes]).alias("h"))
 
 
 def template_index(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """A row per window of an item: its hash, whether it is a ``template``, its ``slots`` (offset and value),
-    and how many windows (``least``) or templates (``least_templates``, null if it has none) a match needs."""
+    """A row per window of an item and form of its first word: hash, ``size`` in words, whether it is a
+    ``template``, its ``slots`` (offset and value), the ``first`` word if the document must have it, and how many windows (``least``) or templates (``least_templates``, null if it has none) a match needs."""
     items = (benchmark.filter(F.col("text").isNotNull()).groupBy("text")
              .agg(F.min("item_id").alias("item_id")))
+    w = canonical_words(items, ["item_id"])
     size = F.least(F.size("w"), F.lit(window))
-
-    def is_template(start: Column) -> Column:
-        literal = F.size(F.filter(F.slice("w", start + 1, window), lambda s: ~is_slot(s)))
-        return literal >= F.least(size, F.lit(LEAST_LITERAL))
-    t = templates(items, ["item_id"], window, True)
-    n = F.size(F.filter(F.sequence(F.lit(0), F.size("h") - 1), is_template))
-    at = (t.filter(F.size("w") > 0)
-          .select("item_id", "w", F.least(F.size("h"), F.lit(LEAST_MATCHES)).alias("least"),
+    last = F.size("w") - size
+
+    def is_template(start: Column, first_slot: Column) -> Column:
+        literal = F.size(F.filter(F.slice("w", start + 2, window - 1), lambda s: ~is_slot(s)))
+        return literal + F.when(first_slot, 0).otherwise(1) >= F.least(size, F.lit(LEAST_LITERAL))
+
+    def slot_at(start: Column) -> Column:
+        return F.get("slot", start) == 1
+    # templates in every form; if there are none, those in the item's own form
+    sure = F.size(F.filter(F.sequence(F.lit(0), last), lambda i: is_template(i, slot_at(i) | (i == 0))))
+    n = F.greatest(sure, F.when(is_template(F.lit(0), slot_at(F.lit(0))), 1).otherwise(0))
+    at = (w.filter(F.size("w") > 0)
+          .select("item_id", "w", "t", "slot", size.alias("size"), F.least(last + 1, F.lit(LEAST_MATCHES)).alias("least"),
                   F.when(n > 0, F.least(n, F.lit(LEAST_MATCHES))).alias("least_templates"),
-                  F.posexplode("h").alias("item_at", "hash"))
-          .withColumn("template", is_template(F.col("item_at"))))
+                  F.explode(F.sequence(F.lit(0), last)).alias("item_at")))
+    word, own = F.get("w", F.col("item_at"))["v"], F.get("t", F.col("item_at"))
+    forms = (F.when((F.col("item_at") > 0) | (own == "<num>"), F.array(own))
+             .when(F.array_contains(F.array(*[F.lit(u) for u in UNITS]), word), F.array(word, F.lit("<name>"), F.lit("<unit>")))
+             .otherwise(F.array(word, F.lit("<name>"))))
+    at = at.withColumn("form", F.explode(forms))
+    at = at.withColumn("template", is_template(F.col("item_at"), F.col("form").startswith("<")))
+    rest = [F.get("t", F.col("item_at") + k) for k in range(1, window)]         # null past the end changes no hash
+    hashed = (F.when(F.col("template"), F.xxhash64("form", *rest))
+              .otherwise(literal_hash(F.col("w"), F.col("item_at"), window)))
+    # a first word that is a placeholder in this form only must be the item's word
+    first = F.when(F.col("form").startswith("<") & (F.col("form") != own), word)
     inside = F.transform(F.slice("w", F.col("item_at") + 1, window),
                          lambda s, k: F.struct(k.alias("k"), s["t"].alias("t"), s["v"].alias("v")))
     slots = F.filter(inside, lambda s: F.col("template") & is_slot(s))       # literal words need no comparison
-    return at.select("hash", "item_id", "item_at", "template", "least", "least_templates", slots.alias("slots"))
+    return at.select(hashed.alias("hash"), "item_id", "item_at", "size", "template", first.alias("first"), "least",
+                     "least_templates", slots.alias("slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None = None,
@@ -125,12 +152,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None =
     alignment and whether its slot values are ``exact``ly the item's."""
     keys = keys or ["doc_id"]
     index = template_index(benchmark, window)
-    rows, literal = index.agg(F.count(F.lit(1)), F.max(~F.col("template"))).first()
+    rows, literal, sizes = index.agg(F.count(F.lit(1)), F.max(~F.col("template")), F.collect_set("size")).first()
+    index = index.drop("size")
     if rows <= INDEX_ROWS:
         index = F.broadcast(index)
-    t = templates(docs.select(*keys, "text"), keys, window, bool(literal))
-    at = t.select(*keys, "w", F.posexplode_outer("h").alias("doc_at", "hash"))
-    hit = at.join(index, "hash").select(
+    t = templates(docs.select(*keys, "text"), keys, sorted({window, *sizes}, reverse=True), bool(literal))
+    at = t.select(*keys, "w", F.inline_outer("h"))
+    same_first = F.col("first").isNull() | (F.col("first") == F.get("w", F.col("doc_at"))["v"])
+    hit = at.join(index, "hash").filter(same_first).select(
         *keys, "item_id", "item_at", "template", "least", "least_templates",
         (F.col("doc_at") - F.col("item_at")).alias("shift"),
         F.transform("slots", lambda s: F.struct(

@@ -227,6 +227,17 @@ def test_templates_of_mostly_placeholders_match_literally(spark):
     assert leaks(spark, docs, items) == {(0, 0, True), (2, 1, True), (4, 2, True), (6, 3, False)}
 
 
+def test_templates_find_short_items_in_any_context(spark):
+    items = ["What is the capital of France?", "Which of these planets has the largest known ring system?",
+             "Days are counted from the spring of each year", "Anna has 3 cats", "12"]
+    docs = ["Question: " + items[0] + " Paris, of course, as everybody in the room knew.", items[0],
+            "Later he asked, " + items[1] + " Nobody said anything for a while.", "we read 'which " + items[1][6:] + "'",
+            "After 3 days are counted from the spring of each year it ends", "They said that Anna has 3 cats and one dog",
+            "They said that Peter has 5 cats and one dog", "Which of these planets has the largest", "page 12 of it"]
+    assert leaks(spark, docs, items) == {(0, 0, True), (1, 0, True), (2, 1, True), (3, 1, True), (4, 2, True),
+                                         (5, 3, True), (8, 4, True)}
+
+
 def test_mixing_meets_targets(spark, no_docs):
     d, labels = table(spark, "documents"), table(spark, "labels")
     domain = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
