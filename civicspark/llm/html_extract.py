@@ -33,7 +33,15 @@ from pyspark.sql import functions as F
 
 # fixed values: element classes of HTML
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript iframe xmp noembed noframes template svg math object".split())
+RAW = set("script style textarea title noscript iframe xmp noembed noframes".split())
+# kept on the stack without ending the block around them: no text of the page
+APART = set("svg template annotation annotation-xml".split())
+FOREIGN = set("svg math".split())
+HTML_INSIDE = set("foreignobject desc".split())          # parts of an svg that hold HTML
+# start tags that end an open svg, as in a browser
+BREAKOUT = set("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li
+menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var
+article aside footer form header main nav section""".split())
 BLOCK = set("""html body address article aside blockquote caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol
 optgroup option p pre section summary table tbody td tfoot th thead tr ul head button select label""".split())
@@ -85,18 +93,23 @@ def is_no_article(tag: str, attrs: dict[str, str], path: tuple[str, ...]) -> boo
 
 def blocks(page: str) -> Iterator[Block]:
     """Blocks of the parts that may be article, in page order."""
-    stack: list[tuple[str, str, bool]] = []          # element, its name in the path, no article
+    # element, its name in the path, no article, open elements inside an svg
+    stack: list[tuple[str, str, bool, list[str]]] = []
     text: list[str] = []
 
     def flush() -> Iterator[Block]:
         whole = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if whole and not (stack and stack[-1][2]):
-            yield Block(tuple(name for _, name, _ in stack), whole)
+            yield Block(tuple(name for _, name, *_ in stack), whole)
 
     def unwind(upto: int) -> None:
         del stack[upto:]
 
+    def add(part: str) -> None:
+        if not (stack and stack[-1][2]):
+            text.append(part)
+
     at = 0
     while at < len(page):
         m = TOKEN.search(page, at)
@@ -104,27 +117,52 @@ def blocks(page: str) -> Iterator[Block]:
         if lt >= 0 and (m is None or lt < m.start()):      # a lone "<", or a tag with an open quote
             loose = LOOSE.match(page, lt)
             if loose is None:
-                text.append(page[at:lt + 1])
+                add(page[at:lt + 1])
                 at = lt + 1
                 continue
             m = loose
         if m is None:
-            text.append(page[at:])
+            add(page[at:])
             break
-        text.append(page[at:m.start()])
+        add(page[at:m.start()])
         at = m.end()
         if m.lastindex is None:
             continue
         closing, tag = m[1] == "/", m[2].lower()
+        foreign = bool(stack) and stack[-1][0] in APART - {"template"}
+        if foreign:
+            inner = stack[-1][3]
+            if closing and tag in inner:                   # an element of the svg itself
+                del inner[len(inner) - 1 - inner[::-1].index(tag):]
+                continue
+            if not closing and tag in BREAKOUT or closing and tag not in APART | HTML_INSIDE | BLOCK:
+                while stack and stack[-1][0] in APART - {"template"}:
+                    stack.pop()
+            elif not closing and m[3].endswith("/"):
+                continue
+            elif not closing and tag not in RAW | APART | HTML_INSIDE:
+                inner.append(tag)
+                continue
+        if tag in FOREIGN and m[3].endswith("/"):
+            continue
+        if tag in APART or foreign and tag in HTML_INSIDE or closing and tag in HTML_INSIDE:
+            if not closing:
+                stack.append((tag, tag, True, []))
+            else:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == tag:
+                        unwind(k)
+                        break
+            continue
         if tag in RAW:
             if not closing:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
-                text.append(" ")
+                add(" ")
             continue
         if tag not in BLOCK:
             if tag == "br":
-                text.append(" ")
+                add(" ")
             continue
         yield from flush()
         if closing:
@@ -147,10 +185,10 @@ def blocks(page: str) -> Iterator[Block]:
             if stack[k][0] in CLOSES.get(tag, ()):
                 unwind(k)
         attrs = attributes(m[3]) if m[3].strip(" /") else {}
-        path = tuple(name for _, name, _ in stack)
+        path = tuple(name for _, name, *_ in stack)
         none = bool(stack and stack[-1][2]) or is_no_article(tag, attrs, path)
         kind = ".".join(sorted(attrs.get("class", "").split()))
-        stack.append((tag, f"{tag}.{kind}" if kind else tag, none))
+        stack.append((tag, f"{tag}.{kind}" if kind else tag, none, []))
     yield from flush()
 
 

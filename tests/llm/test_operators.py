@@ -211,6 +211,23 @@ def test_templates_find_new_parameters(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+LONG = "A sentence of some length, it goes on, and on."
+OTHER = "Another sentence, also long enough, with points."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><div>{x}</div><article><p>{LONG}</p><p>{OTHER}</p></article></body>", f"{LONG}\n{OTHER}")
+    for x in ("<svg class=icon />", "<math/>", "<a><svg class=icon><path d='M0'/></a>", "<object data=x>", "<template><p>no",
+              "<svg><title/><g><text>no</text></g></svg>", "<svg><foreignObject><p>no</p></foreignObject></svg>")
+] + [
+    (f"<article><p>{LONG} <svg><text>no</text></svg><math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><p>{OTHER}</p></article>",
+     f"{LONG} x=2 holds.\n{OTHER}"),
+    (f"<article><p><svg><g>{LONG}</p><p>{OTHER}</p><object>Kept, as text.</object></article>", f"{OTHER}\nKept, as text."),
+])
+def test_main_text_beside_foreign_elements(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def leaks(spark, docs, items):
     frame = lambda texts, key: spark.createDataFrame(list(enumerate(texts)), f"{key} long, text string")
     found = decontaminate.contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()
