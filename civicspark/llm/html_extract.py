@@ -54,6 +54,13 @@ nav navbar navigation menu menus breadcrumb breadcrumbs sidebar side aside heade
 comment comments commentlist discussion disqus reply replies notice notices cookie cookies consent alert
 popup modal overlay newsletter subscribe signup login share sharing social related recommended widget
 toolbar pagination pager hidden""".split())
+# a word rejects as the head of its class or id token: the last word before these,
+PLAIN_WORD = set("""area slot box wrapper wrap container list section block left right top bottom item items link
+links button buttons bar unit panel group thread posts stories inner outer""".split())
+NOT_BEHIND = set("has no with without not".split())      # if none of these stands before it
+ARTICLE_WORD = set("article post entry content story title".split())     # and, for a header, none of these
+COMMENT_WORD = set("comment comments commentlist discussion disqus reply replies".split())
+MOST, MOST_COMMENTS = 0.5, 0.9      # of a page's text: an element holding more is not rejected by a word
 # elements that a start tag of the same group closes
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
@@ -68,6 +75,12 @@ WORD = re.compile(r"[a-z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
+class Doubt(NamedTuple):
+    """An element that a word of its class or id rejects, unless it holds the article."""
+    number: int
+    word: str
+
+
 class Block(NamedTuple):
     path: tuple[str, ...]
     text: str
@@ -86,22 +99,61 @@ def is_no_article(tag: str, attrs: dict[str, str], path: tuple[str, ...]) -> boo
         return True
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
+    return False
+
+
+def rejecting_word(tag: str, attrs: dict[str, str], path: tuple[str, ...]) -> str | None:
+    """The word of class or id by which an element is no article."""
     if tag in ("html", "body", "article", "main") and "comment" not in attrs.get("class", "").lower():
-        return False
-    return any(w in NO_WORD for k in ("class", "id") for w in WORD.findall(attrs.get(k, "").lower()))
+        return None
+    within = {"article", "main"} & {p.split(".")[0] for p in path}
+    named = [attrs.get("class", "")]
+    if tag not in HEADINGS and not (tag == "section" and within):        # theirs name what they tell of
+        named.append(attrs.get("id", ""))
+    for token in " ".join(named).lower().split():
+        parts = WORD.findall(token)
+        while len(parts) > 1 and parts[-1] in PLAIN_WORD:
+            parts.pop()
+        if not parts or parts[-1] not in NO_WORD or NOT_BEHIND & set(parts[:-1]):
+            continue
+        if parts[-1] == "header" and (within or ARTICLE_WORD & set(parts)):
+            continue
+        return parts[-1]
+    return None
+
+
+def blocks(page: str) -> list[Block]:
+    """Blocks of the parts that may be article, in page order.  A word rejects no element that holds a main,
+    or all articles of the page, or, where there is no article outside it, most of the page's text."""
+    articles: list[tuple[str, tuple[Doubt, ...]]] = []
+    found = list(doubted_blocks(page, articles))
+    whole = sum(len(b.text) for b, _ in found)
+    share: dict[Doubt, int] = {}
+    for b, doubts in found:
+        for d in doubts:
+            share[d] = share.get(d, 0) + len(b.text)
+
+    def rejected(d: Doubt) -> bool:
+        inside = [tag for tag, doubts in articles if d in doubts]
+        if "main" in inside or inside and len(inside) == len(articles):
+            return False
+        return bool(articles) or share[d] <= (MOST_COMMENTS if d.word in COMMENT_WORD else MOST) * whole
+    out = {d for d in share if rejected(d)}
+    return [b for b, doubts in found if out.isdisjoint(doubts)]
 
 
-def blocks(page: str) -> Iterator[Block]:
-    """Blocks of the parts that may be article, in page order."""
-    # element, its name in the path, no article, open elements inside an svg
-    stack: list[tuple[str, str, bool, list[str]]] = []
+def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) -> Iterator[tuple[Block, tuple[Doubt, ...]]]:
+    """Blocks and the doubted elements around them; ``articles`` gets each article or main and those around it."""
+    # element, its name in the path, no article, open elements inside an svg, doubted elements
+    stack: list[tuple[str, str, bool, list[str], tuple[Doubt, ...]]] = []
+    number = 0
     text: list[str] = []
 
-    def flush() -> Iterator[Block]:
+    def flush() -> Iterator[tuple[Block, tuple[Doubt, ...]]]:
         whole = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if whole and not (stack and stack[-1][2]):
-            yield Block(tuple(name for _, name, *_ in stack), whole)
+            yield Block(tuple(name for _, name, *_ in stack), whole), stack[-1][4] if stack else ()
 
     def unwind(upto: int) -> None:
         del stack[upto:]
@@ -147,7 +199,7 @@ def blocks(page: str) -> Iterator[Block]:
             continue
         if tag in APART or foreign and tag in HTML_INSIDE or closing and tag in HTML_INSIDE:
             if not closing:
-                stack.append((tag, tag, True, []))
+                stack.append((tag, tag, True, [], stack[-1][4] if stack else ()))
             else:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
@@ -187,8 +239,15 @@ def blocks(page: str) -> Iterator[Block]:
         attrs = attributes(m[3]) if m[3].strip(" /") else {}
         path = tuple(name for _, name, *_ in stack)
         none = bool(stack and stack[-1][2]) or is_no_article(tag, attrs, path)
+        doubts = stack[-1][4] if stack else ()
+        word = None if none else rejecting_word(tag, attrs, path)
+        if word:
+            number += 1
+            doubts += (Doubt(number, word),)
+        elif tag in ("article", "main") and not none:
+            articles.append((tag, doubts))
         kind = ".".join(sorted(attrs.get("class", "").split()))
-        stack.append((tag, f"{tag}.{kind}" if kind else tag, none, []))
+        stack.append((tag, f"{tag}.{kind}" if kind else tag, none, [], doubts))
     yield from flush()
 
 
@@ -236,7 +295,7 @@ def article_root(found: list[Block], paths: set[tuple[str, ...]]) -> tuple[str,
 
 
 def main_text(page: str | None) -> str:
-    found = list(blocks(page or ""))
+    found = blocks(page or "")
     if not found:
         return ""
     paths = content_paths(found)

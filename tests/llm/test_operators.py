@@ -228,6 +228,25 @@ def test_main_text_beside_foreign_elements(page, want):
     assert html_extract.main_text(page) == want
 
 
+PARTS = f"<p>{LONG}</p><p>{OTHER}</p>"
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><div class='{c}'>{PARTS}</div></body>", f"{LONG}\n{OTHER}")
+    for c in ("content has-sidebar", "no-sidebar", "with-comments", "header-fixed", "page modal-ready", "sidebar")
+] + [
+    (f"<body><div class=widget><article>{PARTS}</article></div><div class=related><p>{LONG}</p></div>", f"{LONG}\n{OTHER}"),
+    (f"<article><div class='article-header'><h1>Head</h1></div><h2 id='related-work'>Work</h2>{PARTS}"
+     f"<section id='side-effects'><p>{OTHER}</p></section><p id='notice-period'>{LONG}</p></article>",
+     f"Head\nWork\n{LONG}\n{OTHER}\n{OTHER}\n{LONG}"),
+] + [
+    (f"<body><article>{PARTS}</article><div class='{c}'><p>{LONG}</p></div></body>", f"{LONG}\n{OTHER}")
+    for c in ("sidebar", "comments-area", "ad-slot", "page__sidebar", "x related-posts")
+])
+def test_main_text_rejecting_words(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def leaks(spark, docs, items):
     frame = lambda texts, key: spark.createDataFrame(list(enumerate(texts)), f"{key} long, text string")
     found = decontaminate.contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()
