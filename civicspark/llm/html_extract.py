@@ -10,8 +10,10 @@ order, smoothed over neighbours, fused (geometric mean of the two), and a path
 is content if its mean reaches the spread (standard deviation) of the page.
 
 Content paths give the article's root: the innermost element that holds most of
-their text.  Blocks under it are the article, short ones such as headings and
-list items too, because only whole paths were judged, never single blocks.
+their text, or the article or main element that holds all of it.  Blocks under it
+are the article, short ones such as headings and list items too, because only
+whole paths were judged, never single blocks.  Content paths outside the root
+belong to the article as well, with what else their parents hold, in page order.
 
 Pages are independent: no shuffle, memory follows the longest page.  Defined
 cases: a null or empty page, and one without text, give an empty text; broken
@@ -290,6 +292,9 @@ def article_root(found: list[Block], paths: set[tuple[str, ...]]) -> tuple[str,
             for n in range(len(b.path)):
                 share[b.path[:n]] = share.get(b.path[:n], 0) + len(b.text)
     named = [p for p in share if p and p[-1].split(".")[0] in ("article", "main")]
+    holding_all = [p for p in named if share[p] == whole]
+    if holding_all:
+        return max(holding_all, key=len)
     good = [p for p in named or share if share[p] >= LEAST_SHARE * whole]
     return max(good or share, key=lambda p: (len(p) if good else 0, share[p]), default=())
 
@@ -301,13 +306,14 @@ def main_text(page: str | None) -> str:
     paths = content_paths(found)
     root = article_root(found, paths)
     plain = {"html", "body"}
-    at_top = not root or root[-1].split(".")[0] in plain
-    under = [b for b in found if b.path[:len(root)] == root]
-    if at_top:               # no element holds the article: its paths, and headings beside them
-        parents = {p[:-1] for p in paths}
-        under = [b for b in under if b.path in paths or b.path[:-1] in parents
-                 and b.path[-1].split(".")[0] in HEADINGS]
-    return "\n".join(b.text for b in under)
+    parents = {p[:-1] for p in paths}
+    # where a parent is the page itself, only content paths and headings beside them are taken
+    held = {p for p in parents | {root} if p and p[-1].split(".")[0] not in plain}
+
+    def is_article(path: tuple[str, ...]) -> bool:
+        return (path in paths or any(path[:n] in held for n in range(len(path) + 1))
+                or path[:-1] in parents and path[-1].split(".")[0] in HEADINGS)
+    return "\n".join(b.text for b in found if is_article(b.path))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -247,6 +247,21 @@ def test_main_text_rejecting_words(page, want):
     assert html_extract.main_text(page) == want
 
 
+def paragraphs(name, n):
+    return [f"{name} number {i} is a sentence of some length, it goes on, and on." for i in range(n)]
+
+
+@pytest.mark.parametrize("frame", [
+    "<body><div class=part-a>{a}</div><div class=part-b>{b}</div></body>",
+    "<body><main><article>{a}</article><section>{b}</section></main></body>",
+    "<body><div class=part-a>{a}</div>{b}</body>", "<body>{b}<article>{a}</article></body>",
+])
+def test_main_text_keeps_all_content_paths(frame):
+    a, b = paragraphs("First", 6), paragraphs("Second", 3)
+    page = frame.format(a="".join(f"<p>{x}</p>" for x in a), b="".join(f"<p>{x}</p>" for x in b))
+    assert sorted(html_extract.main_text(page).split("\n")) == sorted(a + b)
+
+
 def leaks(spark, docs, items):
     frame = lambda texts, key: spark.createDataFrame(list(enumerate(texts)), f"{key} long, text string")
     found = decontaminate.contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()
