@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import decontaminate, html_extract, jaccard_join, langid, mixing, repeats, ring, topk, toxicity, warc
+from civicspark.llm import (decontaminate, html_extract, jaccard_join, langid, mixing, packing, repeats, ring, topk,
+                            toxicity, warc)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,11 @@ def op10_ring_sharding(spark, sf_dir):
     return ring.shard_documents(_t(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark, sf_dir):
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(_t(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing_rates": op1_mixing_rates,
     "op2_benchmark_templates": op2_benchmark_templates,
@@ -81,6 +87,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_html_extraction": op9_html_extraction,
     "op10_ring_sharding": op10_ring_sharding,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
 
 SQL = {
