@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import (decontaminate, html_extract, jaccard_join, langid, mixing, packing, repeats, ring, topk,
-                            toxicity, warc)
+from civicspark.llm import (decontaminate, html_extract, jaccard_join, langid, mixing, negatives, packing, repeats, ring,
+                            topk, toxicity, warc)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,12 @@ def op11_best_fit_packing(spark, sf_dir):
     return packing.pack(_t(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every row whose id is divisible by 100; labels of ids divisible by 7 are shifted."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_t(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_mixing_rates": op1_mixing_rates,
     "op2_benchmark_templates": op2_benchmark_templates,
@@ -88,6 +94,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_ring_sharding": op10_ring_sharding,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 SQL = {
@@ -117,4 +124,29 @@ SQL = {
           WHERE q.vec_id % 20 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk FROM s)
         SELECT query_id, rk::INTEGER AS rank, vec_id, score::BIGINT AS score FROM r WHERE rk <= 20""",
+    "op12_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+        u AS (SELECT vec_id, min({'label': label, 'vec': vec}) AS r FROM v GROUP BY vec_id),
+        t AS (SELECT vec_id, r.label AS label, r.vec AS vec FROM u),
+        s AS (
+          SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                 CASE WHEN len(a.vec) = 0 THEN 0
+                      ELSE list_sum(list_transform(list_zip(a.vec, c.vec), lambda p: p[1] * p[2])) END::BIGINT AS score
+          FROM t a JOIN t c ON a.vec_id <> c.vec_id AND len(a.vec) = len(c.vec)
+          WHERE a.vec_id % 100 = 0),
+        p AS (SELECT * FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (
+          SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+                 s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rk
+          FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+               AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+        SELECT anchor_id, positive_id, rk::INTEGER AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rk <= 5""",
 }
