@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark.llm import (decontaminate, html_extract, jaccard_join, langid, mixing, negatives, packing, repeats, ring,
-                            topk, toxicity, warc)
+                            topk, toxicity, warc, word_runs)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,11 @@ def op12_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(_t(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
 
 
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in every document; a tenth of them get a repeated tail first."""
+    return word_runs.periodic_runs(_t(spark, sf_dir, "documents"), word_runs.repeated_tail)
+
+
 QUERIES = {
     "op1_mixing_rates": op1_mixing_rates,
     "op2_benchmark_templates": op2_benchmark_templates,
@@ -95,6 +100,7 @@ QUERIES = {
     "op10_ring_sharding": op10_ring_sharding,
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL = {
