@@ -20,15 +20,19 @@ def latest_by_key(df: DataFrame, key: list[str], order_cols: list[str]) -> DataF
     return agg.select(*key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
+FEED_ORDER = ["_file_time", "_file", "_position"]      # where a row stood in the landed feed
+
+
 def latest_request_rows(rows: DataFrame) -> DataFrame:
-    """Latest row per request by load time, then closed before open, then closing time; the
-    remaining columns only make equal candidates deterministic.  A missing or empty
-    ``unique_key`` names no request: such rows are kept as they are."""
+    """Latest row per request by load time.  Rows of one load go by their place in the feed where
+    the table carries it (file time, file, position in the page), so a reopened request ends open;
+    without it closed goes before open, then by closing time.  A missing or empty ``unique_key``
+    names no request: such rows are kept as they are."""
     key = F.col("unique_key")
     named = key.isNotNull() & (key != "")
     closed = (F.coalesce("closed_date", F.lit("")) != "") | (F.lower(F.coalesce("status", F.lit(""))) == "closed")
-    latest = latest_by_key(rows.filter(named).withColumn("_closed", closed), ["unique_key"],
-                           ["_ingested_at", "_closed", "closed_date", "status"])
+    order = FEED_ORDER if set(FEED_ORDER) <= set(rows.columns) else ["_closed", "closed_date", "status"]
+    latest = latest_by_key(rows.filter(named).withColumn("_closed", closed), ["unique_key"], ["_ingested_at", *order])
     return latest.select(*rows.columns).unionByName(rows.filter(~F.coalesce(named, F.lit(False))))
 
 

@@ -3,6 +3,7 @@
 A table folder holds
 
 * ``data/load=<id>/[<partition>=<value>/]``  Parquet files, never changed once written;
+* ``<kind>/load=<id>/``  tables published beside the rows: key index, ledger of files, rejects;
 * ``_manifests/<id>/``   one row per live file of a version: path, partition, rows,
   least and greatest key; written by Spark;
 * ``_commits/<number>``  the version's pointer: a small JSON text naming its manifest.
@@ -57,6 +58,11 @@ class Version:
     info: dict = field(default_factory=dict)
 
 
+def struct(spark: SparkSession, ddl: str) -> T.StructType:
+    """A schema from its DDL text."""
+    return spark.createDataFrame([], ddl).schema
+
+
 # --- files of the folder ------------------------------------------------------------------
 
 def _fs(spark: SparkSession, path: str):
@@ -145,6 +151,23 @@ def commit(spark: SparkSession, path: str, base: Version, manifest: DataFrame, i
     return new
 
 
+def create(spark: SparkSession, path: str, schema: T.StructType, comment: str = "") -> Version:
+    """Create-if-absent: an empty first version that declares the columns and a comment."""
+    base = latest(spark, path)
+    if base.number:
+        return base
+    try:
+        return commit(spark, path, base, spark.createDataFrame([], MANIFEST),
+                      {"operation": "create", "rows": 0, "schema": schema.json(), "comment": comment})
+    except Conflict:                       # another load created it
+        return latest(spark, path)
+
+
+def declared_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The columns a created table declares."""
+    return T.StructType.fromJson(json.loads(at_version(spark, path, 1).info["schema"]))
+
+
 # --- reading -----------------------------------------------------------------------------
 
 def _with_load(schema: T.StructType) -> T.StructType:
@@ -160,11 +183,13 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, names: list
             .parquet(*[f"{root}/{n}" for n in names]))
 
 
-def read(spark: SparkSession, path: str, schema: T.StructType, version: Version | None = None) -> DataFrame:
-    """The table as of a version (default: the newest); empty if there is none.  Later loads do not
-    change what this frame reads."""
-    names = [r["file"] for r in files(spark, path, version).select("file").toLocalIterator()]
-    return read_files(spark, path, schema, names).select(*schema.names)
+def read(spark: SparkSession, path: str, schema: T.StructType | None = None, version: Version | None = None,
+         kind: str = DATA) -> DataFrame:
+    """The table (or one beside it) as of a version (default: the newest); empty if there is none.
+    Later loads do not change what this frame reads.  A created table knows its columns."""
+    schema = schema or declared_schema(spark, path)
+    names = [r["file"] for r in files(spark, path, version, kind).select("file").toLocalIterator()]
+    return read_files(spark, path, schema, names, kind).select(*schema.names)
 
 
 # --- writing -----------------------------------------------------------------------------
@@ -215,24 +240,38 @@ def _index_schema(schema: T.StructType, keys: list[str]) -> T.StructType:
 
 def append(df: DataFrame, path: str, partition_col: str | None = None, keys: list[str] | None = None,
            index: bool = False, info: dict | None = None, base: Version | None = None,
-           max_records_per_file: int | None = None) -> Version:
+           max_records_per_file: int | None = None, beside: dict[str, DataFrame] | None = None) -> Version:
     """Publishes ``df`` as an addition.  ``keys`` gives the manifest key ranges (first key) and, with
-    ``index``, the key index its partitions.  An empty frame publishes nothing."""
+    ``index``, the key index its partitions.  ``beside``: rows for the tables beside it, in the same
+    version.  An empty frame with nothing beside it publishes nothing."""
     spark, path = df.sparkSession, path.rstrip("/")
     base = base or latest(spark, path)
     seen = Observation("appended")
     load = _write(df.observe(seen, F.count(F.lit(1)).alias("n")), path, DATA, partition_col, max_records_per_file)
     n = int(seen.get["n"])
-    if not n:
+    added = _written_beside(spark, path, beside)
+    if not n and added is None:
         return base
-    added = _written_files(spark, path, DATA, load, df.schema, partition_col, keys[0] if keys else None)
-    if index:
+    if n:
+        rows = _written_files(spark, path, DATA, load, df.schema, partition_col, keys[0] if keys else None)
+        added = rows if added is None else rows.unionByName(added)
+    if index and n:
         stored = read_load(spark, path, df.schema, load)
         added = added.unionByName(_add_to_index(stored, path, keys, partition_col))
     manifest = _all_files(spark, path, base).unionByName(added)
     return commit(spark, path, base, manifest, {"operation": "append", "rows": n, **(info or {})})
 
 
+def _written_beside(spark, path: str, beside: dict[str, DataFrame] | None) -> DataFrame | None:
+    """Writes the rows that go beside a load; their manifest rows, None if there are none."""
+    out = None
+    for kind, rows in (beside or {}).items():
+        load = _write(rows, path, kind, None)
+        new = _written_files(spark, path, kind, load, rows.schema, None, None)
+        out = new if out is None else out.unionByName(new)
+    return out
+
+
 def read_load(spark: SparkSession, path: str, schema: T.StructType, load: str) -> DataFrame:
     root = f"{path.rstrip('/')}/{DATA}"
     return spark.read.schema(_with_load(schema)).option("basePath", root).parquet(f"{root}/load={load}")
@@ -289,7 +328,7 @@ def files_with_keys(spark: SparkSession, path: str, base: Version, source: DataF
 
 def upsert(source: DataFrame, path: str, keys: list[str], update_cols: list[str], partition_col: str | None = None,
            index: bool = False, info: dict | None = None, base: Version | None = None,
-           broadcast_rows: int = BROADCAST_SOURCE_ROWS) -> Version:
+           broadcast_rows: int = BROADCAST_SOURCE_ROWS, beside: dict[str, DataFrame] | None = None) -> Version:
     """Publishes the table with ``source`` merged into it on ``keys`` (see ``operators.upsert``).
 
     With ``index`` a key may change its partition (name ``partition_col`` in ``update_cols`` then):
@@ -300,7 +339,7 @@ def upsert(source: DataFrame, path: str, keys: list[str], update_cols: list[str]
     source.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staged_path)
     n = int(seen.get["n"])
     if not n:
-        return base
+        return append(source.limit(0), path, partition_col, info=info, base=base, beside=beside)
     staged = spark.read.schema(source.schema).parquet(staged_path)
     assert_unique_keys(staged, keys)
     touched = files_with_keys(spark, path, base, staged, keys, source.schema, partition_col, index)
@@ -310,6 +349,8 @@ def upsert(source: DataFrame, path: str, keys: list[str], update_cols: list[str]
     added = _written_files(spark, path, DATA, load, source.schema, partition_col, keys[0])
     if index:
         added = added.unionByName(_add_to_index(staged, path, keys, partition_col))
+    more = _written_beside(spark, path, beside)
+    added = added if more is None else added.unionByName(more)
     old = _all_files(spark, path, base)
     if touched:
         gone = spark.createDataFrame([(t,) for t in touched], "file string")
