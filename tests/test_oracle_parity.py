@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from civicspark.plans import catalog, oracle
+from civicspark.plans import catalog, load_queries, oracle
 from civicspark.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.check_oracle import rows_of
@@ -20,13 +20,17 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(oracle.SQL) == set(catalog.QUERIES)
+    assert set(load_queries.SQL) == set(load_queries.QUERIES)
 
 
-@pytest.mark.parametrize("name", list(catalog.QUERIES))
+QUERIES, SQL = {**catalog.QUERIES, **load_queries.QUERIES}, {**oracle.SQL, **load_queries.SQL}
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_oracle(spark, con, name):
-    df = catalog.QUERIES[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(oracle.SQL[name])
+    cur = con.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
