@@ -76,7 +76,7 @@ def landing_outcomes(spark, sf):
     docs = A.weather_docs(events, region, broken=True).withColumn(
         "value", F.when(r11 == 1, F.lit(" \n")).when(r11 == 2, F.concat(F.lit("["), "value", F.lit("]")))
         .when(r11 == 3, F.regexp_replace("value", '"temp":[^,]*,', '"temp":"warm",'))
-        .when(r11 == 4, F.regexp_replace("value", r'^\{("name":"[^"]*",)?', '{"name":"' + "n" * 101 + '",')).otherwise(F.col("value")))
+        .when(r11 == 4, F.regexp_replace(F.regexp_replace("value", '"name":"[^"]*",', ""), r"^\{", '{"name":"' + "n" * 101 + '",')).otherwise(F.col("value")))
     c3 = F.pmod("nation", F.lit(3))
     surveys = A.survey_docs(catalog._t(spark, sf, "customer")).withColumn(
         "value", F.when(c3 == 1, F.lit("[]")).when(c3 == 2, F.expr("left(value, length(value) - 2)")).otherwise(F.col("value")))
