@@ -68,3 +68,25 @@ def scd2(df: DataFrame, key: list[str], order_cols: list[str], tracked: list[str
         F.col(f"next_{valid_from}").alias("valid_to"),
         (~F.col("next__exists")).alias("is_current"),
     )
+
+
+def scd2_merge(dimension: DataFrame, rows: DataFrame, key: list[str], at: str, tracked: list[str]) -> DataFrame:
+    """The versions of the keys in ``rows`` after ``rows`` (one per key and ``at``) were added to the
+    stored ``dimension`` (``empty_dimension`` at first); other keys are not read beyond their key.
+
+    A stored version names the ``observed`` points it covers, so a point that comes late, or comes again
+    with other values, splits a version or closes a gap exactly as a build from all rows would: any
+    order of loads ends in the same dimension.  A key's points are bounded by construction (survey
+    years), so its versions are rebuilt in one window."""
+    seen = dimension.join(rows.select(*key).distinct(), key, "left_semi")
+    before = seen.select(*key, F.explode("observed").alias(at), *tracked)
+    points = before.join(rows.select(*key, at), [*key, at], "left_anti").unionByName(rows.select(*key, at, *tracked))
+    w = Window.partitionBy(*key).orderBy(at)
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.lag(c).over(w)) for c in tracked])
+    starts = F.when(F.row_number().over(w) == 1, True).otherwise(differs)
+    numbered = points.withColumn("_starts", starts).withColumn("_nth", F.count_if("_starts").over(w))
+    versions = numbered.groupBy(*key, "_nth").agg(*[F.min_by(c, at).alias(c) for c in tracked], F.min(at).alias("valid_from"),
+                                                  F.sort_array(F.collect_list(at)).alias("observed"))
+    after = F.lead("valid_from").over(Window.partitionBy(*key).orderBy("_nth"))
+    return versions.withColumn("valid_to", after).select(
+        *key, *tracked, "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"), "observed")

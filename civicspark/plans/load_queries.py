@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from civicspark import constants as C
 from civicspark import schemas
 from civicspark.functions import scalars as X
-from civicspark.operators import history, outcomes
+from civicspark.operators import history, keyset, outcomes
 from civicspark.plans import adapters as A
-from civicspark.plans import catalog, loads, oracle
+from civicspark.plans import catalog, loads, models, oracle
 from civicspark.session import shared_path
 from civicspark.sinks import versions
 from civicspark.sources import arrivals
+from civicspark.streaming import changes
 
 LATE_DAYS = 10              # the newest days land in a second delivery
 
@@ -151,6 +152,58 @@ def requests_feed_order(spark, sf):
     return history.latest_request_rows(versions.read(spark, table)).select("unique_key", "status", "closed_date")
 
 
+def requests_changes(spark, sf):
+    """Three batches of a stream, read by merging the change log; one compaction in between.  Some requests
+    change their day, some rows have no key and come twice."""
+    e = catalog._t(spark, sf, "events").select("event_id", "ts")
+    r9 = F.pmod("event_id", F.lit(9))
+    table = shared_path(spark, "requests_changes")
+
+    def batch(rows, number, status, at, days=0):
+        b = rows.select(F.when(r9 != 8, F.col("event_id").cast("string")).alias("unique_key"),
+                        X.ntz_to_iso_ms(F.col("ts") + F.expr(f"INTERVAL {days} DAYS")).alias("created_date"),
+                        F.lit("").alias("closed_date"), F.col("event_id").cast("string").alias("descriptor"),
+                        F.lit(status).alias("status"), X.as_of_literal(at).alias("_ingested_at"))
+        changes.append_batch(b, table, "query", number)
+
+    batch(e, 0, "Open", A.EARLIER_INGESTED_AT)
+    batch(e.filter(r9 == 0), 1, "Moved", A.FIXED_INGESTED_AT, days=1)
+    changes.compact(spark, table)
+    batch(e.filter(r9.isin(3, 8)), 2, "Open", A.FIXED_INGESTED_AT)
+    batch(e.filter(r9.isin(3, 8)), 2, "Open", A.FIXED_INGESTED_AT)               # replayed: nothing
+    return changes.read_latest(spark, table).select("unique_key", "descriptor", "status", "_created_day", "_ingested_at")
+
+
+def census_dimension_loads(spark, sf):
+    """The demographic dimension from three loads in no order of years; equals the one built at once."""
+    rows = catalog._region_year_demographics(spark, sf)
+    year = F.pmod("survey_year", F.lit(3))
+    path = shared_path(spark, "census_dimension")
+    stored = T.StructType([rows.schema["borough"], *[rows.schema[m] for m in models.MEASURES],
+                           T.StructField("valid_from", T.IntegerType()), T.StructField("valid_to", T.IntegerType()),
+                           T.StructField("is_current", T.BooleanType()), T.StructField("observed", T.ArrayType(T.IntegerType()))])
+    versions.create(spark, path, stored)
+    for part in (1, 0, 2):
+        merged = history.scd2_merge(versions.read(spark, path), rows.filter(year == part), ["borough"], "survey_year", models.MEASURES)
+        versions.replace_keys(merged.select(*stored.names), path, ["borough"])
+    return versions.read(spark, path).withColumnsRenamed({"valid_from": "valid_from_year", "valid_to": "valid_to_year"}).select(
+        "borough", *models.MEASURES, "valid_from_year", "valid_to_year", "is_current")
+
+
+def page_deep(spark, sf):
+    """The last full page of the events in stored order, by number and by the key before it."""
+    e = catalog._t(spark, sf, "events").select("event_id", "ts", "event_type")
+    path, order = shared_path(spark, "event_pages"), ["ts", "event_id"]
+    keyset.store(e, path, order, rows_per_file=A.ROWS_PER_PAGE)
+    rows = keyset.directory(spark, path, e.schema, order).agg(F.sum("rows")).first()[0] or 0
+    size = catalog.PAGE_ROWS // 4
+    last = max(0, rows // size - 1)
+    by_number = keyset.page(spark, path, e.schema, order, last, size).withColumn("found_by", F.lit("number"))
+    before = keyset.page(spark, path, e.schema, order, max(0, last - 1), size).orderBy(F.desc("ts"), F.desc("event_id")).first()
+    by_key = keyset.page_after(spark, path, e.schema, order, (before["ts"], before["event_id"]), size)
+    return by_number.unionByName(by_key.withColumn("found_by", F.lit("key")))
+
+
 QUERIES = {
     "incremental_landing": incremental_landing,
     "load_history": load_history,
@@ -158,6 +211,9 @@ QUERIES = {
     "requests_upsert": requests_upsert,
     "census_merge_files": census_merge_files,
     "requests_feed_order": requests_feed_order,
+    "requests_changes": requests_changes,
+    "census_dimension_loads": census_dimension_loads,
+    "page_deep": page_deep,
 }
 
 # --- the same rows in SQL -----------------------------------------------------------------
@@ -209,4 +265,16 @@ SELECT CAST(event_id AS VARCHAR) AS unique_key,
   CASE WHEN event_id % 3 = 0 THEN 'Reopened' WHEN event_id % 2 = 1 THEN 'Closed' ELSE 'Open' END AS status,
   CASE WHEN event_id % 3 <> 0 AND event_id % 2 = 1 THEN strftime(ts, {oracle.ISO}) ELSE '' END AS closed_date
 FROM events, (SELECT max(ts) AS m FROM events) b WHERE ts >= {oracle._bound('b.m', 90)}""",
+    "requests_changes": f"""
+SELECT CASE WHEN event_id % 9 <> 8 THEN CAST(event_id AS VARCHAR) END AS unique_key, CAST(event_id AS VARCHAR) AS descriptor,
+  CASE WHEN event_id % 9 = 0 THEN 'Moved' ELSE 'Open' END AS status,
+  CASE WHEN event_id % 9 = 0 THEN CAST(ts AS DATE) + 1 ELSE CAST(ts AS DATE) END AS _created_day,
+  CASE WHEN event_id % 9 IN (0, 3, 8) THEN {oracle.FIXED} ELSE {oracle.EARLIER} END AS _ingested_at
+FROM events""",
+    "census_dimension_loads": oracle.SQL["census_dimension"],
+    "page_deep": f"""
+WITH i AS ({oracle.ROW_IDX}), n AS (SELECT count(*) // 250 - 1 AS last FROM events)
+SELECT e.event_id, e.ts, e.event_type, f.found_by
+FROM events e JOIN i ON i.event_id = e.event_id, n, (VALUES ('number'), ('key')) f(found_by)
+WHERE i.idx >= n.last * 250 AND i.idx < (n.last + 1) * 250""",
 }

@@ -45,6 +45,7 @@ from civicspark.session import shared_path
 MANIFEST = ("kind string, file string, part string, rows long, lo string, hi string")
 INDEX_BUCKETS = 64
 DATA, INDEX = "data", "index"
+BATCHES = "batches"           # of a version's record: stream -> last batch published
 
 
 class Conflict(RuntimeError):
@@ -142,8 +143,10 @@ def files(spark: SparkSession, path: str, version: Version | None = None, kind:
 
 
 def commit(spark: SparkSession, path: str, base: Version, manifest: DataFrame, info: dict) -> Version:
-    """Publishes ``manifest`` as the version after ``base``."""
+    """Publishes ``manifest`` as the version after ``base``.  The last batch of each stream is
+    carried from version to version."""
     path = path.rstrip("/")
+    info = {**info, BATCHES: {**base.info.get(BATCHES, {}), **info.get(BATCHES, {})}}
     name = f"_manifests/{uuid.uuid4().hex}"
     manifest.select(*[c.split()[0] for c in MANIFEST.split(", ")]).write.parquet(f"{path}/{name}")
     new = Version(base.number + 1, name, info)
@@ -326,6 +329,31 @@ def files_with_keys(spark: SparkSession, path: str, base: Version, source: DataF
     return [r["file"] for r in hit.toLocalIterator()]
 
 
+def replace_keys(source: DataFrame, path: str, keys: list[str], partition_col: str | None = None, index: bool = False,
+                 info: dict | None = None, base: Version | None = None, drop: tuple[str, ...] = ()) -> Version:
+    """Publishes the table with all rows of the source's keys replaced by the source's rows, of which a
+    key may have several.  Only files that hold such a key are rewritten.  Keys are not null.  Tables
+    beside it named in ``drop`` are empty in the new version."""
+    spark, path = source.sparkSession, path.rstrip("/")
+    base = base or latest(spark, path)
+    staged_path, seen = shared_path(spark, "replace-source"), Observation("staged")
+    source.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staged_path)
+    n = int(seen.get["n"])
+    staged = spark.read.schema(source.schema).parquet(staged_path)
+    touched = files_with_keys(spark, path, base, staged, keys, source.schema, partition_col, index) if n else []
+    kept = read_files(spark, path, source.schema, touched).select(*source.columns).join(
+        staged.select(*keys).distinct(), keys, "left_anti").select(*source.columns)
+    load = _write(kept.unionByName(staged), path, DATA, partition_col)
+    added = _written_files(spark, path, DATA, load, source.schema, partition_col, keys[0])
+    if index and n:
+        added = added.unionByName(_add_to_index(staged, path, keys, partition_col))
+    old = _all_files(spark, path, base).filter(~F.col("kind").isin(*drop) if drop else F.lit(True))
+    if touched:
+        old = old.join(spark.createDataFrame([(t,) for t in touched], "file string"), "file", "left_anti")
+    return commit(spark, path, base, old.select(*added.columns).unionByName(added),
+                  {"operation": "replace", "rows": n, "files_rewritten": len(touched), **(info or {})})
+
+
 def upsert(source: DataFrame, path: str, keys: list[str], update_cols: list[str], partition_col: str | None = None,
            index: bool = False, info: dict | None = None, base: Version | None = None,
            broadcast_rows: int = BROADCAST_SOURCE_ROWS, beside: dict[str, DataFrame] | None = None) -> Version:
