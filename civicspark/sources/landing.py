@@ -11,7 +11,7 @@ serves a batch read, a file stream and payloads built in memory.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark.functions.scalars import zip_header
@@ -28,10 +28,17 @@ def read_payloads(spark: SparkSession, path: str, stream: bool = False) -> DataF
     return df.withColumn("_file", F.col("_metadata.file_path"))
 
 
+def _parsed(text: Column, schema: str, what: str) -> Column:
+    """The parsed payload; one that holds nothing to parse is an error, not an absence of rows."""
+    blank = F.raise_error(F.lit(f"blank {what}")).cast(schema)
+    return F.coalesce(F.from_json(text, schema, FAIL_ON_MALFORMED), blank)
+
+
 def explode_request_pages(pages: DataFrame, text_col: str = "value") -> DataFrame:
     """Pages (JSON arrays of flat objects) -> one ``record`` map per element.
-    Values stay text; a JSON null stays NULL; absent keys are absent."""
-    rec = F.explode(F.from_json(F.col(text_col), REQUEST_PAGE_SCHEMA, FAIL_ON_MALFORMED))
+    Values stay text; a JSON null stays NULL; absent keys are absent.  A malformed
+    or blank page fails the load (``operators.outcomes`` routes it aside instead)."""
+    rec = F.explode(_parsed(F.col(text_col), REQUEST_PAGE_SCHEMA, "request page"))
     keep = [c for c in pages.columns if c != text_col]
     return pages.select(*keep, rec.alias("record"))
 
@@ -76,7 +83,7 @@ def explode_census_docs(docs: DataFrame, text_col: str = "value") -> DataFrame:
     The zip happens inside the ``explode`` (a Generate node), so each row's
     map is built once; as a projection, filters pushed below it would rebuild
     the map once per predicate."""
-    arr = F.from_json(F.col(text_col), CENSUS_DOC_SCHEMA, FAIL_ON_MALFORMED)
+    arr = _parsed(F.col(text_col), CENSUS_DOC_SCHEMA, "survey document")
     keep = [c for c in docs.columns if c != text_col]
     parsed = docs.select(*keep, arr.alias("_doc"))
     header = F.get("_doc", F.lit(0))

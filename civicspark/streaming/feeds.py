@@ -70,26 +70,43 @@ def dedupe_redeliveries(rows: DataFrame, key: str = "unique_key", delay: str = L
 DAY_PARTITION = "_created_day"
 
 
+def _new_keyless(rows: DataFrame, cols: list[str], table_path: str) -> DataFrame:
+    """Rows without a key, once each, that the table's rows without a key do not hold: compared by all
+    feed columns (null-safe), on the days the rows touch."""
+    same = [c for c in cols if c not in ("_ingested_at", "_ingestion_mode", "_source")]
+    rows = rows.select(*cols).dropDuplicates(same)
+    stored = sinks.read_table_or_empty(rows.sparkSession, table_path, rows.schema).filter("unique_key IS NULL")
+    if DAY_PARTITION in cols:
+        days = rows.select(F.col(DAY_PARTITION).alias("_day")).distinct()
+        stored = stored.join(days, F.col(DAY_PARTITION).eqNullSafe(F.col("_day")), "left_semi")
+    stored = stored.select(*[F.col(c).alias(f"_s_{c}") for c in same])
+    return rows.join(stored, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in same], "left_anti")
+
+
 def upsert_latest_requests(rows: DataFrame, table_path: str, checkpoint: str,
                            available_now: bool = True, partition_by_day: bool = True) -> StreamingQuery:
     """Per micro-batch: newest row per request (by load time, then closed before
-    open; rows without a key are not requests and are merged as they are), merged into the table on ``unique_key``.  Replaying a batch
-    after a failure rewrites the same result (idempotent).
+    open), merged into the table on ``unique_key``.  A row without a key (NULL or
+    '') names no request: it is kept unless the days it touches hold the same feed
+    columns already.  So replaying a batch after a failure changes nothing.
 
     With ``partition_by_day`` the table is partitioned by the request's
-    creation day (``_created_day``), which never changes between loads, so a
-    batch reads and rewrites only the days it touches (a few, given the
-    look-back) instead of the whole table."""
+    creation day (``_created_day``): a batch reads and rewrites only the days it
+    touches (a few, given the look-back) instead of the whole table, and so
+    cannot find a request whose day changed.  ``streaming.changes`` finds it, and
+    writes each batch once instead of merging it into the days."""
     if partition_by_day:
         rows = rows.withColumn(DAY_PARTITION, F.to_date(X.iso_to_ntz("created_date")))
     cols = rows.columns
     updates = [c for c in cols if c not in ("unique_key", DAY_PARTITION)]
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.withColumn("unique_key", F.nullif("unique_key", F.lit("")))
         latest = history.latest_request_rows(batch) if "closed_date" in cols else history.latest_by_key(
             batch, ["unique_key"], ["_ingested_at", "status"])
-        sinks.upsert(latest.select(*cols), table_path, ["unique_key"], updates,
-                     partition_col=DAY_PARTITION if partition_by_day else None)
+        named = latest.filter("unique_key IS NOT NULL").select(*cols)
+        sinks.upsert(named.unionByName(_new_keyless(latest.filter("unique_key IS NULL"), cols, table_path)),
+                     table_path, ["unique_key"], updates, partition_col=DAY_PARTITION if partition_by_day else None)
 
     w = rows.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
