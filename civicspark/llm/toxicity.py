@@ -121,19 +121,33 @@ def length_value(words: np.ndarray) -> np.ndarray:
     return np.log1p(words) / 5.0
 
 
-def fit(x: np.ndarray, positive: np.ndarray, prior: float, seed: int, steps: int = STEPS) -> np.ndarray:
-    """One linear classifier by Adam on the non-negative risk."""
+class Rows(NamedTuple):
+    """Sparse rows: features and values of row r lie from ``cut[r]`` to ``cut[r + 1]``."""
+    cut: np.ndarray
+    feature: np.ndarray
+    value: np.ndarray
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in ``which``, feature and value of all entries of these rows."""
+        n = self.cut[which + 1] - self.cut[which]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - self.cut[which], n)
+        return np.repeat(np.arange(len(which)), n), self.feature[at], self.value[at]
+
+
+def fit(x: Rows, positive: np.ndarray, features: int, prior: float, seed: int, steps: int = STEPS) -> np.ndarray:
+    """One linear classifier by Adam on the non-negative risk.  The last feature is the constant."""
     rng = np.random.default_rng(seed)
-    pos, unl = x[positive], x[~positive]
-    w, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
+    pos, unl = np.flatnonzero(positive), np.flatnonzero(~positive)
+    w, m, v = (np.zeros(features) for _ in range(3))
     w[-1] = np.log(prior / (1 - prior))
     for t in range(1, steps + 1):
-        u, p = unl[rng.integers(0, len(unl), BATCH)], pos[rng.integers(0, len(pos), BATCH)]
-        zp, zu = np.clip(p @ w, -30, 30), np.clip(u @ w, -30, 30)
+        u, p = x.of(unl[rng.integers(0, len(unl), BATCH)]), x.of(pos[rng.integers(0, len(pos), BATCH)])
+        zp, zu = (np.clip(np.bincount(r, w[f] * val, BATCH), -30, 30) for r, f, val in (p, u))
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-        grad = prior * (p.T @ (sp - 1)) / BATCH + L2 * w
+        summed = lambda part, of: np.bincount(part[1], of[part[0]] * part[2], features) / BATCH
+        grad = prior * summed(p, sp - 1) + L2 * w
         if np.log1p(np.exp(zu)).mean() > prior * np.log1p(np.exp(zp)).mean():
-            grad += u.T @ su / BATCH - prior * (p.T @ sp) / BATCH
+            grad += summed(u, su) - prior * summed(p, sp)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - 0.02 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return w
@@ -171,12 +185,17 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
     place = np.full(1 << HASH_BITS, -1, np.int32)
     place[best["feature"].to_numpy()] = np.arange(len(best), dtype=np.int32)
     rows = sample.mapInArrow(_rows_of(place), "positive boolean, feature array<int>, n array<long>, words long").toArrow()
-    x = np.zeros((len(rows), len(best) + 2), np.float32)
-    at = np.repeat(np.arange(len(rows)), pc.list_value_length(rows["feature"]).to_numpy())
-    x[at, pc.list_flatten(rows["feature"]).to_numpy()] = values(pc.list_flatten(rows["n"]).to_numpy())
-    x[:, -2], x[:, -1] = length_value(rows["words"].to_numpy()), 1
-    positive = rows["positive"].to_numpy()
-    w = np.mean([fit(x, positive, prior, seed) for seed in range(CLASSIFIERS)], axis=0)
+    size = pc.list_value_length(rows["feature"]).to_numpy().astype(np.int64) + 2       # and length, and 1
+    cut = np.concatenate([[0], np.cumsum(size)])
+    feature, value = np.empty(cut[-1], np.int64), np.empty(cut[-1])
+    feature[cut[1:] - 2], value[cut[1:] - 2] = len(best), length_value(rows["words"].to_numpy())
+    feature[cut[1:] - 1], value[cut[1:] - 1] = len(best) + 1, 1
+    counts = np.ones(cut[-1], bool)
+    counts[cut[1:] - 2] = counts[cut[1:] - 1] = False
+    feature[counts] = pc.list_flatten(rows["feature"]).to_numpy()
+    value[counts] = values(pc.list_flatten(rows["n"]).to_numpy())
+    x, positive = Rows(cut, feature, value), rows["positive"].to_numpy()
+    w = np.mean([fit(x, positive, len(best) + 2, prior, seed) for seed in range(CLASSIFIERS)], axis=0)
     return Model(place, w, prior)
 
 
