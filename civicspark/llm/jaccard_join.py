@@ -24,7 +24,7 @@ components are found without listing all links:
 Pairs go through a length filter, a positional filter (the first common prefix
 shingle bounds the overlap), a suffix filter (overlap bounded by the sets' sizes
 in PARTS parts of the hash space), and are verified once on the whole sets.  Only
-the sets of documents in such pairs are shuffled: a bitmap of fixed size tells
+the texts of documents in such pairs are shuffled: a bitmap of fixed size tells
 the last pass over the texts which these may be.
 
 Shingles are 48-bit hashes, compared set by set.  Defined cases: null, empty and blank texts have an
@@ -55,7 +55,7 @@ VALUE_MASK = np.uint64((1 << VALUE_BITS) - 1)
 HEAVY = 200_000              # most frequent shingles whose counts order the prefixes (a bound, 3 MB)
 HEAVY_LEAST = 3              # times within CHUNK shingles of a task that make a shingle worth counting
 CHUNK = 4_000_000            # shingles that a task counts at a time
-BITMAP_BITS = 20             # of nodes whose sets are fetched
+BITMAP_BITS = 20             # of nodes whose texts are fetched
 LARGE, KNOWN = 64, 64        # groups of so many members tell pairs met before, by so many shingles
 CENTRES = 16                 # sets of a large group that its other components' members are paired with first
 PARTS = 256                  # of the suffix filter
@@ -196,22 +196,37 @@ def _prefixes(order: tuple):
     return run
 
 
-def _wanted_sets(bitmap: np.ndarray):
+def _wanted_texts(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
             for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
                 s = shingle_sets(p)
-                node, upto = node_keys(s), np.cumsum(s.size)
+                node = node_keys(s)
                 wanted = [i for i in np.nonzero((s.size > 0) & bitmap[node & ((1 << BITMAP_BITS) - 1)])[0]
                           if node[i] not in sent]
                 sent.update(node[wanted].tolist())
                 if wanted:
-                    yield pa.record_batch({"node": node[wanted], "members": pa.array(
-                        [s.value[upto[i] - s.size[i]:upto[i]].view(np.int64) for i in wanted], pa.list_(pa.int64()))})
+                    yield pa.record_batch({"node": node[wanted], "text": batch["text"].take(pa.array(p.first + np.array(wanted)))})
     return run
 
 
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose texts' sets are similar enough."""
+    for batch in batches:
+        lower = [pc.ascii_lower(batch[c]) for c in ("text_a", "text_b")]
+        for p in pieces(lower[0]):
+            rows = len(p.starts)
+            other = next(pieces(lower[1].slice(p.first, rows), max_bytes=1 << 40))
+            x, y = shingle_sets(p), shingle_sets(other)
+            both = np.intersect1d(_keyed(x.row, x.value), _keyed(y.row, y.value), assume_unique=True)
+            overlap = np.bincount((both >> np.uint64(VALUE_BITS)).astype(np.int64), minlength=rows)
+            hit = np.nonzero(overlap * (WHOLE + PART) >= (x.size + y.size) * PART)[0]
+            if len(hit):
+                at = pa.array(p.first + hit)
+                yield pa.record_batch({"u": batch["a"].take(at), "v": batch["b"].take(at)})
+
+
 def _enough(overlap: Column, n1: Column, n2: Column) -> Column:
     """Jaccard similarity of at least PART / WHOLE, in integers."""
     return overlap * (WHOLE + PART) >= (n1 + n2) * PART
@@ -239,15 +254,14 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     slots = either.select(F.col("node").bitwiseAND(mask).cast("int").alias("slot")).distinct().toArrow()["slot"]
     bitmap = np.zeros(1 << BITMAP_BITS, bool)
     bitmap[slots.to_numpy()] = True
-    # the bitmap lets other nodes through by chance: only the pairs' own nodes are kept
-    sets = written(docs.select("text").mapInArrow(_wanted_sets(bitmap), "node long, members array<long>")
-                   .join(either.distinct(), "node", "left_semi")
-                   .groupBy("node").agg(F.first("members").alias("members")), "sets")
-    met = (left.join(sets.select(F.col("node").alias("a"), F.col("members").alias("sa")), "a")
-           .join(sets.select(F.col("node").alias("b"), F.col("members").alias("sb")), "b"))
-    overlap = F.size(F.array_intersect("sa", "sb"))
-    return written(met.filter(_enough(overlap, F.col("na"), F.col("nb")))
-                   .select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    # the bitmap lets other nodes through by chance: only the pairs' own nodes are kept.  A text is
+    # shorter than its set of hashes, so texts travel and their sets are made where pairs are tested
+    texts = written(docs.select("text").mapInArrow(_wanted_texts(bitmap), "node long, text string")
+                    .join(either.distinct(), "node", "left_semi")
+                    .groupBy("node").agg(F.first("text").alias("text")), "texts")
+    met = (left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+           .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
+    return written(met.select("a", "b", "text_a", "text_b").mapInArrow(_similar, "u long, v long"), "links")
 
 
 def _may_overlap(x: str, y: str, n1: Column, n2: Column) -> Column:
