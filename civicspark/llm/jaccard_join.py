@@ -10,7 +10,8 @@ components are found without listing all links:
    the HEAVY most frequent come last, by count; the others go by hash.  (Any one
    order gives the same links; this one keeps frequent shingles out of prefixes.)
    Two similar sets share a shingle in their prefixes (about a quarter of each).
-3. Prefix shingles meet by shingle, in order of set size.  Every member of a
+3. Prefix shingles meet by shingle.  They travel packed, by buckets of shingles;
+   most occur in one set only and go no further.  Every member of a
    group is paired with the group's first set only: enough to connect a large
    group of near copies without its square of pairs.  Groups of very frequent
    shingles are dealt over several salted groups whose first sets meet again.
@@ -60,9 +61,13 @@ LARGE, KNOWN = 64, 64        # groups of so many members tell pairs met before,
 CENTRES = 16                 # sets of a large group that its other components' members are paired with first
 PARTS = 256                  # of the suffix filter
 PART_MOST = 127              # counts beyond are not told apart
+CHUNK_ENTRIES = 2_000_000    # prefix shingles that a task packs together
+ENTRIES_PER_BUCKET = 500_000
+LEAST_BUCKET_BITS = 4
 ROWS_PER_GROUP = 20_000      # expected members beyond which a shingle's group is salted
 SETS = "doc_id long, n int, node long, parts array<tinyint>, tokens array<long>, counts array<long>"
-PREFIX = "token long, salt int, node long, n int, pos int"
+PREFIX = "bucket int, n long, size long, packed binary"
+GROUPS = "token long, salt int, node long, n int, pos int, first long, first_n int, first_pos int"
 
 
 class Shingles(NamedTuple):
@@ -171,10 +176,78 @@ def global_order(token: np.ndarray, count: np.ndarray) -> Order:
     return Order(token[by_token].astype(np.uint64), place[by_token], 1 + count[by_count] // ROWS_PER_GROUP)
 
 
-def _prefixes(order: tuple):
+def _planes(x: np.ndarray) -> bytes:
+    """First bytes of all numbers, then second bytes: what numbers have in common lies together."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _from_planes(data: np.ndarray, n: int, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(data.reshape(size, n).T).view(kind).reshape(n)
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
+class Entries(NamedTuple):
+    """Prefix shingles: key, salt (-1: none), set, its size, and the place in its prefix from 1."""
+    token: np.ndarray
+    salt: np.ndarray
+    node: np.ndarray
+    n: np.ndarray
+    pos: np.ndarray
+
+
+def pack(e: Entries) -> tuple[int, int, bytes]:
+    """Entries in order of ``token`` as one compressed value, with their number and its plain size.  A
+    set's hash and size are there once, whatever the number of its entries."""
+    node, first, at = np.unique(e.node, return_index=True, return_inverse=True)
+    plain = b"".join([np.int64(len(node)).tobytes(), _planes(_steps(e.token)), _planes((e.salt + 1).astype(np.uint32)),
+                      _planes(at.astype(np.uint32)), _planes(e.pos.astype(np.uint32)),
+                      _planes(_steps(node.view(np.uint64))), _planes(e.n[first].astype(np.uint32))])
+    return len(e.token), len(plain), pa.Codec("zstd", compression_level=1).compress(plain, asbytes=True)
+
+
+def unpack(n: int, size: int, packed: bytes) -> Entries:
+    data = np.frombuffer(pa.Codec("zstd").decompress(packed, size), np.uint8)
+    nodes = int(data[:8].view(np.int64)[0])
+    out, at = [], 8
+    for kind, count in ((np.uint64, n), (np.uint32, n), (np.uint32, n), (np.uint32, n), (np.uint64, nodes), (np.uint32, nodes)):
+        end = at + count * np.dtype(kind).itemsize
+        out.append(_from_planes(data[at:end], count, kind))
+        at = end
+    token, salt, which, pos, node, of = out
+    node = np.cumsum(node, dtype=np.uint64).view(np.int64)
+    return Entries(np.cumsum(token, dtype=np.uint64), salt.astype(np.int64) - 1, node[which], of[which].astype(np.int64), pos.astype(np.int64))
+
+
+def buckets(token: np.ndarray, salt: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of each group (shingle and salt): by the shingle's hash, frequent ones by a hash of both."""
+    plain = token >> np.uint64(VALUE_BITS - 1 - bits)
+    salted = mixed(token * np.uint64(0x9E3779B1) + salt.astype(np.uint64)) >> np.uint64(64 - bits) if bits else plain * np.uint64(0)
+    return np.where(token >> np.uint64(VALUE_BITS - 1) > 0, salted, plain).astype(np.int64)
+
+
+def _prefixes(order: tuple, bits: int):
+    """A row per bucket for each CHUNK_ENTRIES prefix shingles of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = Order(*order)
         sent: set[int] = set()                           # a task sends each set once
+        held: list[Entries] = []
+
+        def packed() -> pa.RecordBatch:
+            e = Entries(*(np.concatenate(c) for c in zip(*held)))
+            held.clear()
+            bucket = buckets(e.token, e.salt, bits)
+            by_bucket = np.lexsort((e.token, bucket))
+            e, bucket = Entries(*(c[by_bucket] for c in e)), bucket[by_bucket]
+            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            rows = [(int(bucket[i]), *pack(Entries(*(c[i:j] for c in e)))) for i, j in zip(cut, cut[1:])]
+            b, n, size, data = zip(*rows)
+            return pa.record_batch({"bucket": pa.array(b, pa.int32()), "n": pa.array(n, pa.int64()),
+                                    "size": pa.array(size, pa.int64()), "packed": pa.array(data, pa.binary())})
+
         for batch in batches:
             for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
                 s = shingle_sets(p)
@@ -187,15 +260,37 @@ def _prefixes(order: tuple):
                 pos = np.arange(len(token)) - (np.cumsum(s.size) - s.size)[s.row]
                 keep = (pos < prefix_length(s.size)[s.row]) & new[s.row]
                 row, token, pos = s.row[keep], token[keep], pos[keep]
+                if not len(row):
+                    continue
                 heavy = token >> np.uint64(VALUE_BITS - 1) > 0
                 salt = np.ones(len(token), np.int64)
                 salt[heavy] = by.salts[(token[heavy] & np.uint64((1 << (VALUE_BITS - 1)) - 1)).astype(np.int64)]
-                yield pa.record_batch({
-                    "token": token.view(np.int64), "salt": np.where(salt > 1, node[row] % salt, -1).astype(np.int32),
-                    "node": node[row], "n": s.size[row].astype(np.int32), "pos": (pos + 1).astype(np.int32)})
+                held.append(Entries(token, np.where(salt > 1, node[row] % salt, -1), node[row], s.size[row], pos + 1))
+                if sum(len(h.token) for h in held) >= CHUNK_ENTRIES:
+                    yield packed()
+        if held:
+            yield packed()
     return run
 
 
+def _groups(bucket: pa.Table) -> pa.Table:
+    """Members of groups of two and more sets beside the group's first set, and the first sets of
+    salted groups.  A shingle of one set ends here."""
+    e = Entries(*(np.concatenate(c) for c in zip(*(unpack(n, size, data) for n, size, data in zip(
+        *(bucket[c].to_pylist() for c in ("n", "size", "packed")))))))
+    order = np.lexsort((e.node, e.salt, e.token))
+    e = Entries(*(c[order] for c in e))
+    same = (e.token[1:] == e.token[:-1]) & (e.salt[1:] == e.salt[:-1])
+    starts = np.concatenate([[True], ~same])
+    fresh = starts | np.concatenate([[True], e.node[1:] != e.node[:-1]])      # not sent by another task too
+    first = np.flatnonzero(starts)[np.cumsum(starts) - 1]
+    keep = fresh & ((e.node != e.node[first]) | (e.salt >= 0))
+    first = first[keep]
+    return pa.table({"token": e.token[keep].view(np.int64), "salt": e.salt[keep].astype(np.int32), "node": e.node[keep],
+                     "n": e.n[keep].astype(np.int32), "pos": e.pos[keep].astype(np.int32), "first": e.node[first],
+                     "first_n": e.n[first].astype(np.int32), "first_pos": e.pos[first].astype(np.int32)})
+
+
 def _wanted_texts(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -327,15 +422,10 @@ def link_components(docs: DataFrame) -> DataFrame:
     nodes = written(sets.filter("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("parts").alias("parts")), "nodes")
 
-    rows = docs.mapInArrow(_prefixes(tuple(order)), PREFIX)
-    in_group = Window.partitionBy("token", "salt").orderBy("node")
-    placed = rows.withColumns({"first": F.first(F.struct("node", "n", "pos")).over(in_group),
-                               "again": F.lag("node").over(in_group)})
-    fresh = placed.filter(F.col("again").isNull() | (F.col("again") != F.col("node")))
-    # members of groups of two and more, and the first sets of salted groups
-    grouped = written(fresh.filter((F.col("first.node") != F.col("node")) | (F.col("salt") >= 0)).select(
-        "token", "salt", "node", "n", "pos", F.col("first.node").alias("first"),
-        F.col("first.n").alias("first_n"), F.col("first.pos").alias("first_pos")), "groups")
+    # prefixes by buckets of shingles; about ENTRIES_PER_BUCKET to a bucket, whatever the size of the corpus
+    total = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * PART / WHOLE) + 1)).first()[0] or 0
+    bits = max(LEAST_BUCKET_BITS, (int(total) // ENTRIES_PER_BUCKET).bit_length())
+    grouped = written(docs.mapInArrow(_prefixes(tuple(order), bits), PREFIX).groupBy("bucket").applyInArrow(_groups, GROUPS), "groups")
     apart = grouped.filter("node = first").select("token", "node", "n", "pos")
     over = Window.partitionBy("token").orderBy("node")
     again = apart.select("token", "node", "n", "pos", *[F.first(c).over(over).alias(f"first{s}")
