@@ -29,11 +29,14 @@ def latest_request_rows(rows: DataFrame) -> DataFrame:
     without it closed goes before open, then by closing time.  A missing or empty ``unique_key``
     names no request: such rows are kept as they are."""
     key = F.col("unique_key")
-    named = key.isNotNull() & (key != "")
+    named = F.coalesce(key != "", F.lit(False))
     closed = (F.coalesce("closed_date", F.lit("")) != "") | (F.lower(F.coalesce("status", F.lit(""))) == "closed")
     order = FEED_ORDER if set(FEED_ORDER) <= set(rows.columns) else ["_closed", "closed_date", "status"]
-    latest = latest_by_key(rows.filter(named).withColumn("_closed", closed), ["unique_key"], ["_ingested_at", *order])
-    return latest.select(*rows.columns).unionByName(rows.filter(~F.coalesce(named, F.lit(False))))
+    # one pass: a row without a key is a group of its own
+    alone = F.when(~named, F.monotonically_increasing_id())
+    latest = latest_by_key(rows.withColumns({"_closed": closed, "_alone": alone}), ["unique_key", "_alone"],
+                           ["_ingested_at", *order])
+    return latest.select(*rows.columns)
 
 
 def _window_shift(df: DataFrame, key: list[str], order_cols: list[str], value_cols: list[str],

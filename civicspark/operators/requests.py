@@ -20,12 +20,16 @@ def project_records(recs: DataFrame, record_col: str = "record",
 
 
 def filter_since(df: DataFrame, since: Column, col: str = "created_date") -> DataFrame:
-    """Inclusive lower time bound.  Text ISO timestamps compare in time order;
-    typed columns compare as timestamps (pushed to a Parquet scan when
-    ``since`` is a literal)."""
+    """Inclusive lower time bound, pushed to a Parquet scan when ``since`` is constant.
+
+    Typed columns compare as timestamps.  Text is compared as a timestamp too; what
+    reaches the scan is a bound on the text itself, by the day, which lets through
+    every text that may be late enough: those that begin with a blank or a sign
+    (all below '0') are left to the exact comparison."""
     c = F.col(col)
     if dict(df.dtypes).get(col) == "string":
-        return df.filter(X.iso_to_ntz(c) >= since)
+        day = F.substring(since.cast("string"), 1, 10)
+        return df.filter((c >= day) | (c < "0")).filter(X.iso_to_ntz(c) >= since)
     return df.filter(c >= since)
 
 

@@ -190,6 +190,11 @@ def census_dimension_loads(spark, sf):
         "borough", *models.MEASURES, "valid_from_year", "valid_to_year", "is_current")
 
 
+def census_density(spark, sf):
+    """Persons per housing unit over the merged survey table, read from its versions."""
+    return models.census_density(census_merge_files(spark, sf))
+
+
 def page_deep(spark, sf):
     """The last full page of the events in stored order, by number and by the key before it."""
     e = catalog._t(spark, sf, "events").select("event_id", "ts", "event_type")
@@ -214,6 +219,7 @@ QUERIES = {
     "requests_changes": requests_changes,
     "census_dimension_loads": census_dimension_loads,
     "page_deep": page_deep,
+    "census_density": census_density,
 }
 
 # --- the same rows in SQL -----------------------------------------------------------------
@@ -277,4 +283,8 @@ WITH i AS ({oracle.ROW_IDX}), n AS (SELECT count(*) // 250 - 1 AS last FROM even
 SELECT e.event_id, e.ts, e.event_type, f.found_by
 FROM events e JOIN i ON i.event_id = e.event_id, n, (VALUES ('number'), ('key')) f(found_by)
 WHERE i.idx >= n.last * 250 AND i.idx < (n.last + 1) * 250""",
+    "census_density": f"""
+SELECT borough, survey_year, total_population, total_housing_units,
+  round(total_population / nullif(total_housing_units, 0), 4) AS density
+FROM ({oracle.CENSUS_MERGE})""",
 }

@@ -9,6 +9,7 @@ themselves (``requests_raw``, ``weather_raw``, ``census_raw``):
 * ``census_dimension``  Type 2 demographic dimension: borough, versions by
                         survey year, unchanged years collapsed
 * ``census_changes``    year-over-year change of the demographic measures
+* ``census_density``    persons per housing unit
 * ``requests_daily``    request volume per borough and local day
 * ``weather_request_correlation``  per borough: request volume vs. daily mean
                         temperature, with the current demographics
@@ -37,6 +38,14 @@ def requests_typed(requests_raw: DataFrame) -> DataFrame:
     return requests.typed_requests(requests_latest(requests_raw))
 
 
+def request_days(requests_raw: DataFrame) -> DataFrame:
+    """Borough and creation time of each request: the volume models shuffle these columns and those
+    that say which row is the latest, not the whole rows."""
+    state = ["unique_key", "status", "closed_date", "_ingested_at", *history.FEED_ORDER]
+    rows = requests_raw.select("borough", "created_date", *[c for c in state if c in requests_raw.columns])
+    return requests_latest(rows).select("borough", X.iso_to_ntz("created_date").alias("created_at"))
+
+
 def census_dimension(census_raw: DataFrame) -> DataFrame:
     """SCD2 on borough: a version starts in the first survey year whose
     measures differ (NULL-safe) from the previous year's; ``valid_to`` is the
@@ -56,10 +65,16 @@ def census_changes(census_raw: DataFrame) -> DataFrame:
                              *[c.alias(f"{m}_change") for c, m in zip(cols, MEASURES)])
 
 
+def census_density(census_raw: DataFrame) -> DataFrame:
+    """Density proxy of each borough and survey year: persons per housing unit; NULL without units."""
+    return census_raw.select("borough", "survey_year", "total_population", "total_housing_units",
+                             analytics.ratio("total_population", "total_housing_units", 4).alias("density"))
+
+
 def requests_daily(requests_raw: DataFrame) -> DataFrame:
     """Request times are the city's local wall clock already: their date is the
     local day (no zone conversion)."""
-    t = requests_typed(requests_raw)
+    t = request_days(requests_raw)
     return (t.groupBy(X.normalise_borough("borough").alias("borough"),
                       F.to_date("created_at").alias("local_day"))
             .agg(F.count(F.lit(1)).alias("n_requests")))
@@ -70,7 +85,7 @@ def weather_request_correlation(requests_raw: DataFrame, weather_raw: DataFrame,
     current = census_dimension(census_raw).filter("is_current").select(
         "borough", "total_population", "poverty_rate_pct")
     # request times are local, observation times UTC: align on the local day
-    return analytics.weather_vs_requests(requests_typed(requests_raw), weather_raw, current,
+    return analytics.weather_vs_requests(request_days(requests_raw), weather_raw, current,
                                          obs_zone=CITY_ZONE)
 
 
@@ -86,6 +101,7 @@ def register_views(spark: SparkSession, requests_path: str, weather_path: str,
         "requests_typed": requests_typed(rq),
         "census_dimension": census_dimension(cs),
         "census_changes": census_changes(cs),
+        "census_density": census_density(cs),
         "requests_daily": requests_daily(rq),
         "weather_request_correlation": weather_request_correlation(rq, wx, cs),
     }

@@ -34,6 +34,23 @@ def test_time_bound_pushed_to_parquet(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in p
 
 
+def test_time_bound_of_a_text_column_pushed_and_exact(spark, tmp_dir):
+    texts = ["2024-01-16T23:59:59.999", "2024-01-17T00:00:00.000", "2024-01-17", " 2024-01-18T01:00:00", "2024-1-17", "2024-1-9",
+             "2024-02-01 00:00:00", "+10000-01-01", "", None, "x", "2023-12-31T00:00:00"]
+    path = f"{tmp_dir}/t"
+    spark.createDataFrame([(t,) for t in texts], "created_date string").write.parquet(path)
+    df = requests.window_for_mode(spark.read.parquet(path), "incremental", "2024-01-20 00:00:00")
+    assert "GreaterThanOrEqual(created_date,2024-01-17)" in plan(df)
+    got = {r.created_date for r in df.collect()}
+    assert {"2024-01-17T00:00:00.000", "2024-01-17", " 2024-01-18T01:00:00", "2024-1-17", "2024-02-01 00:00:00"} <= got
+    assert not got & {"2024-01-16T23:59:59.999", "2024-1-9", "", None, "x", "2023-12-31T00:00:00"}
+
+
+def test_latest_requests_read_their_input_once(spark):
+    p = plan(catalog.requests_daily(spark, SF_SMALL))
+    assert "Union" not in p and p.count("Scan parquet") <= 4        # each of the two tables in the tree and in the details
+
+
 def test_projection_pruned_at_scan(spark):
     p = plan(catalog.weather_epoch(spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in p
