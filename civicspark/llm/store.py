@@ -20,3 +20,11 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or it with underscores behind it, that no column in ``taken`` has (Spark ignores case)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.langid import fold
-from civicspark.llm.store import written
+from civicspark.llm.store import free_name, written
 from civicspark.llm.text_bytes import Hasher, Piece, pieces, row_of, runs
 
 HASH_BITS = 20
@@ -201,6 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
 
 def score(docs: DataFrame, model: Model | None, keep: list[str], name: str = "score") -> DataFrame:
     """``keep`` columns plus ``name``, the score (0 to 1) of every row's whole text."""
+    whole = free_name("_text", keep)
     if model is None:
         return docs.select(*keep, F.lit(0.0).alias(name))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
@@ -210,7 +211,7 @@ def score(docs: DataFrame, model: Model | None, keep: list[str], name: str = "sc
         m = Model(*shared.value)
         for batch in batches:
             out = np.zeros(batch.num_rows)
-            for p in pieces(lowered(batch["_text"])):
+            for p in pieces(lowered(batch[whole])):
                 index, rows, words = hashed_words(p)
                 kept = m.place[index] >= 0
                 r, f, n = counted(index[kept], rows[kept])
@@ -218,7 +219,7 @@ def score(docs: DataFrame, model: Model | None, keep: list[str], name: str = "sc
                 z += m.weights[-2] * length_value(words) + m.weights[-1]
                 out[p.first:p.first + len(z)] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.record_batch([*(batch[c] for c in keep), pa.array(out)], names=[*keep, name])
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{kinds}, `{name}` double")
+    return docs.select(*keep, F.col("text").alias(whole)).mapInArrow(run, f"{kinds}, `{name}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> DataFrame:

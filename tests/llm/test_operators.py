@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from civicspark.llm import (components, decontaminate, html_extract, jaccard_join, langid, mixing, repeats, ring, topk,
@@ -292,10 +293,76 @@ def test_templates_find_short_items_in_any_context(spark):
 def test_mixing_meets_targets(spark, no_docs):
     d, labels = table(spark, "documents"), table(spark, "labels")
     domain = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
-    out = mixing.mix(d, labels, domain, {"high": 0.7, "low": 0.3}).collect()
-    total = sum(r.tokens for r in out)
-    for name, share in (("high", 0.7), ("low", 0.3)):
-        assert abs(sum(r.rate * r.tokens * r[f"p_{name}"] for r in out) / total - share) < 1e-4
-    assert min(r.rate for r in out) >= 0
+    for keep_all in (False, True):
+        out = mixing.mix(d, labels, domain, {"high": 0.7, "low": 0.3}, keep_all=keep_all).collect()
+        total = sum(r.rate * r.tokens for r in out)
+        for name, share in (("high", 0.7), ("low", 0.3)):
+            assert abs(sum(r.rate * r.tokens * r[f"p_{name}"] for r in out) / total - share) < 1e-4
+        assert min(r.rate for r in out) >= float(keep_all) and {r.gap for r in out} == {out[0].gap} and out[0].gap <= 1e-5
+        assert min(r.copies for r in out) >= int(keep_all)
     assert mixing.mix(no_docs, labels, domain, {"high": 1.0}).count() == 0
     assert {r.rate for r in mixing.mix(d, labels.limit(0), domain, {"high": 1.0}).collect()} == {1.0}
+
+
+def test_mixing_posterior_against_brute_force(spark, docs):
+    """Words hashed with Spark's hash, counts and weights in plain Python."""
+    d = docs.select("doc_id", "text", F.lit("x").alias("chars"))
+    said = spark.createDataFrame([(1, "a"), (2, "a"), (8, "b"), (9, "b"), (7, "b"), (10, "c"), (4, "c")], "doc_id long, g string")
+    rows = [(r.doc_id, r.text) for r in d.collect()]
+    got = {(r.doc_id, r.tokens): [r.p_a, r.p_b, r.p_c] for r in mixing.mix(d, said, F.col("g"), {"a": 1.0, "b": 1.0, "c": 1.0}).collect()}
+
+    def features(text):
+        words = (text or "").lower().split()
+        kinds = {xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words}
+        n = max(1, len(words))
+        bins = [min(15, int(np.log2(len(words) + 1))), min(15, max(1, len(text or "")) // n), int(min(0.999, len(kinds) / n) * 16)]
+        return len(words), [int(np.uint64(h).view(np.int64)) % mixing.BUCKETS for h in kinds], bins
+    domains, label = ["a", "b", "c"], {r.doc_id: r.g for r in said.collect()}
+    counts, n = np.zeros((3, mixing.BUCKETS)), np.zeros(3)
+    bins = np.zeros((3, 3, 16))
+    for i, t in rows:
+        if i in label:
+            k = domains.index(label[i])
+            _, f, b = features(t)
+            n[k] += 1
+            for x in f:
+                counts[k, x] += 1
+            for j, x in enumerate(b):
+                bins[k, j, x] += 1
+    prior = np.array([2.0, 3.0, 2.0])
+    p, share = (np.minimum(counts, n[:, None]) + 0.5) / (n[:, None] + 1), prior / prior.sum()
+    for i, t in rows:
+        tokens, f, b = features(t)
+        log = np.log(share)
+        for k in range(3):
+            for x in f:
+                rest = n.sum() - n[k]
+                q = (np.minimum(counts, n[:, None]).sum(0)[x] - min(counts[k, x], n[k]) + 0.5) / (rest + 1)
+                pooled = (np.minimum(counts, n[:, None]).sum(0)[x] + 0.5) / (n.sum() + 1)
+                z = (p[k, x] - q) / np.sqrt(pooled * (1 - pooled) * (1 / n[k] + 1 / rest))
+                if abs(z) >= mixing.Z_LEAST:
+                    log[k] += np.log(p[k, x]) - np.log(share @ p[:, x])
+            for j, x in enumerate(b):
+                log[k] += np.log((bins[k, j, x] + 0.5) / (n[k] + 8))
+        want = np.exp(log - log.max())
+        assert np.allclose(got[i, tokens], want / want.sum(), atol=1e-6)
+
+
+def test_mixing_fit_is_optimal_and_reports_what_it_cannot_meet(spark):
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.4, 0.4, 0.4], 400)
+    rows = [(int(w), [float(x) for x in q]) for w, q in zip(rng.integers(0, 900, 400), p)]
+    df = spark.createDataFrame(rows + rows[:40], "tokens long, p array<double>")
+    for keep_all in (False, True):
+        rate, gap = mixing.fit_rates(df, [0.6, 0.3, 0.1], keep_all)
+        out = df.withColumn("rate", rate).collect()
+        have = sum(r.rate * r.tokens * np.array(r.p) for r in out)
+        assert gap <= 1e-5 and np.allclose(have / have.sum(), [0.6, 0.3, 0.1], atol=1e-4)
+        assert min(r.rate for r in out) >= float(keep_all)
+    # no mixture of these posteriors has 9 tenths of the first: the best is taken and its gap told
+    stuck = spark.createDataFrame([(100, [0.5, 0.5]), (50, [0.4, 0.6])] * 5, "tokens long, p array<double>")
+    rate, gap = mixing.fit_rates(stuck, [0.9, 0.1])
+    have = sum(r.rate * r.tokens * np.array(r.p) for r in stuck.withColumn("rate", rate).collect())
+    assert gap > 0.01 and np.isclose(np.abs(have - np.array([0.9, 0.1]) * 750).max() / 750, gap)
+    first = sum(r.tokens * np.array(r.p) for r in stuck.collect())
+    assert gap <= np.abs(first - np.array([0.9, 0.1]) * 750).max() / 750
