@@ -13,59 +13,71 @@ from pyspark.sql import functions as F
 
 from civicspark.llm import decontaminate, jaccard_join, mixing, ring, toxicity
 from civicspark.llm.langid import fold
-from civicspark.llm.store import written
+from civicspark.llm.store import free_name, written
 
 QUALITY_SHARES = {"high": 0.88, "low": 0.12}         # shares of tokens in the mixture
-KEY = "_row_key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.xxhash64("doc_id", "text", F.lit("row")))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of doc_id and text, and that column's name, which no other column has."""
+    key = free_name("_row_key", docs.columns)
+    return docs.withColumn(key, F.xxhash64("doc_id", "text", F.lit("row"))), key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject (score below 0.5)."""
-    learn = fold(F.col("doc_id"), 5) != 0
+    """Documents that the classifier does not reject (score below 0.5).
+
+    Null and empty texts are judged as texts without words; repeated rows all go or stay; without
+    labels, and for an empty table, all rows stay."""
+    learn, score = fold(F.col("doc_id"), 5) != 0, free_name("_toxicity", docs.columns)
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), learn)
-    return toxicity.score(docs, model, docs.columns, "_toxicity").filter(F.col("_toxicity") < 0.5).select(*docs.columns)
+    return toxicity.score(docs, model, docs.columns, score).filter(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of similar documents the one with the smallest doc_id; rows equal in
-    doc_id and text are one."""
-    keyed = _keyed(docs)
-    found = jaccard_join.link_components(keyed.select(F.col(KEY).alias("doc_id"), "text"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY))[KEY].alias(KEY)
-    names = keyed.select(KEY, "doc_id")
-    kept = (found.select(F.col("doc_id").alias(KEY), "component_id").distinct().join(names.distinct(), KEY)
-            .groupBy("component_id").agg(first).select(KEY))
-    return keyed.join(kept, KEY, "left_semi").dropDuplicates([KEY]).select(*docs.columns)
+    doc_id and text are one.
+
+    Null and empty texts are linked with nothing and stay; a row without doc_id stays only if its
+    component has no other; an empty table stays empty."""
+    keyed, key = _keyed(docs)
+    found = jaccard_join.link_components(keyed.select(F.col(key).alias("doc_id"), "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key))[key].alias(key)
+    names = keyed.select(key, "doc_id")
+    kept = (found.select(F.col("doc_id").alias(key), "component_id").distinct().join(names.distinct(), key)
+            .groupBy("component_id").agg(first).select(key))
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    keyed = _keyed(docs)
-    hit = decontaminate.contaminated(keyed.select(KEY, "text"), _table(spark, sf_dir, "benchmark"), [KEY])
-    return keyed.join(hit.select(KEY).distinct(), KEY, "left_anti").select(*docs.columns)
+    """Documents without a benchmark item.
+
+    Null and empty texts hold none; repeated rows all go or stay; an empty table stays empty."""
+    keyed, key = _keyed(docs)
+    hit = decontaminate.contaminated(keyed.select(key, "text"), _table(spark, sf_dir, "benchmark"), [key])
+    return keyed.join(hit.select(key).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def mix_to_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of documents by their fitted rates; the budget is such that none has to go."""
-    keyed = _keyed(docs)
+    """Copies of documents by their fitted rates, none of which is below 1: none has to go.
+
+    A text without words has the rate of its posterior; repeated rows have the same number of copies;
+    without labels every rate is 1; an empty table stays empty."""
+    keyed, key = _keyed(docs)
     domain = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
-    rates = mixing.mix(keyed.select("doc_id", KEY, "text"), _table(spark, sf_dir, "labels"), domain, QUALITY_SHARES,
-                       ["doc_id", KEY], keep_all=True)
-    times = rates.select(KEY, F.greatest("copies", F.lit(1)).alias("_copies")).dropDuplicates([KEY])
-    return (keyed.join(times, KEY).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+    rates = mixing.mix(keyed.select("doc_id", key, "text"), _table(spark, sf_dir, "labels"), domain, QUALITY_SHARES,
+                       ["doc_id", key], keep_all=True)
+    copies, nth = free_name("_copies", docs.columns), free_name("_copy", docs.columns)
+    times = rates.select(key, F.col("copies").alias(copies)).dropDuplicates([key])
+    return keyed.join(times, key).withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row."""
+    """Shard and slot of every row, whatever its text; the columns of ``op10``."""
     return ring.shard_documents(docs)
 
 
