@@ -34,3 +34,24 @@ def test_contaminated_rows_go(spark):
     docs = spark.createDataFrame([(1, "clean words " * 9, "a"), (1, "x. " + item + " y", "b"), (None, "clean", "c")],
                                  "doc_id long, text string, lang string")
     assert sorted(r.lang for r in P.drop_contaminated(spark, docs, SF_SMALL).collect()) == ["a", "c"]
+
+
+CLASHES = ["_text", "_toxicity", "_row_key", "_copies", "_copy", "Tokens", "rate", "component_id"]
+
+
+def test_stages_with_nulls_repeats_empty_tables_and_clashing_columns(spark, docs):
+    wide = docs
+    for c in CLASHES:
+        wide = wide.withColumn(c, F.lit(c))
+    keep = [r for r in wide.collect()]
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, wide, SF_SMALL)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(r["_text"] == "_text" and r["_row_key"] == "_row_key" and r["_copies"] == "_copies" for r in rows)
+        assert {tuple(r) for r in rows} <= {tuple(r) for r in keep}
+        if name != "jaccard_join":                                   # clean rows stay, as often as they were
+            assert len(rows) >= len(keep)
+        assert stage(spark, wide.limit(0), SF_SMALL).count() == 0
+    assert P.shard(spark, wide, SF_SMALL).count() == len(keep)
+    assert P.shard(spark, wide.limit(0), SF_SMALL).count() == 0
