@@ -26,6 +26,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -83,8 +84,34 @@ class Doubt(NamedTuple):
     word: str
 
 
+class Path:
+    """Path of open block elements, linked to its parent, so that an element costs the same at any depth.
+    Equal paths of a page are one object; ``nodes`` lists them, parents first."""
+    __slots__ = ("name", "parent", "within", "below")
+
+    def __init__(self, name: str, parent: Path | None):
+        self.name, self.parent, self.below = name, parent, {}
+        # some element of the path is an article or main
+        self.within = parent is not None and parent.within or name.split(".")[0] in ("article", "main")
+
+    @property
+    def tag(self) -> str:
+        return self.name.split(".")[0]
+
+    def child(self, name: str) -> Path:
+        if name not in self.below:
+            self.below[name] = Path(name, self)
+        return self.below[name]
+
+    def nodes(self) -> list[Path]:
+        found = [self]
+        for node in found:
+            found.extend(node.below.values())
+        return found
+
+
 class Block(NamedTuple):
-    path: tuple[str, ...]
+    path: Path
     text: str
 
 
@@ -92,11 +119,11 @@ def attributes(raw: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(raw)}
 
 
-def is_no_article(tag: str, attrs: dict[str, str], path: tuple[str, ...]) -> bool:
+def is_no_article(tag: str, attrs: dict[str, str], path: Path) -> bool:
     if tag in NO_ARTICLE or attrs.get("role", "").lower() in NO_ROLE:
         return True
     if tag == "header":
-        return not {"article", "main"} & {p.split(".")[0] for p in path}
+        return not path.within
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return True
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
@@ -104,11 +131,11 @@ def is_no_article(tag: str, attrs: dict[str, str], path: tuple[str, ...]) -> boo
     return False
 
 
-def rejecting_word(tag: str, attrs: dict[str, str], path: tuple[str, ...]) -> str | None:
+def rejecting_word(tag: str, attrs: dict[str, str], path: Path) -> str | None:
     """The word of class or id by which an element is no article."""
     if tag in ("html", "body", "article", "main") and "comment" not in attrs.get("class", "").lower():
         return None
-    within = {"article", "main"} & {p.split(".")[0] for p in path}
+    within = path.within
     named = [attrs.get("class", "")]
     if tag not in HEADINGS and not (tag == "section" and within):        # theirs name what they tell of
         named.append(attrs.get("id", ""))
@@ -124,11 +151,11 @@ def rejecting_word(tag: str, attrs: dict[str, str], path: tuple[str, ...]) -> st
     return None
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks of the parts that may be article, in page order.  A word rejects no element that holds a main,
+def blocks(page: str, root: Path) -> list[Block]:
+    """Blocks (their paths below ``root``) of the parts that may be article, in page order.  A word rejects no element that holds a main,
     or all articles of the page, or, where there is no article outside it, most of the page's text."""
     articles: list[tuple[str, tuple[Doubt, ...]]] = []
-    found = list(doubted_blocks(page, articles))
+    found = list(doubted_blocks(page, articles, root))
     whole = sum(len(b.text) for b, _ in found)
     share: dict[Doubt, int] = {}
     for b, doubts in found:
@@ -144,10 +171,12 @@ def blocks(page: str) -> list[Block]:
     return [b for b, doubts in found if out.isdisjoint(doubts)]
 
 
-def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) -> Iterator[tuple[Block, tuple[Doubt, ...]]]:
+def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]],
+                   root: Path) -> Iterator[tuple[Block, tuple[Doubt, ...]]]:
     """Blocks and the doubted elements around them; ``articles`` gets each article or main and those around it."""
-    # element, its name in the path, no article, open elements inside an svg, doubted elements
-    stack: list[tuple[str, str, bool, list[str], tuple[Doubt, ...]]] = []
+    # element, its path, no article, open elements inside an svg, doubted elements
+    stack: list[tuple[str, Path, bool, list[str], tuple[Doubt, ...]]] = []
+    open_tags: Counter[str] = Counter()
     number = 0
     text: list[str] = []
 
@@ -155,19 +184,30 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) ->
         whole = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if whole and not (stack and stack[-1][2]):
-            yield Block(tuple(name for _, name, *_ in stack), whole), stack[-1][4] if stack else ()
+            yield Block(stack[-1][1] if stack else root, whole), stack[-1][4] if stack else ()
+
+    def push(tag: str, name: str, none: bool, doubts: tuple[Doubt, ...]) -> None:
+        open_tags[tag] += 1
+        stack.append((tag, (stack[-1][1] if stack else root).child(name), none, [], doubts))
 
     def unwind(upto: int) -> None:
+        open_tags.subtract(tag for tag, *_ in stack[upto:])
         del stack[upto:]
 
+    def close(tag: str) -> None:
+        if open_tags[tag] > 0:
+            unwind(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
+
     def add(part: str) -> None:
         if not (stack and stack[-1][2]):
             text.append(part)
 
     at = 0
+    ahead = TOKEN.search(page)                             # the next whole tag or comment
     while at < len(page):
-        m = TOKEN.search(page, at)
-        lt = page.find("<", at)
+        if ahead is not None and ahead.start() < at:
+            ahead = TOKEN.search(page, at)
+        m, lt = ahead, page.find("<", at)
         if lt >= 0 and (m is None or lt < m.start()):      # a lone "<", or a tag with an open quote
             loose = LOOSE.match(page, lt)
             if loose is None:
@@ -191,7 +231,7 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) ->
                 continue
             if not closing and tag in BREAKOUT or closing and tag not in APART | HTML_INSIDE | BLOCK:
                 while stack and stack[-1][0] in APART - {"template"}:
-                    stack.pop()
+                    unwind(len(stack) - 1)
             elif not closing and m[3].endswith("/"):
                 continue
             elif not closing and tag not in RAW | APART | HTML_INSIDE:
@@ -201,12 +241,9 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) ->
             continue
         if tag in APART or foreign and tag in HTML_INSIDE or closing and tag in HTML_INSIDE:
             if not closing:
-                stack.append((tag, tag, True, [], stack[-1][4] if stack else ()))
+                push(tag, tag, True, stack[-1][4] if stack else ())
             else:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        unwind(k)
-                        break
+                close(tag)
             continue
         if tag in RAW:
             if not closing:
@@ -220,10 +257,7 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) ->
             continue
         yield from flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    unwind(k)
-                    break
+            close(tag)
             continue
         if tag == "hr":
             continue
@@ -233,13 +267,15 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) ->
                 break
             if stack[k][0] not in HEADINGS:
                 break
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in SCOPE.get(tag, ()):
-                break
-            if stack[k][0] in CLOSES.get(tag, ()):
-                unwind(k)
+        ends = CLOSES.get(tag, ())
+        if any(open_tags[t] > 0 for t in ends):
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in SCOPE.get(tag, ()):
+                    break
+                if stack[k][0] in ends:
+                    unwind(k)
         attrs = attributes(m[3]) if m[3].strip(" /") else {}
-        path = tuple(name for _, name, *_ in stack)
+        path = stack[-1][1] if stack else root
         none = bool(stack and stack[-1][2]) or is_no_article(tag, attrs, path)
         doubts = stack[-1][4] if stack else ()
         word = None if none else rejecting_word(tag, attrs, path)
@@ -249,7 +285,7 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]]) ->
         elif tag in ("article", "main") and not none:
             articles.append((tag, doubts))
         kind = ".".join(sorted(attrs.get("class", "").split()))
-        stack.append((tag, f"{tag}.{kind}" if kind else tag, none, [], doubts))
+        push(tag, f"{tag}.{kind}" if kind else tag, none, doubts)
     yield from flush()
 
 
@@ -263,8 +299,8 @@ def smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def content_paths(found: list[Block]) -> set[tuple[str, ...]]:
-    total: dict[tuple[str, ...], list[float]] = {}
+def content_paths(found: list[Block]) -> set[Path]:
+    total: dict[Path, list[float]] = {}
     for b in found:
         t = total.setdefault(b.path, [0.0, 0.0, 0.0])
         t[0] += 1
@@ -275,44 +311,53 @@ def content_paths(found: list[Block]) -> set[tuple[str, ...]]:
     fused = [math.sqrt(a * (1.0 + p)) for a, p in zip(length, points)]
     mean = sum(fused) / len(fused)
     spread = math.sqrt(sum((f - mean) ** 2 for f in fused) / len(fused))
-    by_path: dict[tuple[str, ...], list[float]] = {}
+    by_path: dict[Path, list[float]] = {}
     for b, f in zip(found, fused):
         by_path.setdefault(b.path, []).append(f)
     return {p for p, f in by_path.items() if sum(f) / len(f) >= spread}
 
 
-def article_root(found: list[Block], paths: set[tuple[str, ...]]) -> tuple[str, ...]:
+def article_root(found: list[Block], paths: set[Path], nodes: list[Path]) -> Path:
     """The innermost element holding ``LEAST_SHARE`` of the content paths' text; a paragraph
     or the like is no root, its parent is."""
-    share: dict[tuple[str, ...], int] = {}
+    below = dict.fromkeys(nodes, 0)                       # text of content paths strictly inside
     whole = 0
     for b in found:
         if b.path in paths:
             whole += len(b.text)
-            for n in range(len(b.path)):
-                share[b.path[:n]] = share.get(b.path[:n], 0) + len(b.text)
-    named = [p for p in share if p and p[-1].split(".")[0] in ("article", "main")]
+            if b.path.parent is not None:
+                below[b.path.parent] += len(b.text)
+    depth = {nodes[0]: 0}
+    for node in nodes[1:]:
+        depth[node] = depth[node.parent] + 1
+    for node in reversed(nodes[1:]):
+        below[node.parent] += below[node]
+    share = {p: n for p, n in below.items() if n}
+    named = [p for p in share if p.parent is not None and p.tag in ("article", "main")]
     holding_all = [p for p in named if share[p] == whole]
     if holding_all:
-        return max(holding_all, key=len)
+        return max(holding_all, key=depth.get)
     good = [p for p in named or share if share[p] >= LEAST_SHARE * whole]
-    return max(good or share, key=lambda p: (len(p) if good else 0, share[p]), default=())
+    return max(good or share, key=lambda p: (depth[p] if good else 0, share[p]), default=nodes[0])
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    top = Path("", None)
+    found = blocks(page or "", top)
     if not found:
         return ""
+    nodes = top.nodes()
     paths = content_paths(found)
-    root = article_root(found, paths)
-    plain = {"html", "body"}
-    parents = {p[:-1] for p in paths}
+    root = article_root(found, paths, nodes)
+    parents = {p.parent for p in paths if p.parent is not None}
     # where a parent is the page itself, only content paths and headings beside them are taken
-    held = {p for p in parents | {root} if p and p[-1].split(".")[0] not in plain}
+    held = {p for p in parents | {root} if p is not top and p.tag not in ("html", "body")}
+    inside: dict[Path, bool] = {}
+    for node in nodes:
+        inside[node] = node in held or node.parent is not None and inside[node.parent]
 
-    def is_article(path: tuple[str, ...]) -> bool:
-        return (path in paths or any(path[:n] in held for n in range(len(path) + 1))
-                or path[:-1] in parents and path[-1].split(".")[0] in HEADINGS)
+    def is_article(path: Path) -> bool:
+        return path in paths or inside[path] or path.parent in parents and path.tag in HEADINGS
     return "\n".join(b.text for b in found if is_article(b.path))
 
 
