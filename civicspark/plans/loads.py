@@ -28,6 +28,7 @@ from civicspark.sources import arrivals
 
 DAY_PARTITION = "_created_day"
 REJECTS = "rejects"
+ROWS_PER_FILE = 500_000
 
 
 @dataclass(frozen=True)
@@ -91,10 +92,14 @@ def load_requests(spark: SparkSession, landing_dir: str, table_path: str, mode:
         return window.withColumns({"_file_time": F.col("modified"), "_file": F.col("path"), "_position": F.col("position"),
                                    DAY_PARTITION: F.to_date(X.iso_to_ntz("created_date"))}).select(*schema.names)
 
-    # one task per day writes that day, so a day has few files whatever the number of pages
-    return _publish(found, rows, files, table_path, C.SOURCE_REQUESTS, ingested_at, base, lambda r, info, beside: versions.append(
-        r.repartition(F.col(DAY_PARTITION), F.pmod(F.xxhash64("unique_key"), F.lit(8))), table_path, DAY_PARTITION,
-        ["unique_key"], info=info, base=base, beside=beside, max_records_per_file=C.PAGE_SIZE * 20))
+    def write(r: DataFrame, info: dict, beside: dict):
+        # a day's rows lie together, in files of about ROWS_PER_FILE whatever the number of pages
+        fullest = r.groupBy(DAY_PARTITION).count().agg(F.max("count")).first()[0] or 0
+        slices = F.pmod(F.xxhash64("unique_key", "_file", "_position"), F.lit(1 + fullest // ROWS_PER_FILE))
+        return versions.append(r.repartition(F.col(DAY_PARTITION), slices), table_path, DAY_PARTITION, ["unique_key"], info=info,
+                               base=base, beside=beside, max_records_per_file=2 * ROWS_PER_FILE)
+
+    return _publish(found, rows, files, table_path, C.SOURCE_REQUESTS, ingested_at, base, write)
 
 
 def load_weather(spark: SparkSession, landing_dir: str, table_path: str, ingested_at=None, since: str | None = None,
