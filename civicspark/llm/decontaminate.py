@@ -15,9 +15,10 @@ that an exact copy of any item is found.  An alignment has enough matches if it
 has LEAST_MATCHES templates, or all that the item has if fewer, or as many
 windows of both kinds.
 
-Only the benchmark's template index is broadcast, after counting its rows; a
-larger benchmark is joined by shuffling both sides on the hash.  Items of equal
-text are one item, reported under the smallest id.
+Only the benchmark's template index is broadcast, after adding up its bytes; a
+larger benchmark is joined by shuffling both sides on the hash, with a window's
+own words beside it, never the whole document's.  Items of equal text are one
+item, reported under the smallest id.
 
 An item shorter than a window is one template of all its words, looked up among
 document windows of that length.  What precedes an item's first word in a document
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 WINDOW = 8
 LEAST_MATCHES = 3            # templates an alignment needs (all, if the item has fewer)
 LEAST_LITERAL = 5            # words of a template that are no placeholder; windows with fewer are compared literally
-INDEX_ROWS = 500_000         # a template index up to this size (about 50 MB) is broadcast
+INDEX_BYTES = 50_000_000     # a template index up to this size is broadcast
 SENTENCE = "."               # stands for a sentence end until names are told apart
 # fixed values: units that may follow a number
 UNITS = """mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ton tons
@@ -87,10 +88,13 @@ def canonical_words(text: DataFrame, keep: list[str]) -> DataFrame:
                     F.transform("w", lambda s: F.when(is_slot(s), 1).otherwise(0)).alias("slot"))
 
 
-def templates(text: DataFrame, keep: list[str], sizes: list[int], literal: bool) -> DataFrame:
+def templates(text: DataFrame, keep: list[str], sizes: list[int], literal: bool, own: bool = False) -> DataFrame:
     """``keep``, the canonical words ``w`` and for each window of each of the ``sizes`` its place and hash
-    (``h``); if ``literal``, windows of mostly placeholders have the hash of their literal words."""
+    (``h``); if ``literal``, windows of mostly placeholders have the hash of their literal words.  ``own``:
+    each window has its ``words`` with it, and ``w`` is left out."""
     w = canonical_words(text, keep)
+    if own:
+        w = w.select("*", F.transform("w", lambda s: s["v"]).alias("v"))
 
     def hashes(size: int) -> Column:
         def hashed(i: Column) -> Column:
@@ -100,10 +104,11 @@ def templates(text: DataFrame, keep: list[str], sizes: list[int], literal: bool)
                 slot_words = sum((F.get("slot", i + k) for k in range(1, size)), F.get("slot", i))
                 out = (F.when(slot_words > size - min(size, LEAST_LITERAL), literal_hash(F.col("w"), i, size))
                        .otherwise(out))
-            return F.struct(i.alias("doc_at"), out.alias("hash"))
+            words = [F.array(*[F.get("v", i + k) for k in range(max(sizes))]).alias("words")] if own else []
+            return F.struct(i.alias("doc_at"), out.alias("hash"), *words)
         starts = F.when(F.size("w") >= size, F.sequence(F.lit(0), F.size("w") - size))
         return F.transform(F.coalesce(starts, F.array().cast("array<int>")), hashed)
-    return w.select(*keep, "w", F.concat(*[hashes(size) for size in sizes]).alias("h"))
+    return w.select(*keep, *([] if own else ["w"]), F.concat(*[hashes(size) for size in sizes]).alias("h"))
 
 
 def template_index(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -152,18 +157,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None =
     alignment and whether its slot values are ``exact``ly the item's."""
     keys = keys or ["doc_id"]
     index = template_index(benchmark, window)
-    rows, literal, sizes = index.agg(F.count(F.lit(1)), F.max(~F.col("template")), F.collect_set("size")).first()
+    slot_bytes = F.aggregate("slots", F.lit(0), lambda n, s: n + F.length(s["t"]) + F.length(s["v"]) + 40)
+    size, literal, sizes = index.agg(F.sum(slot_bytes + 120), F.max(~F.col("template")), F.collect_set("size")).first()
     index = index.drop("size")
-    if rows <= INDEX_ROWS:
-        index = F.broadcast(index)
-    t = templates(docs.select(*keys, "text"), keys, sorted({window, *sizes}, reverse=True), bool(literal))
-    at = t.select(*keys, "w", F.inline_outer("h"))
-    same_first = F.col("first").isNull() | (F.col("first") == F.get("w", F.col("doc_at"))["v"])
+    small = (size or 0) <= INDEX_BYTES
+    t = templates(docs.select(*keys, "text"), keys, sorted({window, *sizes}, reverse=True), bool(literal), own=not small)
+    if small:
+        at, index = t.select(*keys, "w", F.inline_outer("h")), F.broadcast(index)
+        word = lambda k: F.get("w", F.col("doc_at") + k)["v"]
+    else:
+        at = t.select(*keys, F.inline_outer("h"))            # inline() would test h, and make it anew for that
+        word = lambda k: F.get("words", k)
+    same_first = F.col("first").isNull() | (F.col("first") == word(F.lit(0)))
     hit = at.join(index, "hash").filter(same_first).select(
         *keys, "item_id", "item_at", "template", "least", "least_templates",
         (F.col("doc_at") - F.col("item_at")).alias("shift"),
-        F.transform("slots", lambda s: F.struct(
-            s["v"].alias("item"), F.get("w", F.col("doc_at") + s["k"])["v"].alias("doc"))).alias("pairs"))
+        F.transform("slots", lambda s: F.struct(s["v"].alias("item"), word(s["k"]).alias("doc"))).alias("pairs"))
     side = [*keys, "item_id", "shift"]
     counted = hit.groupBy(*side).agg(
         F.count_distinct("item_at").alias("matches"), F.first("least").alias("least"),
