@@ -61,7 +61,7 @@ LARGE, KNOWN = 64, 64        # groups of so many members tell pairs met before,
 CENTRES = 16                 # sets of a large group that its other components' members are paired with first
 PARTS = 256                  # of the suffix filter
 PART_MOST = 127              # counts beyond are not told apart
-CHUNK_ENTRIES = 2_000_000    # prefix shingles that a task packs together
+CHUNK_ENTRIES = 500_000      # prefix shingles that a task packs together (about 75 MB while it does)
 ENTRIES_PER_BUCKET = 500_000
 LEAST_BUCKET_BITS = 4
 ROWS_PER_GROUP = 20_000      # expected members beyond which a shingle's group is salted
