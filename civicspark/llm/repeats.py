@@ -9,6 +9,11 @@ in this document or another, is removed.  Nothing is listed per byte:
    trigger at the same place.  Consecutive windows with one trigger form a
    phrase: the text from the first of these windows to the end of the last.
    Phrases overlap by whole windows, and none lies inside another.
+   In a stretch of period up to PERIODS every trigger is a tie, so that phrases
+   would be a period apart.  There a window equals the one a period before it:
+   both are repeated without asking, and the later one is left out of the
+   phrases, as the first of its like stands for it.  So a periodic stretch of any
+   length has the phrases of one period.
 2. Dictionary.  Phrases are grouped by the hash of the CORE bytes behind the
    trigger, which every window of the phrase contains.  A core that occurs once
    is not repeated, nor is any window with it.  Equal phrases that occur twice
@@ -41,17 +46,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.store import written
-from civicspark.llm.text_bytes import Hasher, Piece, pieces
+from civicspark.llm.text_bytes import Hasher, Piece, pieces, row_of
 
 LENGTH = 400
 GRAM, SPAN, CORE = 16, 200, 200       # SPAN + CORE <= LENGTH, GRAM <= CORE
 BLOCK = 20                            # windows; well below LENGTH
+PERIODS = 64                          # longest period that is looked for beside a window
+CELL = LENGTH // 2                    # bytes between the places where periods are looked for
+CELLS_AT_ONCE = 20_000                # stretches of CELL bytes compared together
 PHRASES = "doc_id long, th long, core long, phrase long, s int, e int, a int"
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 FIRST = (DIGEST + ", th long, text string, starts array<int>, ends array<int>, cores array<long>, "
          "numbers array<int>, commons array<long>, befores array<binary>, behinds array<binary>, at array<int>")
 
 
+def periodic(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start of windows that equal the window a period later in their text, and the period.
+
+    The bytes that equal those a period later form a stretch of LENGTH bytes at least, which holds a whole
+    cell of the grid.  Cells inside a stretch that is found are not asked for longer periods."""
+    data, grid = piece.data, np.arange(0, len(piece.data) - CELL, CELL)
+    row = np.searchsorted(piece.starts, grid, side="right") - 1
+    room = piece.ends[row] - grid - CELL                        # the longest period that keeps to the text
+    found, inside = [], np.arange(CELL)
+    ask = np.flatnonzero(room > 0)
+    for p in range(1, PERIODS + 1):
+        k = ask[room[ask] >= p]
+        for probe in (0, CELL - 1, *range(1, 8)):
+            k = k[data[grid[k] + probe] == data[grid[k] + probe + p]]
+        k = np.concatenate([k[:0]] + [part[(data[at] == data[at + p]).all(axis=1)] for part in
+                                      (k[i:i + CELLS_AT_ONCE] for i in range(0, len(k), CELLS_AT_ONCE))
+                                      for at in (grid[part][:, None] + inside,)])
+        if not len(k):
+            continue
+        breaks = np.flatnonzero((k[1:] != k[:-1] + 1) | (row[k[1:]] != row[k[:-1]])) + 1
+        done = []
+        for chain in np.split(k, breaks):
+            r = row[chain[0]]
+            lo, hi = int(grid[chain[0]]), int(grid[chain[-1]]) + CELL
+            least, most = max(int(piece.starts[r]), lo - CELL), min(int(piece.ends[r]) - p, hi + CELL)
+            left = np.flatnonzero(data[least:lo] != data[least + p:lo + p])
+            right = np.flatnonzero(data[hi:most] != data[hi + p:most + p])
+            lo, hi = (least + int(left[-1]) + 1 if len(left) else least), (hi + int(right[0]) if len(right) else most)
+            if hi - lo >= LENGTH:
+                found.append((lo, hi - LENGTH, p))
+                done.append(chain)
+        if done:
+            ask = np.setdiff1d(ask, np.concatenate(done), assume_unique=True)
+    return tuple(np.array(found, np.int64).reshape(-1, 3).T)
+
+
+def beside(texts: pa.Array) -> dict[int, tuple[list[int], list[int]]]:
+    """For rows with periodic stretches: first and last starts of their windows, in the text."""
+    out: dict[int, tuple[list[int], list[int]]] = {}
+    for piece in pieces(texts):
+        lo, hi, p = periodic(piece)
+        row = row_of(piece, lo)
+        base = piece.starts[row]
+        for r, s, e, q in zip((piece.first + row).tolist(), (lo - base).tolist(), (hi - base).tolist(), p.tolist()):
+            starts, ends = out.setdefault(r, ([], []))
+            starts += [s, s + q]
+            ends += [e, e + q]
+    return out
+
+
 def triggers(piece: Piece, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     """All window starts of the piece's texts and the trigger of each."""
     n = len(piece.data)
@@ -79,6 +137,13 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in pieces(batch["text"]):
             h = Hasher(p.data)
             i, a = triggers(p, h)
+            if len(i):
+                later = np.zeros(len(p.data) + 1, np.int64)    # windows that equal the one a period before
+                lo, hi, period = periodic(p)
+                np.add.at(later, lo + period, 1)
+                np.add.at(later, hi + period + 1, -1)
+                first = np.cumsum(later)[i] == 0
+                i, a = i[first], a[first]
             if not len(i):
                 continue
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (i[1:] != i[:-1] + 1)])
@@ -134,13 +199,15 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              ("at", ints)]
     for batch in batches:
         for k in range(0, batch.num_rows, 200):
-            rows = []
-            for r in batch.slice(k, 200).to_pylist():
+            rows, part = [], batch.slice(k, 200)
+            near = beside(part["text"])
+            for n, r in enumerate(part.to_pylist()):
                 text = (r["text"] or "").encode()
                 found = r["found"] or []
                 whole = [f for f in found if f["whole"]]
-                s = np.array([f["s"] for f in whole], np.int64)
-                e = np.array([f["e"] for f in whole], np.int64)
+                starts, ends = near.get(n, ([], []))
+                s = np.array([f["s"] for f in whole] + starts, np.int64)
+                e = np.array([f["e"] for f in whole] + ends, np.int64)
                 ask = [f for f in found if f["entry"]]
                 told = (None,) * 6
                 if ask:
