@@ -8,6 +8,8 @@ For each path the text length and the punctuation of its blocks are added up
 and divided by their number.  These ratios are laid over the blocks in page
 order, smoothed over neighbours, fused (geometric mean of the two), and a path
 is content if its mean reaches the spread (standard deviation) of the page.
+Beyond a long paragraph's length and punctuation a ratio counts no further, so
+that one very long block does not raise the spread above the paragraphs.
 
 Content paths give the article's root: the innermost element that holds most of
 their text, or the article or main element that holds all of it.  Blocks under it
@@ -40,6 +42,7 @@ RAW = set("script style textarea title noscript iframe xmp noembed noframes".spl
 # kept on the stack without ending the block around them: no text of the page
 APART = set("svg template annotation annotation-xml".split())
 FOREIGN = set("svg math".split())
+INLINE_NONE = set("button select label".split())          # the same in a line of text, with a space in their place
 HTML_INSIDE = set("foreignobject desc".split())          # parts of an svg that hold HTML
 # start tags that end an open svg, as in a browser
 BREAKOUT = set("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li
@@ -50,7 +53,7 @@ fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup
 optgroup option p pre section summary table tbody td tfoot th thead tr ul head button select label""".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 # fixed values: what is no article, by element, role or a word of class or id
-NO_ARTICLE = set("nav footer aside form head button select label dialog menu fieldset".split())
+NO_ARTICLE = set("nav footer aside form head dialog menu fieldset".split())
 NO_ROLE = set("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 NO_WORD = set("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion
 nav navbar navigation menu menus breadcrumb breadcrumbs sidebar side aside header footer masthead topbar
@@ -69,6 +72,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
          "tbody": {"table"}, "option": {"select"}}
+LONG, POINTS = 300, 8       # characters and punctuation marks of a long paragraph
 LEAST_SHARE = 0.6           # of the content paths' text that the article's root holds
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
@@ -179,12 +183,14 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]],
     open_tags: Counter[str] = Counter()
     number = 0
     text: list[str] = []
+    line: list = []                                        # path of the text, doubted elements around it
 
     def flush() -> Iterator[tuple[Block, tuple[Doubt, ...]]]:
-        whole = " ".join(html.unescape("".join(text)).split())
-        text.clear()
-        if whole and not (stack and stack[-1][2]):
-            yield Block(stack[-1][1] if stack else root, whole), stack[-1][4] if stack else ()
+        if text and not (stack and stack[-1][2]):          # inside a control the line around goes on
+            whole = " ".join(html.unescape("".join(text)).split())
+            text.clear()
+            if whole:
+                yield Block(line[0], whole), line[1]
 
     def push(tag: str, name: str, none: bool, doubts: tuple[Doubt, ...]) -> None:
         open_tags[tag] += 1
@@ -199,7 +205,9 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]],
             unwind(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
 
     def add(part: str) -> None:
-        if not (stack and stack[-1][2]):
+        if part and not (stack and stack[-1][2]):
+            if not text:
+                line[:] = (stack[-1][1], stack[-1][4]) if stack else (root, ())
             text.append(part)
 
     at = 0
@@ -251,15 +259,24 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]],
                 at = end.end() if end else len(page)
                 add(" ")
             continue
+        if tag in INLINE_NONE:
+            if closing:
+                close(tag)
+                add(" ")
+            else:
+                add(" ")
+                push(tag, tag, True, stack[-1][4] if stack else ())
+            continue
         if tag not in BLOCK:
             if tag == "br":
                 add(" ")
             continue
-        yield from flush()
         if closing:
             close(tag)
+            yield from flush()
             continue
         if tag == "hr":
+            yield from flush()
             continue
         for k in range(len(stack) - 1, -1, -1):            # a block start ends an open paragraph
             if stack[k][0] == "p":
@@ -274,6 +291,7 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]],
                     break
                 if stack[k][0] in ends:
                     unwind(k)
+        yield from flush()
         attrs = attributes(m[3]) if m[3].strip(" /") else {}
         path = stack[-1][1] if stack else root
         none = bool(stack and stack[-1][2]) or is_no_article(tag, attrs, path)
@@ -286,6 +304,7 @@ def doubted_blocks(page: str, articles: list[tuple[str, tuple[Doubt, ...]]],
             articles.append((tag, doubts))
         kind = ".".join(sorted(attrs.get("class", "").split()))
         push(tag, f"{tag}.{kind}" if kind else tag, none, doubts)
+    unwind(0)
     yield from flush()
 
 
@@ -306,8 +325,8 @@ def content_paths(found: list[Block]) -> set[Path]:
         t[0] += 1
         t[1] += len(b.text)
         t[2] += len(PUNCTUATION.findall(b.text))
-    length = smoothed([total[b.path][1] / total[b.path][0] for b in found])
-    points = smoothed([total[b.path][2] / total[b.path][0] for b in found])
+    length = smoothed([min(LONG, total[b.path][1] / total[b.path][0]) for b in found])
+    points = smoothed([min(POINTS, total[b.path][2] / total[b.path][0]) for b in found])
     fused = [math.sqrt(a * (1.0 + p)) for a, p in zip(length, points)]
     mean = sum(fused) / len(fused)
     spread = math.sqrt(sum((f - mean) ** 2 for f in fused) / len(fused))

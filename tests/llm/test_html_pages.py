@@ -42,3 +42,25 @@ def test_extract_on_tables(spark):
     assert got.count() == 6 and out[1, "u"] == out[None, "w"] == (want, len(want))
     assert out[2, None] == out[3, "v"] == ("", 0) and out[4, "q"][1] == 200_000 * 18 - 1
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>Press <button type=button>OK</button>to go on<button>x<div>y</div></button>, if you like.</p>", "Press to go on , if you like."),
+    ("<p>one <button>never closed</p><p>two, three.</p>", "one\ntwo, three."),
+    ("<ul><li>one <button>never closed<li>two, three.</ul>", "one\ntwo, three."),
+    ("<p>one, two. <button>never closed to the end", "one, two."),
+    ("<p>one, two. <nav>menu</nav> three, four.", "one, two.\nthree, four."),
+    ("<div>a<select><option>1<option>2</select>b</div>", "a b"),
+    ("<p>one <label>name<input></label></p><p>two, three.</p>", "one\ntwo, three."),
+    ("<button><div>menu</div></button>", "")])
+def test_controls_stand_inside_a_line(page, want):
+    assert html_extract.main_text(f"<article>{page}</article>") == want
+    assert html_extract.main_text(page) == want
+
+
+@pytest.mark.parametrize("menu", ["", "<div class=top>" + "".join(f"<div><a>Link {i}</a></div>" for i in range(10)) + "</div>"])
+@pytest.mark.parametrize("size", [20, 5_000, 100_000])
+def test_a_long_block_leaves_the_paragraphs_beside_it(menu, size):
+    code = "call(a, b); " * size
+    page = f"<body>{menu}<div>{BODY}</div><div><pre>{code}</pre></div></body>"
+    assert html_extract.main_text(page) == "\n".join([*PARAGRAPHS, code.strip()])
