@@ -61,6 +61,12 @@ def load_history(spark, sf):
     return versions.history(spark, _two_deliveries(spark, sf)).select("version", "operation", "rows", "rejected")
 
 
+def load_chunks(spark, sf):
+    """Days that each of the loads wrote, with the rows loaded so far, from the manifests of the table."""
+    return versions.chunks(spark, _two_deliveries(spark, sf)).select(
+        "version", "chunk_no", F.col("part").alias("created_day"), "rows", "first_key", "last_key", "total_rows", "is_last")
+
+
 # --- outcomes -----------------------------------------------------------------------------
 
 def landing_outcomes(spark, sf):
@@ -212,6 +218,7 @@ def page_deep(spark, sf):
 QUERIES = {
     "incremental_landing": incremental_landing,
     "load_history": load_history,
+    "load_chunks": load_chunks,
     "landing_outcomes": landing_outcomes,
     "requests_upsert": requests_upsert,
     "census_merge_files": census_merge_files,
@@ -245,6 +252,16 @@ WITH b AS ({_CUT})
 SELECT CAST(1 AS BIGINT) AS version, 'create' AS operation, CAST(0 AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS rejected
 UNION ALL SELECT 2, 'append', count(*), 0 FROM events, b WHERE CAST(ts AS DATE) < cut AND ts >= {oracle._bound('m', 90)}
 UNION ALL SELECT 3, 'append', count(*), 0 FROM events, b WHERE CAST(ts AS DATE) >= cut AND ts >= {oracle._bound('m', 90)}""",
+    "load_chunks": f"""
+WITH b AS ({_CUT}),
+d AS (SELECT CASE WHEN CAST(ts AS DATE) < cut THEN 2 ELSE 3 END::BIGINT AS version,
+             CAST(CAST(ts AS DATE) AS VARCHAR) AS created_day, count(*) AS rows,
+             min(CAST(event_id AS VARCHAR)) AS first_key, max(CAST(event_id AS VARCHAR)) AS last_key
+      FROM events, b WHERE ts >= {oracle._bound('m', 90)} GROUP BY 1, 2)
+SELECT version, row_number() OVER w AS chunk_no, created_day, rows, first_key, last_key,
+  CAST(sum(rows) OVER w AS BIGINT) AS total_rows,
+  created_day = max(created_day) OVER (PARTITION BY version) AS is_last
+FROM d WINDOW w AS (PARTITION BY version ORDER BY created_day)""",
     "landing_outcomes": f"""
 WITH p AS (SELECT event_id // {A.ROWS_PER_PAGE} AS page, count(*) AS n FROM events GROUP BY 1),
 s AS (SELECT c_nationkey % 3 AS c, c_nationkey, c_custkey // {A.ROWS_PER_SURVEY_DOC} AS chunk, count(*) AS n

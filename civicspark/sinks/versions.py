@@ -35,7 +35,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +142,37 @@ def files(spark: SparkSession, path: str, version: Version | None = None, kind:
     return spark.read.schema(MANIFEST).parquet(f"{path.rstrip('/')}/{version.manifest}").filter(F.col("kind") == kind)
 
 
+def chunks(spark: SparkSession, path: str) -> DataFrame:
+    """What each version wrote, by partition: ``version, chunk_no`` (from 1), ``part, files, rows, first_key,
+    last_key, total_rows`` (of the version, up to the chunk) and ``is_last``.
+
+    From the manifests alone, no row is read.  A file counts for the first version that lists it, so a
+    version that rewrites files counts them as its own.  Chunks are in order of the partition's text, a
+    null one first; a version that wrote no data file has none."""
+    path = path.rstrip("/")
+    if not any(n.isdigit() for n in _names(spark, f"{path}/_commits")):
+        listed = spark.createDataFrame([], f"version long, {MANIFEST}")
+    else:
+        commits = spark.read.text(f"{path}/_commits/0*", wholetext=True).select(
+            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).cast("long").alias("version"),
+            F.element_at(F.split(F.get_json_object("value", "$.manifest"), "/"), -1).alias("manifest"))
+        # the manifests that a version names, not those of loads that were never published
+        listed = (spark.read.schema(MANIFEST).parquet(f"{path}/_manifests/*")
+                  .withColumn("manifest", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+                  .join(commits, "manifest"))
+    added = (listed.filter(F.col("kind") == DATA).groupBy("file", "part", "rows", "lo", "hi")
+             .agg(F.min("version").alias("version")))
+    parts = added.groupBy("version", "part").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.min("lo").alias("first_key"),
+        F.max("hi").alias("last_key"))
+    # a row per partition of a version
+    order = Window.partitionBy("version").orderBy(F.col("part").asc_nulls_first())
+    return parts.select(
+        "version", F.row_number().over(order).cast("long").alias("chunk_no"), "part", "files", "rows", "first_key",
+        "last_key", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("total_rows"),
+        F.lead("version").over(order).isNull().alias("is_last"))
+
+
 def commit(spark: SparkSession, path: str, base: Version, manifest: DataFrame, info: dict) -> Version:
     """Publishes ``manifest`` as the version after ``base``.  The last batch of each stream is
     carried from version to version."""
