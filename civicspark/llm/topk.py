@@ -21,8 +21,9 @@ Vectors are turned into integers by ``floor(scale * x)``.  Defined cases: a
 vector that is null or holds a null or non-finite component, and a row without
 an id, take no part; rows that repeat an id count once (the smallest vector, if
 they differ); vectors of different lengths are no candidates of each other; a
-query with fewer than k candidates gets all of them.  A score that does not fit
-a 64-bit integer ends the run with an error instead of a wrong result.
+query with fewer than k candidates gets all of them.  A component or score that
+does not fit a 64-bit integer ends the run with an error instead of a wrong
+result.
 """
 
 from __future__ import annotations
