@@ -27,8 +27,10 @@ LATE_DAYS = 10              # the newest days land in a second delivery
 # --- landing files ------------------------------------------------------------------------
 
 def _land_pages(pages: DataFrame, folder: str, mode: str = "append") -> None:
-    """One file per row: ``value`` (the page) in ``load_date=`` folders."""
-    pages.select("value", arrivals.DAY).write.partitionBy(arrivals.DAY).option("maxRecordsPerFile", 1).mode(mode).text(folder)
+    """One file per row: ``value`` (the page) in ``load_date=`` folders.  Tasks move their files there
+    themselves, side by side; the folder is read after the write has ended."""
+    (pages.select("value", arrivals.DAY).write.partitionBy(arrivals.DAY).option("maxRecordsPerFile", 1)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").mode(mode).text(folder))
 
 
 def _day_pages(records: DataFrame, rows_per_page: int = A.ROWS_PER_PAGE) -> DataFrame:

@@ -14,6 +14,10 @@ an empty payload is an arrival too.
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +71,26 @@ def arrivals(spark: SparkSession, landing_dir: str, table_path: str, since: str
     return files.join(ledger, same, "left_anti")
 
 
+def _plain(path: str) -> str:
+    return re.sub("^file:/+", "file:/", path)
+
+
+def _roots(spark: SparkSession, landing_dir: str, full: list[str], empty: list[str]) -> list[str]:
+    """What to read for the files ``full``: a folder whose files are all wanted stands for them, as the reader
+    lists folders faster than files.  A folder with a file beyond ``full`` and ``empty`` (consumed before, or
+    landed since) or with folders inside gives its files one by one."""
+    wanted, listed = defaultdict(set), defaultdict(set)
+    for n in (*full, *empty):
+        wanted[n.rpartition("/")[0]].add(_plain(n))
+    folders = sorted({n.rpartition("/")[0] for n in full})
+    for n in spark.read.format("binaryFile").option("basePath", landing_dir).load(folders).inputFiles():
+        n = _plain(unquote(n))
+        listed[n.rpartition("/")[0]].add(n)
+    inside = {f.rpartition("/")[0] for f in listed}
+    whole = {f for f in folders if listed[_plain(f)] == wanted[f] and _plain(f) not in inside}
+    return [*sorted(whole), *(n for n in full if n.rpartition("/")[0] not in whole)]
+
+
 def payloads(spark: SparkSession, landing_dir: str, files: DataFrame) -> DataFrame:
     """Text of the files: ``path, modified, value`` and the folder's partition columns.  An empty
     file has an empty text."""
@@ -78,7 +102,10 @@ def payloads(spark: SparkSession, landing_dir: str, files: DataFrame) -> DataFra
     schema = ", ".join(["path string", "modified timestamp", "value string", *[f"`{p}` string" for p in parts]])
     out = spark.createDataFrame([(n, None, "", *[_part(n, p) for p in parts]) for n in empty], schema)
     if full:
-        read = spark.read.format("binaryFile").option("basePath", landing_dir).load(full)
+        scan = lambda roots: spark.read.format("binaryFile").option("basePath", landing_dir).load(roots)
+        read = scan(_roots(spark, landing_dir, full, empty))
+        if not {_plain(unquote(n)) for n in read.inputFiles()} <= {_plain(n) for n, _ in names}:
+            read = scan(full)                                # a file landed in one of the folders meanwhile
         out = out.unionByName(read.select("path", F.col("modificationTime").alias("modified"),
                                           F.decode("content", "UTF-8").alias("value"),
                                           *[F.col(p).cast("string").alias(p) for p in parts]))

@@ -152,3 +152,39 @@ def test_empty_landing_and_unknown_mode(spark, tmp_dir, table):
     assert versions.read(spark, table).count() == 0 and versions.latest(spark, table).number == 1
     with pytest.raises(ValueError):
         loads.load_requests(spark, f"{tmp_dir}/in", table, "monthly")
+
+
+def test_folders_of_new_files_are_read_as_folders(spark, tmp_dir, table, monkeypatch):
+    d, day = f"{tmp_dir}/in", f"{tmp_dir}/in/load_date=2024-05-01"
+    for i in range(3):
+        land(day, f"a +%41 {i}.json", [rec(i)])
+    land(day, "none.json", "")
+    land(f"{d}/load_date=2024-05-02", "b.json", [rec(8)])
+    roots = lambda: arrivals._roots(spark, d, *([r["path"] for r in arrivals.arrivals(spark, d, table).collect() if bool(r["size"]) == full]
+                                                for full in (True, False)))
+    assert [r.rpartition("/")[2] for r in roots()] == ["load_date=2024-05-01", "load_date=2024-05-02"]
+    assert loads.load_requests(spark, d, table, **NOW).rows == 4
+    land(day, "c.json", [rec(9)])                                     # beside files that were consumed
+    land(f"{d}/load_date=2024-05-03", "d.json", [rec(10)])
+    assert [r.rpartition("/")[2] for r in roots()] == ["load_date=2024-05-03", "c.json"]
+    real = arrivals._roots
+
+    def late(*a):
+        found = real(*a)
+        land(f"{d}/load_date=2024-05-03", "late.json", [rec(11)])     # after the folder was compared
+        return found
+    with monkeypatch.context() as m:
+        m.setattr(arrivals, "_roots", late)
+        assert loads.load_requests(spark, d, table, **NOW).rows == 2
+    assert loads.load_requests(spark, d, table, **NOW).rows == 1
+    got = versions.read(spark, table)
+    assert sorted(int(r.unique_key) for r in got.collect()) == [0, 1, 2, 8, 9, 10, 11]
+
+
+def test_a_folder_with_folders_inside_gives_its_files(spark, tmp_dir, table):
+    d = f"{tmp_dir}/in"
+    land(f"{d}/load_date=2024-05-01/part=1", "a.json", [rec(1)])
+    land(f"{d}/load_date=2024-05-01/part=2", "b.json", [rec(2)])
+    names = [r["path"] for r in arrivals.arrivals(spark, d, table).collect()]
+    assert sorted(arrivals._roots(spark, d, names[:1], [])) == [names[0].rpartition("/")[0]]
+    assert arrivals.payloads(spark, d, arrivals.arrivals(spark, d, table)).count() == 2
