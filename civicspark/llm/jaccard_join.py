@@ -41,7 +41,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +54,8 @@ VALUE_BITS = 48              # of a shingle's hash
 VALUE_MASK = np.uint64((1 << VALUE_BITS) - 1)
 HEAVY = 200_000              # most frequent shingles whose counts order the prefixes (a bound, 3 MB)
 HEAVY_LEAST = 3              # times within CHUNK shingles of a task that make a shingle worth counting
-CHUNK = 4_000_000            # shingles that a task counts at a time
+CHUNK = 4_000_000            # shingles that a task counts at a time (32 MB)
+COUNT_BITS = 5               # a chunk is sorted in so many bits' parts, each by itself
 BITMAP_BITS = 20             # of nodes whose texts are fetched
 LARGE, KNOWN = 64, 64        # groups of so many members tell pairs met before, by so many shingles
 CENTRES = 16                 # sets of a large group that its other components' members are paired with first
@@ -119,8 +119,15 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 def _repeated(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    token, n = np.unique(np.concatenate(values), return_counts=True) if values else (np.zeros(0, np.uint64),) * 2
-    return token[n >= HEAVY_LEAST].view(np.int64), n[n >= HEAVY_LEAST].astype(np.int64)
+    """Shingles that repeat in ``values``, ascending, with their counts.  They are counted by ranges of
+    hashes, so that beside ``values`` only a small part of them is copied and sorted at a time."""
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for part in range(1 << COUNT_BITS):
+        mine = [v[v >> np.uint64(VALUE_BITS - COUNT_BITS) == part] for v in values]
+        token, n = np.unique(np.concatenate(mine), return_counts=True) if mine else found[0]
+        found.append((token[n >= HEAVY_LEAST], n[n >= HEAVY_LEAST].astype(np.int64)))
+    token, n = (np.concatenate(c) for c in zip(*found))
+    return token.view(np.int64), n
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +143,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "tokens": pa.array([token], pa.list_(pa.int64())), "counts": pa.array([n], pa.list_(pa.int64()))})
 
     for batch in batches:
-        for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
+        for p in pieces(batch["text"], lower=True):
             s = shingle_sets(p)
             rows = len(s.size)
             part = (s.value & np.uint64(PARTS - 1)).astype(np.int64)
@@ -191,7 +198,8 @@ def _steps(x: np.ndarray) -> np.ndarray:
 
 
 class Entries(NamedTuple):
-    """Prefix shingles: key, salt (-1: none), set, its size, and the place in its prefix from 1."""
+    """Prefix shingles: key, salt (-1: none), set, its size, and the place in its prefix from 1.
+    What a task holds of them has 28 bytes to a shingle: 64 bits of key and set, 32 of the others."""
     token: np.ndarray
     salt: np.ndarray
     node: np.ndarray
@@ -219,7 +227,8 @@ def unpack(n: int, size: int, packed: bytes) -> Entries:
         at = end
     token, salt, which, pos, node, of = out
     node = np.cumsum(node, dtype=np.uint64).view(np.int64)
-    return Entries(np.cumsum(token, dtype=np.uint64), salt.astype(np.int64) - 1, node[which], of[which].astype(np.int64), pos.astype(np.int64))
+    return Entries(np.cumsum(token, dtype=np.uint64), (salt - np.uint32(1)).view(np.int32), node[which],
+                   of[which].view(np.int32), pos.view(np.int32))
 
 
 def buckets(token: np.ndarray, salt: np.ndarray, bits: int) -> np.ndarray:
@@ -241,15 +250,15 @@ def _prefixes(order: tuple, bits: int):
             held.clear()
             bucket = buckets(e.token, e.salt, bits)
             by_bucket = np.lexsort((e.token, bucket))
-            e, bucket = Entries(*(c[by_bucket] for c in e)), bucket[by_bucket]
+            bucket = bucket[by_bucket]
             cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-            rows = [(int(bucket[i]), *pack(Entries(*(c[i:j] for c in e)))) for i, j in zip(cut, cut[1:])]
+            rows = [(int(bucket[i]), *pack(Entries(*(c[by_bucket[i:j]] for c in e)))) for i, j in zip(cut, cut[1:])]
             b, n, size, data = zip(*rows)
             return pa.record_batch({"bucket": pa.array(b, pa.int32()), "n": pa.array(n, pa.int64()),
                                     "size": pa.array(size, pa.int64()), "packed": pa.array(data, pa.binary())})
 
         for batch in batches:
-            for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
+            for p in pieces(batch["text"], lower=True):
                 s = shingle_sets(p)
                 node = node_keys(s)
                 new = np.zeros(len(s.size), bool)
@@ -265,7 +274,8 @@ def _prefixes(order: tuple, bits: int):
                 heavy = token >> np.uint64(VALUE_BITS - 1) > 0
                 salt = np.ones(len(token), np.int64)
                 salt[heavy] = by.salts[(token[heavy] & np.uint64((1 << (VALUE_BITS - 1)) - 1)).astype(np.int64)]
-                held.append(Entries(token, np.where(salt > 1, node[row] % salt, -1), node[row], s.size[row], pos + 1))
+                held.append(Entries(token, np.where(salt > 1, node[row] % salt, -1).astype(np.int32), node[row],
+                                    s.size[row].astype(np.int32), (pos + 1).astype(np.int32)))
                 if sum(len(h.token) for h in held) >= CHUNK_ENTRIES:
                     yield packed()
         if held:
@@ -276,8 +286,8 @@ def _prefixes(order: tuple, bits: int):
 def _groups(bucket: pa.Table) -> pa.Table:
     """Members of groups of two and more sets beside the group's first set, and the first sets of
     salted groups.  A shingle of one set ends here."""
-    e = Entries(*(np.concatenate(c) for c in zip(*(unpack(n, size, data) for n, size, data in zip(
-        *(bucket[c].to_pylist() for c in ("n", "size", "packed")))))))
+    e = Entries(*(np.concatenate(c) for c in zip(*(unpack(n.as_py(), size.as_py(), data.as_buffer())
+                                                   for n, size, data in zip(*(bucket[c] for c in ("n", "size", "packed")))))))
     order = np.lexsort((e.node, e.salt, e.token))
     e = Entries(*(c[order] for c in e))
     same = (e.token[1:] == e.token[:-1]) & (e.salt[1:] == e.salt[:-1])
@@ -286,16 +296,15 @@ def _groups(bucket: pa.Table) -> pa.Table:
     first = np.flatnonzero(starts)[np.cumsum(starts) - 1]
     keep = fresh & ((e.node != e.node[first]) | (e.salt >= 0))
     first = first[keep]
-    return pa.table({"token": e.token[keep].view(np.int64), "salt": e.salt[keep].astype(np.int32), "node": e.node[keep],
-                     "n": e.n[keep].astype(np.int32), "pos": e.pos[keep].astype(np.int32), "first": e.node[first],
-                     "first_n": e.n[first].astype(np.int32), "first_pos": e.pos[first].astype(np.int32)})
+    return pa.table({"token": e.token[keep].view(np.int64), "salt": e.salt[keep], "node": e.node[keep], "n": e.n[keep],
+                     "pos": e.pos[keep], "first": e.node[first], "first_n": e.n[first], "first_pos": e.pos[first]})
 
 
 def _wanted_texts(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
-            for p in pieces(pc.ascii_lower(pc.fill_null(batch["text"], ""))):
+            for p in pieces(batch["text"], lower=True):
                 s = shingle_sets(p)
                 node = node_keys(s)
                 wanted = [i for i in np.nonzero((s.size > 0) & bitmap[node & ((1 << BITMAP_BITS) - 1)])[0]
@@ -309,10 +318,9 @@ def _wanted_texts(bitmap: np.ndarray):
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose texts' sets are similar enough."""
     for batch in batches:
-        lower = [pc.ascii_lower(batch[c]) for c in ("text_a", "text_b")]
-        for p in pieces(lower[0]):
+        for p in pieces(batch["text_a"], lower=True):
             rows = len(p.starts)
-            other = next(pieces(lower[1].slice(p.first, rows), max_bytes=1 << 40))
+            other = next(pieces(batch["text_b"].slice(p.first, rows), max_bytes=1 << 40, lower=True))
             x, y = shingle_sets(p), shingle_sets(other)
             both = np.intersect1d(_keyed(x.row, x.value), _keyed(y.row, y.value), assume_unique=True)
             overlap = np.bincount((both >> np.uint64(VALUE_BITS)).astype(np.int64), minlength=rows)

@@ -2,10 +2,14 @@
 
 import collections
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from civicspark.llm import jaccard_join
+from civicspark.llm.text_bytes import pieces
 from tests.llm.test_operators import brute_components
 
 PLANS = {
@@ -50,3 +54,32 @@ def test_links_do_not_depend_on_the_plan(spark, monkeypatch, plan):
     got = collections.Counter(tuple(r) for r in jaccard_join.link_components(df).collect())
     want = brute_components(given)
     assert got == want and max(collections.Counter(c for _, _, c in want).values()) > 5
+
+
+def test_shingles_are_counted_in_little_memory():
+    rng = np.random.default_rng(5)
+    values = [rng.integers(0, 1 << 48, 50_000, np.uint64) for _ in range(20)]
+    for v in values[:4]:
+        v[:100] = values[0][:100]
+    tracemalloc.start()
+    token, n = jaccard_join._repeated(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(v.nbytes for v in values)                # the form before had more than twice as much
+    every, count = np.unique(np.concatenate(values), return_counts=True)
+    often = count >= jaccard_join.HEAVY_LEAST
+    assert token.tolist() == every[often].tolist() and n.tolist() == count[often].tolist() and len(n) == 100
+    assert [len(c) for c in jaccard_join._repeated([])] == [0, 0]
+
+
+def test_packed_entries_come_back_in_few_bytes():
+    e = jaccard_join.Entries(np.array([3, 3, 1 << 47], np.uint64), np.array([-1, 0, 7], np.int32), np.array([-5, 9, -5]),
+                             np.array([40, 6, 40], np.int32), np.array([1, 2, 3], np.int32))
+    back = jaccard_join.unpack(*jaccard_join.pack(e))
+    assert [c.tolist() for c in back] == [c.tolist() for c in e]
+    assert sum(c.itemsize for c in back) == 28
+
+
+def test_pieces_in_lower_case():
+    texts = pa.array(["Ab Ä", None, "", "ZZ z"])
+    assert b"".join(bytes(p.data) for p in pieces(texts, 8, lower=True)) == "ab Ä   zz z ".encode()
