@@ -11,7 +11,8 @@ components are found without listing all links:
    order gives the same links; this one keeps frequent shingles out of prefixes.)
    Two similar sets share a shingle in their prefixes (about a quarter of each).
 3. Prefix shingles meet by shingle.  They travel packed, by buckets of shingles;
-   most occur in one set only and go no further.  Every member of a
+   most occur in one set only and go no further, nor do members of a small group
+   whose sizes and places rule out every other member.  Every member of a
    group is paired with the group's first set only: enough to connect a large
    group of near copies without its square of pairs.  Groups of very frequent
    shingles are dealt over several salted groups whose first sets meet again.
@@ -23,8 +24,9 @@ components are found without listing all links:
    could still join two components is tested.  That is exact.
 
 Pairs go through a length filter, a positional filter (the first common prefix
-shingle bounds the overlap), a suffix filter (overlap bounded by the sets' sizes
-in PARTS parts of the hash space), and are verified once on the whole sets.  Only
+shingle bounds the overlap), a suffix filter (the hash space has cells, more for a
+larger set; a cell that one set alone has holds a shingle that the other lacks),
+and are verified once on the whole sets.  Only
 the texts of documents in such pairs are shuffled: a bitmap of fixed size tells
 the last pass over the texts which these may be.
 
@@ -59,13 +61,13 @@ COUNT_BITS = 5               # a chunk is sorted in so many bits' parts, each by
 BITMAP_BITS = 20             # of nodes whose texts are fetched
 LARGE, KNOWN = 64, 64        # groups of so many members tell pairs met before, by so many shingles
 CENTRES = 16                 # sets of a large group that its other components' members are paired with first
-PARTS = 256                  # of the suffix filter
-PART_MOST = 127              # counts beyond are not told apart
+CELLS = 2                    # of the suffix filter to a shingle, at least
+PART_MOST = 1                # shingles that a cell of it tells: it is a bit
 CHUNK_ENTRIES = 500_000      # prefix shingles that a task packs together (about 75 MB while it does)
 ENTRIES_PER_BUCKET = 500_000
 LEAST_BUCKET_BITS = 4
 ROWS_PER_GROUP = 20_000      # expected members beyond which a shingle's group is salted
-SETS = "doc_id long, n int, node long, parts array<tinyint>, tokens array<long>, counts array<long>"
+SETS = "doc_id long, n int, node long, cells array<long>, tokens array<long>, counts array<long>"
 PREFIX = "bucket int, n long, size long, packed binary"
 GROUPS = "token long, salt int, node long, n int, pos int, first long, first_n int, first_pos int"
 
@@ -114,6 +116,17 @@ def node_keys(s: Shingles) -> np.ndarray:
     return mixed(sums + s.size.astype(np.uint64)).view(np.int64)
 
 
+def cells(s: Shingles) -> pa.ListArray:
+    """Each row's cells with a shingle, as bits of 64-bit numbers.  Their number is a power of two that follows the set's
+    size, so that longer sets are told apart as well as short ones; the low bits of a hash name its cell."""
+    width = CELLS << np.ceil(np.log2(np.maximum(s.size, 64 // CELLS))).astype(np.int64)
+    upto = np.cumsum(width)
+    at = (upto - width)[s.row] + (s.value.astype(np.int64) & (width - 1)[s.row])
+    told = np.minimum(np.bincount(at, minlength=upto[-1]), PART_MOST)
+    words = np.packbits(told.astype(bool), bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, upto // 64), pa.int32()), pa.array(words))
+
+
 def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-n * PART // WHOLE) + 1
 
@@ -139,19 +152,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         none = pa.nulls(1, pa.int64())
         return pa.record_batch({
-            "doc_id": none, "n": pa.array([-1], pa.int32()), "node": none, "parts": pa.nulls(1, pa.list_(pa.int8())),
+            "doc_id": none, "n": pa.array([-1], pa.int32()), "node": none, "cells": pa.nulls(1, pa.list_(pa.int64())),
             "tokens": pa.array([token], pa.list_(pa.int64())), "counts": pa.array([n], pa.list_(pa.int64()))})
 
     for batch in batches:
         for p in pieces(batch["text"], lower=True):
             s = shingle_sets(p)
             rows = len(s.size)
-            part = (s.value & np.uint64(PARTS - 1)).astype(np.int64)
-            parts = np.minimum(np.bincount(s.row * PARTS + part, minlength=rows * PARTS), PART_MOST).astype(np.int8)
             nothing = pa.nulls(rows, pa.list_(pa.int64()))
             yield pa.record_batch({
-                "doc_id": batch["doc_id"].slice(p.first, rows), "n": pa.array(s.size, pa.int32()), "node": node_keys(s),
-                "parts": pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * PARTS, pa.int32()), pa.array(parts)),
+                "doc_id": batch["doc_id"].slice(p.first, rows), "n": pa.array(s.size, pa.int32()), "node": node_keys(s), "cells": cells(s),
                 "tokens": nothing, "counts": nothing})
             held.append(s.value)
             if sum(map(len, held)) >= CHUNK:
@@ -283,21 +293,52 @@ def _prefixes(order: tuple, bits: int):
     return run
 
 
+def _met(e: Entries, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Members of groups (in order, ``start`` and ``size`` by member) that may be similar to another member:
+    the overlap is at most what lies before the shingle in both orders, the shingle, and what lies behind it."""
+    out, near = np.zeros(len(e.n), bool), np.arange(len(e.n))
+    n, pos = e.n.astype(np.int64), e.pos.astype(np.int64)
+    for step in range(1, int(size.max(initial=0))):
+        near = near[near + step < (start + size)[near]]
+        i, j = near, near + step
+        most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
+        hit = most * (WHOLE + PART) >= (n[i] + n[j]) * PART      # so sizes that differ too much fail, too
+        out[i[hit]] = out[j[hit]] = True
+    return out
+
+
 def _groups(bucket: pa.Table) -> pa.Table:
-    """Members of groups of two and more sets beside the group's first set, and the first sets of
-    salted groups.  A shingle of one set ends here."""
+    """Members of groups of two and more sets beside the group's first set, and all members of salted
+    groups.  A shingle of one set ends here, and in groups of less than LARGE members a set that none of
+    the others can be similar to."""
     e = Entries(*(np.concatenate(c) for c in zip(*(unpack(n.as_py(), size.as_py(), data.as_buffer())
                                                    for n, size, data in zip(*(bucket[c] for c in ("n", "size", "packed")))))))
     order = np.lexsort((e.node, e.salt, e.token))
     e = Entries(*(c[order] for c in e))
-    same = (e.token[1:] == e.token[:-1]) & (e.salt[1:] == e.salt[:-1])
-    starts = np.concatenate([[True], ~same])
+    starts = _group_starts(e)
     fresh = starts | np.concatenate([[True], e.node[1:] != e.node[:-1]])      # not sent by another task too
-    first = np.flatnonzero(starts)[np.cumsum(starts) - 1]
-    keep = fresh & ((e.node != e.node[first]) | (e.salt >= 0))
-    first = first[keep]
-    return pa.table({"token": e.token[keep].view(np.int64), "salt": e.salt[keep], "node": e.node[keep], "n": e.n[keep],
-                     "pos": e.pos[keep], "first": e.node[first], "first_n": e.n[first], "first_pos": e.pos[first]})
+    e = Entries(*(c[fresh] for c in e))
+    start, size = _spans(_group_starts(e))
+    small = np.flatnonzero((e.salt < 0) & (size < LARGE))
+    keep = (e.salt >= 0) | (size >= LARGE)
+    at = np.arange(len(small)) - (small - start[small])                       # groups are small or not as a whole
+    keep[small] = _met(Entries(*(c[small] for c in e)), at, size[small])
+    e = Entries(*(c[keep] for c in e))
+    first = _spans(_group_starts(e))[0]
+    return pa.table({"token": e.token.view(np.int64), "salt": e.salt, "node": e.node, "n": e.n, "pos": e.pos,
+                     "first": e.node[first], "first_n": e.n[first], "first_pos": e.pos[first]})
+
+
+def _group_starts(e: Entries) -> np.ndarray:
+    new = (e.token[1:] != e.token[:-1]) | (e.salt[1:] != e.salt[:-1])
+    return np.concatenate([[True], new])[:len(e.token)]
+
+
+def _spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each member, where its group starts and how many it has."""
+    first = np.flatnonzero(starts)
+    group = np.cumsum(starts) - 1
+    return first[group], np.diff(np.append(first, len(starts)))[group]
 
 
 def _wanted_texts(bitmap: np.ndarray):
@@ -347,11 +388,11 @@ def _candidates(pairs: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs that pass the suffix filter and the test on the whole sets."""
-    sig = nodes.select("node", "parts")
+    sig = nodes.select("node", "cells")
     left = written(
-        pairs.join(sig.select(F.col("node").alias("a"), F.col("parts").alias("parts_a")), "a")
-        .join(sig.select(F.col("node").alias("b"), F.col("parts").alias("parts_b")), "b")
-        .filter(_may_overlap("parts_a", "parts_b", F.col("na"), F.col("nb"))).select("a", "b", "na", "nb"), "pairs")
+        pairs.join(sig.select(F.col("node").alias("a"), F.col("cells").alias("cells_a")), "a")
+        .join(sig.select(F.col("node").alias("b"), F.col("cells").alias("cells_b")), "b")
+        .filter(_may_overlap("cells_a", "cells_b", F.col("na"), F.col("nb"))).select("a", "b", "na", "nb"), "pairs")
     either = left.select(F.explode(F.array("a", "b")).alias("node"))
     mask = (1 << BITMAP_BITS) - 1
     slots = either.select(F.col("node").bitwiseAND(mask).cast("int").alias("slot")).distinct().toArrow()["slot"]
@@ -368,10 +409,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _may_overlap(x: str, y: str, n1: Column, n2: Column) -> Column:
-    """The suffix filter on two sets' sizes by part."""
-    common = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b).cast("int")), F.lit(0), lambda s, c: s + c)
-    full = F.exists(x, lambda c: c == PART_MOST) | F.exists(y, lambda c: c == PART_MOST)
-    return full | _enough(common, n1, n2)
+    """The suffix filter on the cells of two sets whose sizes pass the length filter, so that one has
+    at most twice the cells of the other."""
+    def folded(cells: str, other: str) -> Column:
+        half = F.size(other)
+        return F.when(F.size(cells) > half, F.zip_with(
+            F.slice(cells, 1, half), F.slice(cells, half + 1, half), lambda a, b: a.bitwiseOR(b))).otherwise(F.col(cells))
+
+    def alone(cells: Column, other: Column) -> Column:
+        bits = F.zip_with(cells, other, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+        return F.aggregate(bits, F.lit(0), lambda s, c: s + c)
+    x, y = folded(x, y), folded(y, x)
+    return _enough(F.least(n1 - alone(x, y), n2 - alone(y, x)), n1, n2)
 
 
 def _rooted(members: DataFrame, known: DataFrame) -> DataFrame:
@@ -393,9 +442,9 @@ def _across(active: DataFrame, nodes: DataFrame, centres: int | None = None) ->
     nth = F.row_number().over(Window.partitionBy("node").orderBy("token"))
     known = (large.withColumn("nth", nth).filter(F.col("nth") <= KNOWN)
              .groupBy("node").agg(F.collect_list("token").alias("known")))
-    large = large.join(known, "node").join(nodes.select("node", "parts"), "node")
+    large = large.join(known, "node").join(nodes.select("node", "cells"), "node")
     rows = written(large.unionByName(active.filter(F.col("size") < LARGE), allowMissingColumns=True).select(
-        "token", "node", "n", "pos", "root", "known", "parts"), "across")
+        "token", "node", "n", "pos", "root", "known", "cells"), "across")
     others = rows
     if centres:
         turn = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("node"), "node"))
@@ -403,7 +452,7 @@ def _across(active: DataFrame, nodes: DataFrame, centres: int | None = None) ->
         others = rows.join(chosen.select("token", "node"), ["token", "node"], "left_semi")
     x, y = (part.select("token", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"),
                         F.col("root").alias(f"r{s}"), F.col("known").alias(f"k{s}"),
-                        F.col("parts").alias(f"s{s}")) for s, part in (("a", rows), ("b", others)))
+                        F.col("cells").alias(f"s{s}")) for s, part in (("a", rows), ("b", others)))
     near = (F.col("na") * WHOLE >= F.col("nb") * PART) & (F.col("nb") * WHOLE >= F.col("na") * PART)
     most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     small_most = F.least("pa", "pb") + most - 1          # where the shingle need not be the first
@@ -422,19 +471,19 @@ def link_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
     docs = docs.select("doc_id", "text")
     both = written(docs.mapInArrow(_sets, SETS), "shingle-sets")
-    sets = both.filter("n >= 0").select("doc_id", "n", "node", "parts")
+    sets = both.filter("n >= 0").select("doc_id", "n", "node", "cells")
     pairs = F.explode(F.arrays_zip("tokens", "counts")).alias("t")
     frequent = (both.filter("n < 0").select(pairs).groupBy(F.col("t.tokens").alias("token"))
                 .agg(F.sum("t.counts").alias("c")).orderBy(F.desc("c"), "token").limit(HEAVY).toArrow())
     order = global_order(frequent["token"].to_numpy(), frequent["c"].to_numpy())
     nodes = written(sets.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("parts").alias("parts")), "nodes")
+        F.min("doc_id").alias("rep"), F.first("cells").alias("cells")), "nodes")
 
     # prefixes by buckets of shingles; about ENTRIES_PER_BUCKET to a bucket, whatever the size of the corpus
     total = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * PART / WHOLE) + 1)).first()[0] or 0
     bits = max(LEAST_BUCKET_BITS, (int(total) // ENTRIES_PER_BUCKET).bit_length())
     grouped = written(docs.mapInArrow(_prefixes(tuple(order), bits), PREFIX).groupBy("bucket").applyInArrow(_groups, GROUPS), "groups")
-    apart = grouped.filter("node = first").select("token", "node", "n", "pos")
+    apart = grouped.filter("salt >= 0 and node = first").select("token", "node", "n", "pos")
     over = Window.partitionBy("token").orderBy("node")
     again = apart.select("token", "node", "n", "pos", *[F.first(c).over(over).alias(f"first{s}")
                                                        for c, s in (("node", ""), ("n", "_n"), ("pos", "_pos"))])
@@ -443,17 +492,14 @@ def link_components(docs: DataFrame) -> DataFrame:
                     F.col("n").alias("nb"), F.col("first_pos").alias("pa"), F.col("pos").alias("pb")))
     tried = written(_candidates(star), "candidates")
     links = _verified(docs, tried, nodes)
-    known = components(links)
 
-    members = (grouped.select("token", "node", "n", "pos")
-               .unionByName(grouped.select("token", F.col("first").alias("node"), F.col("first_n").alias("n"),
-                                           F.col("first_pos").alias("pos"))).distinct())
+    members = grouped.select("token", "node", "n", "pos")     # a set is in one group of a shingle, and there once
     active = written(_active(_rooted(members, components(links))), "active")
     central = _candidates(_across(active.filter(F.col("size") >= LARGE), nodes, CENTRES))
     central = written(central.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "central")
     links = links.unionByName(_verified(docs, central, nodes))
 
-    active = _active(_rooted(active.select("token", "node", "n", "pos"), components(links)))
+    active = written(_active(_rooted(active.select("token", "node", "n", "pos"), components(links))), "active")
     met = tried.unionByName(central).select("a", "b")
     rest = _candidates(_across(active, nodes)).join(met, ["a", "b"], "left_anti")
     root = components(links.unionByName(_verified(docs, rest, nodes)))
