@@ -56,6 +56,7 @@ VALUE_BITS = 48              # of a shingle's hash
 VALUE_MASK = np.uint64((1 << VALUE_BITS) - 1)
 HEAVY = 200_000              # most frequent shingles whose counts order the prefixes (a bound, 3 MB)
 HEAVY_LEAST = 3              # times within CHUNK shingles of a task that make a shingle worth counting
+TEXT_BYTES = 250_000         # texts whose sets a task makes together
 CHUNK = 4_000_000            # shingles that a task counts at a time (32 MB)
 COUNT_BITS = 5               # a chunk is sorted in so many bits' parts, each by itself
 BITMAP_BITS = 20             # of nodes whose texts are fetched
@@ -156,7 +157,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "tokens": pa.array([token], pa.list_(pa.int64())), "counts": pa.array([n], pa.list_(pa.int64()))})
 
     for batch in batches:
-        for p in pieces(batch["text"], lower=True):
+        for p in pieces(batch["text"], TEXT_BYTES, lower=True):
             s = shingle_sets(p)
             rows = len(s.size)
             nothing = pa.nulls(rows, pa.list_(pa.int64()))
@@ -268,7 +269,7 @@ def _prefixes(order: tuple, bits: int):
                                     "size": pa.array(size, pa.int64()), "packed": pa.array(data, pa.binary())})
 
         for batch in batches:
-            for p in pieces(batch["text"], lower=True):
+            for p in pieces(batch["text"], TEXT_BYTES, lower=True):
                 s = shingle_sets(p)
                 node = node_keys(s)
                 new = np.zeros(len(s.size), bool)
@@ -345,7 +346,7 @@ def _wanted_texts(bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
-            for p in pieces(batch["text"], lower=True):
+            for p in pieces(batch["text"], TEXT_BYTES, lower=True):
                 s = shingle_sets(p)
                 node = node_keys(s)
                 wanted = [i for i in np.nonzero((s.size > 0) & bitmap[node & ((1 << BITMAP_BITS) - 1)])[0]
@@ -359,7 +360,7 @@ def _wanted_texts(bitmap: np.ndarray):
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose texts' sets are similar enough."""
     for batch in batches:
-        for p in pieces(batch["text_a"], lower=True):
+        for p in pieces(batch["text_a"], TEXT_BYTES, lower=True):
             rows = len(p.starts)
             other = next(pieces(batch["text_b"].slice(p.first, rows), max_bytes=1 << 40, lower=True))
             x, y = shingle_sets(p), shingle_sets(other)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.langid import fold
-from civicspark.llm.store import free_name, written
+from civicspark.llm.store import written
 from civicspark.llm.text_bytes import Hasher, Piece, pieces, row_of, runs
 
 HASH_BITS = 20
@@ -48,6 +48,7 @@ BEGINNINGS = range(3, 9)
 FEATURES = 2_048            # kept features
 POSITIVES, UNLABELLED = 3_000, 6_000
 CLASSIFIERS, STEPS, BATCH, L2 = 3, 600, 512, 1e-3
+LOWERED_ROWS, LOWERED_BYTES = 512, 200_000       # texts lowered together, and bytes hashed together (about 15 MB)
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a"):ord("z") + 1] = True
 _LETTER[128:] = True        # bytes of letters beyond ASCII
@@ -79,8 +80,12 @@ def counted(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key >> HASH_BITS, key & ((1 << HASH_BITS) - 1), n
 
 
-def lowered(texts: pa.Array) -> pa.Array:
-    return pc.utf8_lower(pc.fill_null(texts, ""))
+def lowered(texts: pa.Array) -> Iterator[Piece]:
+    """Pieces of ``texts`` in lower case, a few rows at a time instead of a copy of the batch."""
+    for first in range(0, len(texts), LOWERED_ROWS):
+        part = pc.utf8_lower(pc.fill_null(texts.slice(first, LOWERED_ROWS), ""))
+        for p in pieces(part, LOWERED_BYTES):
+            yield p._replace(first=first + p.first)
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +93,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     n = np.zeros((2, 1 << HASH_BITS), np.int64)
     for batch in batches:
         positive = batch["positive"].to_numpy(zero_copy_only=False)
-        for p in pieces(lowered(batch["text"])):
+        for p in lowered(batch["text"]):
             index, rows, _ = hashed_words(p)
             rows, index, _ = counted(index, rows)
             is_pos = positive[p.first + rows]
@@ -101,7 +106,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _rows_of(place: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for p in pieces(lowered(batch["text"])):
+            for p in lowered(batch["text"]):
                 index, rows, words = hashed_words(p)
                 kept = place[index] >= 0
                 r, f, n = counted(index[kept], rows[kept])
@@ -201,25 +206,25 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
 
 def score(docs: DataFrame, model: Model | None, keep: list[str], name: str = "score") -> DataFrame:
     """``keep`` columns plus ``name``, the score (0 to 1) of every row's whole text."""
-    whole = free_name("_text", keep)
     if model is None:
         return docs.select(*keep, F.lit(0.0).alias(name))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))           # plain values only
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # only the text travels to the Python worker and only the score comes back; ``keep`` stays with Spark
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = Model(*shared.value)
-        for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for p in pieces(lowered(batch[whole])):
+        for texts in batches:
+            out = np.zeros(len(texts))
+            for p in lowered(texts):
                 index, rows, words = hashed_words(p)
                 kept = m.place[index] >= 0
                 r, f, n = counted(index[kept], rows[kept])
-                z = np.bincount(r, m.weights[m.place[f]] * values(n), len(p.starts))
-                z += m.weights[-2] * length_value(words) + m.weights[-1]
+                z = np.bincount(r, m.weights[m.place[f]] * values(n), len(p.starts))      # of integers without a feature
+                z = z + m.weights[-2] * length_value(words) + m.weights[-1]
                 out[p.first:p.first + len(z)] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.record_batch([*(batch[c] for c in keep), pa.array(out)], names=[*keep, name])
-    return docs.select(*keep, F.col("text").alias(whole)).mapInArrow(run, f"{kinds}, `{name}` double")
+            yield pa.array(out)
+    return docs.select(*keep, scored("text").alias(name))
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> DataFrame:

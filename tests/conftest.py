@@ -1,3 +1,4 @@
+import copy
 import os
 import sys
 import tempfile
@@ -32,3 +33,18 @@ def spark():
 @pytest.fixture
 def tmp_dir():
     return tempfile.mkdtemp(prefix="civicspark-test-")
+
+
+@pytest.fixture(autouse=True)
+def payloads_as_written():
+    """Some tests alter the feed payloads of test_feeds in place: the next test gets them as written."""
+    from tests import test_feeds
+    before = {name: copy.deepcopy(getattr(test_feeds, name)) for name in ("DOC", "PAGE", "SURVEY")}
+    yield
+    for name, value in before.items():
+        shared = getattr(test_feeds, name)
+        if isinstance(shared, list):
+            shared[:] = value
+        elif isinstance(shared, dict):
+            shared.clear()
+            shared.update(value)
