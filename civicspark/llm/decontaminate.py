@@ -15,9 +15,10 @@ that an exact copy of any item is found.  An alignment has enough matches if it
 has LEAST_MATCHES templates, or all that the item has if fewer, or as many
 windows of both kinds.
 
-Only the benchmark's template index is broadcast, after adding up its bytes; a
-larger benchmark is joined by shuffling both sides on the hash, with a window's
-own words beside it, never the whole document's.  Items of equal text are one
+A document's words are cut into pieces, and each window becomes a row with its
+own words, so what a task holds of a text beyond its list of words follows the
+piece.  Only the benchmark's template index is broadcast, after adding up its
+bytes; a larger benchmark is joined by shuffling both sides on the hash.  Items of equal text are one
 item, reported under the smallest id.
 
 An item shorter than a window is one template of all its words, looked up among
@@ -31,14 +32,18 @@ document or a passage count once per alignment; an empty benchmark flags nothing
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 8
 LEAST_MATCHES = 3            # templates an alignment needs (all, if the item has fewer)
+PIECE_WORDS = 1_024          # words of a text that are held together
 LEAST_LITERAL = 5            # words of a template that are no placeholder; windows with fewer are compared literally
 INDEX_BYTES = 50_000_000     # a template index up to this size is broadcast
-SENTENCE = "."               # stands for a sentence end until names are told apart
+SENTENCE = "."               # marks a sentence end until names are told apart
+SLOTS = ["<num>", "<name>", "<unit>"]
 # fixed values: units that may follow a number
 UNITS = """mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ton tons
 tonne tonnes oz lb lbs pound pounds ml l liter liters litre litres s sec second seconds min minute minutes h hr
@@ -46,69 +51,97 @@ hour hours day days week weeks month months year years percent usd eur gbp dolla
 c f k hz khz mhz w kw mw v a j kj n pa kpa b kb mb gb tb""".split()
 
 
-def words(text: Column) -> Column:
-    """Words in order; a sentence end is an entry of its own."""
+def marked(text: Column) -> Column:
+    """The words of ``text``, a space between two; one behind which a sentence ends has SENTENCE at its end.
+    Without the words there may be one entry in front and one at the end (empty, or SENTENCE in front)."""
     joined = F.regexp_replace(text, r"(\d)[.,](?=\d)", "$1")
-    ended = F.regexp_replace(joined, r"[.!?\n\r|]+", f" {SENTENCE} ")
-    return F.split(ended, r"[^\p{L}\p{N}.]+")
+    spaced = F.regexp_replace(joined, r"[^\p{L}\p{N}.!?\n\r|]+", " ")
+    return F.regexp_replace(spaced, r" ?[.!?\n\r|][^\p{L}\p{N}]*", f"{SENTENCE} ")
+
+
+def word_lists(text: Column) -> tuple[Column, Column]:
+    """Of ``marked`` text: the words with their marks, and in lower case without."""
+    return F.split(text, " "), F.split(F.replace(F.lower(text), F.lit(SENTENCE), F.lit("")), " ")
 
 
-def canonical(cut: Column) -> Column:
-    """Structs ``t`` (canonical word) and ``v`` (the word as it was) without sentence ends."""
+def canonical(cut: Column, low: Column, made: Callable[[Column, Column], Column]) -> Column:
+    """``made`` of the canonical form and the lower-case form of each word."""
     number = lambda w: (w >= "0") & (w < ":")  # noqa: E731 - by its first character
     unit = F.array(*[F.lit(u) for u in UNITS])
 
     def one(w: Column, i: Column) -> Column:
-        before = F.get(cut, i - 1)
-        inside = before.isNotNull() & (before != SENTENCE)
-        low = F.lower(w)
-        return F.struct(
-            F.when(number(w), "<num>")
-            .when((low != w) & inside & w.rlike(r"^\p{Lu}\p{Ll}"), "<name>")
-            .when(number(before) & F.array_contains(unit, low), "<unit>")
-            .otherwise(low).alias("t"), low.alias("v"))
-    return F.filter(F.transform(cut, one), lambda s: (s["v"] != SENTENCE) & (s["v"] != ""))
+        before, v = F.get(cut, i - 1), F.get(low, i)
+        inside = before.isNotNull() & ~before.endswith(SENTENCE)
+        return made(F.when(number(w), "<num>")
+                    .when((v != w) & inside & w.rlike(r"^\p{Lu}\p{Ll}") & (v != F.rtrim(w, F.lit(SENTENCE))), "<name>")
+                    .when(number(before) & inside & F.array_contains(unit, v), "<unit>")
+                    .otherwise(v), v)
+    return F.transform(cut, one)
 
 
 def is_slot(word: Column) -> Column:
     return word["t"].startswith("<")
 
 
-def literal_hash(w: Column, start: Column, window: int) -> Column:
-    return F.xxhash64(F.lit("literal"), *[F.get(w, start + k)["v"] for k in range(window)])
+def literal_hash(word: Callable[[int], Column], window: int) -> Column:
+    return F.xxhash64(F.lit("literal"), *[word(k) for k in range(window)])
 
 
 def canonical_words(text: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep``, the canonical words ``w``, their forms ``t`` and 1 for each placeholder (``slot``)."""
+    """``keep``, the canonical words ``w`` (``t``, and ``v``, the word itself), their forms ``t`` and 1 for each
+    placeholder (``slot``)."""
     # no filter on what is computed here: pushed down, it would compute the words anew for each word
-    cut = text.select(*keep, words(F.col("text")).alias("cut"))
-    w = cut.select(*keep, canonical(F.col("cut")).alias("w"))
+    cut = _cut(text, keep)
+    w = cut.select(*keep, canonical(F.col("cut"), F.col("low"), lambda t, v: F.struct(t.alias("t"), v.alias("v"))).alias("w"))
+    w = w.select(*keep, F.filter("w", lambda s: s["v"] != "").alias("w"))
     # transform, as "w.t" would be pulled into the lambda and be built for each window
     return w.select(*keep, "w", F.transform("w", lambda s: s["t"]).alias("t"),
                     F.transform("w", lambda s: F.when(is_slot(s), 1).otherwise(0)).alias("slot"))
 
 
-def templates(text: DataFrame, keep: list[str], sizes: list[int], literal: bool, own: bool = False) -> DataFrame:
-    """``keep``, the canonical words ``w`` and for each window of each of the ``sizes`` its place and hash
-    (``h``); if ``literal``, windows of mostly placeholders have the hash of their literal words.  ``own``:
-    each window has its ``words`` with it, and ``w`` is left out."""
-    w = canonical_words(text, keep)
-    if own:
-        w = w.select("*", F.transform("w", lambda s: s["v"]).alias("v"))
-
-    def hashes(size: int) -> Column:
-        def hashed(i: Column) -> Column:
-            # single elements, as slice() would copy the whole array for each window
-            out = F.xxhash64(*[F.get("t", i + k) for k in range(size)])
-            if literal:
-                slot_words = sum((F.get("slot", i + k) for k in range(1, size)), F.get("slot", i))
-                out = (F.when(slot_words > size - min(size, LEAST_LITERAL), literal_hash(F.col("w"), i, size))
-                       .otherwise(out))
-            words = [F.array(*[F.get("v", i + k) for k in range(max(sizes))]).alias("words")] if own else []
-            return F.struct(i.alias("doc_at"), out.alias("hash"), *words)
-        starts = F.when(F.size("w") >= size, F.sequence(F.lit(0), F.size("w") - size))
-        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), hashed)
-    return w.select(*keep, *([] if own else ["w"]), F.concat(*[hashes(size) for size in sizes]).alias("h"))
+def _cut(text: DataFrame, keep: list[str]) -> DataFrame:
+    cut, low = word_lists(F.col("marked"))
+    return text.select(*keep, marked(F.col("text")).alias("marked")).select(*keep, cut.alias("cut"), low.alias("low"))
+
+
+def templates(text: DataFrame, keep: list[str], sizes: list[int], literal: bool) -> DataFrame:
+    """``keep`` and a row for each window of each of the ``sizes``: its place (``doc_at``), its ``hash`` and its
+    ``words``; if ``literal``, windows of mostly placeholders have the hash of their literal words.
+
+    A text's words go on in pieces of PIECE_WORDS, each with the word before it and the rest of its last
+    windows, and a window is a row that points into its piece: what is held follows the piece, not the text.
+    The empty entries at the ends of a text are in no item, so windows with them match nothing."""
+    most = max(sizes)
+    last = F.size("cut") - 1
+    # explode_outer: explode() would test the list, and make the words anew for that
+    at = _cut(text, keep).select(*keep, "cut", "low", F.explode_outer(F.sequence(F.lit(0), last, F.lit(PIECE_WORDS))).alias("start"))
+    first = F.greatest(F.col("start") - 1, F.lit(0))
+    length = F.col("start") - first + PIECE_WORDS + most - 1
+    piece = at.select(*keep, first.alias("first_word"), (F.col("start") - first).alias("before"),
+                      F.slice("cut", first + 1, length).alias("cut"), F.slice("low", first + 1, length).alias("low"))
+    piece = piece.select(*keep, "first_word", "before", "low",
+                         canonical(F.col("cut"), F.col("low"), lambda t, v: F.xxhash64(t)).alias("t"))
+    end = F.least(F.size("t"), F.col("before") + PIECE_WORDS) - 1
+    starts = F.when(end >= F.col("before"), F.sequence(F.col("before"), end))
+    one = piece.select(*keep, "first_word", "low", "t", F.explode_outer(starts).alias("i"))
+    if len(sizes) > 1:
+        one = one.select("*", F.explode_outer(F.array(*[F.lit(n) for n in sizes])).alias("size"))
+    else:
+        one = one.withColumn("size", F.lit(most))
+    one = one.filter(F.col("i") + F.col("size") <= F.size("t"))
+
+    def of(entries: str, k: int) -> Column:
+        entry = F.get(entries, F.col("i") + k)
+        return entry if k < min(sizes) else F.when(F.col("size") > k, entry)       # null changes no hash
+    out = F.xxhash64(*[of("t", k) for k in range(most)])
+    if literal:
+        slots = [F.xxhash64(F.lit(t)) for t in SLOTS]
+        slot_words = sum((F.when(of("t", k).isin(*slots), 1).otherwise(0) for k in range(1, most)),
+                         F.when(of("t", 0).isin(*slots), 1).otherwise(0))
+        out = (F.when(slot_words > F.col("size") - F.least("size", F.lit(LEAST_LITERAL)), literal_hash(lambda k: of("low", k), most))
+               .otherwise(out))
+    return one.select(*keep, (F.col("first_word") + F.col("i")).alias("doc_at"), out.alias("hash"),
+                      F.array(*[F.get("low", F.col("i") + k) for k in range(most)]).alias("words"))
 
 
 def template_index(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -139,9 +172,10 @@ def template_index(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
              .otherwise(F.array(word, F.lit("<name>"))))
     at = at.withColumn("form", F.explode(forms))
     at = at.withColumn("template", is_template(F.col("item_at"), F.col("form").startswith("<")))
-    rest = [F.get("t", F.col("item_at") + k) for k in range(1, window)]         # null past the end changes no hash
-    hashed = (F.when(F.col("template"), F.xxhash64("form", *rest))
-              .otherwise(literal_hash(F.col("w"), F.col("item_at"), window)))
+    rest = [F.get("t", F.col("item_at") + k) for k in range(1, window)]
+    rest = [F.when(t.isNotNull(), F.xxhash64(t)) for t in rest]                 # null past the end changes no hash
+    hashed = (F.when(F.col("template"), F.xxhash64(F.xxhash64("form"), *rest))
+              .otherwise(literal_hash(lambda k: F.get("w", F.col("item_at") + k)["v"], window)))
     # a first word that is a placeholder in this form only must be the item's word
     first = F.when(F.col("form").startswith("<") & (F.col("form") != own), word)
     inside = F.transform(F.slice("w", F.col("item_at") + 1, window),
@@ -161,13 +195,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None =
     size, literal, sizes = index.agg(F.sum(slot_bytes + 120), F.max(~F.col("template")), F.collect_set("size")).first()
     index = index.drop("size")
     small = (size or 0) <= INDEX_BYTES
-    t = templates(docs.select(*keys, "text"), keys, sorted({window, *sizes}, reverse=True), bool(literal), own=not small)
+    at = templates(docs.select(*keys, "text"), keys, sorted({window, *sizes}, reverse=True), bool(literal))
     if small:
-        at, index = t.select(*keys, "w", F.inline_outer("h")), F.broadcast(index)
-        word = lambda k: F.get("w", F.col("doc_at") + k)["v"]
-    else:
-        at = t.select(*keys, F.inline_outer("h"))            # inline() would test h, and make it anew for that
-        word = lambda k: F.get("words", k)
+        index = F.broadcast(index)
+    word = lambda k: F.get("words", k)
     same_first = F.col("first").isNull() | (F.col("first") == word(F.lit(0)))
     hit = at.join(index, "hash").filter(same_first).select(
         *keys, "item_id", "item_at", "template", "least", "least_templates",
